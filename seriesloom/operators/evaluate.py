@@ -177,45 +177,36 @@ def horizon_metrics(scored: DataFrame, keys: Sequence[str], share: float = 0.1)
         ratio(2 * F.abs(e), F.abs(y) + F.abs(yhat)).alias("smape"),
         y.between(F.col("yhat_lower"), F.col("yhat_upper")).cast("double").alias("coverage"),
     )
-    means = ["mse", "mae", "mape", "smape", "coverage"]
-    daily = rows.groupBy(*keys, "_day").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.avg(m).alias(m) for m in means]
-    )
-    n = F.sum("_n")
-    span = daily.groupBy(*keys).agg(
-        F.max("_day").alias("_last"),
-        (F.greatest(F.floor(n * share), F.lit(1)) / F.max("_n")).alias("_width"),
-    ).withColumn("_days", F.ceil("_width").cast("int"))
-
-    def into_windows(df: DataFrame) -> DataFrame:
-        """Copy each row to the horizon days whose window holds it."""
-        first = F.greatest(F.col("_day"), F.col("_days"))
-        last = F.least(F.col("_day") + F.col("_days") - 1, F.col("_last"))
-        # One row per series and size-checked by Catalyst: a broadcast where it fits.
-        return (
-            df.join(span, list(keys))
-            .withColumns({"_a": first, "_b": last})
-            .where("_a <= _b")
-            .withColumn("horizon", F.explode(F.sequence("_a", "_b")))
+    per_day = rows.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_n"))
+    width = F.greatest(F.floor(F.sum("_n") * share), F.lit(1)) / F.max("_n")
+    span = per_day.groupBy(*keys).agg(F.max("_day").alias("_last"), width.alias("_width"))
+    days = F.ceil("_width").cast("int")
+    # Each row is copied to the few horizon days whose window holds it.
+    windowed = (
+        rows.join(span, list(keys))
+        .withColumns(
+            {
+                "_a": F.greatest(F.col("_day"), days),
+                "_b": F.least(F.col("_day") + days - 1, F.col("_last")),
+            }
         )
-
-    weight = F.when(
-        F.col("horizon") - F.col("_day") == F.col("_days") - 1,
-        F.col("_width") - F.col("_days") + 1,
-    ).otherwise(F.lit(1.0))
-    averaged = (
-        into_windows(daily)
-        .withColumn("_w", weight)
-        .groupBy(*keys, "horizon")
-        .agg(*[ratio(F.sum(F.col(m) * F.col("_w")), F.sum("_w")).alias(m) for m in means])
-        .withColumn("rmse", F.sqrt("mse"))
+        .where("_a <= _b")
+        .withColumn("horizon", F.explode(F.sequence("_a", "_b")))
     )
-    medians = (
-        into_windows(rows.select(*keys, "_day", "mape"))
+    earliest = F.col("horizon") - F.col("_day") == days - 1
+    w = F.when(earliest, F.col("_width") - days + 1).otherwise(F.lit(1.0))
+    return (
+        windowed.withColumn("_w", w)
         .groupBy(*keys, "horizon")
-        .agg(F.median("mape").alias("mdape"))
+        .agg(
+            *[
+                ratio(F.sum(F.col(m) * F.col("_w")), F.sum("_w")).alias(m)
+                for m in ("mse", "mae", "mape", "smape", "coverage")
+            ],
+            F.median("mape").alias("mdape"),
+        )
+        .withColumn("rmse", F.sqrt("mse"))
     )
-    return averaged.join(medians, [*keys, "horizon"])
 
 
 def model_ranking(scores: DataFrame, keys: Sequence[str], metric: str = "cv_rmse_mean") -> DataFrame:

@@ -115,7 +115,7 @@ def coefficient_table(fits: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Coefficients of the standardised features as rows."""
     pairs = F.arrays_zip(F.col("features").alias("feature"), F.col("coef_scaled").alias("score"))
     return fits.select(*keys, F.explode(pairs).alias("p")).select(
-        *keys, F.col("p.features").alias("feature"), F.col("p.coef_scaled").alias("score")
+        *keys, "p.feature", "p.score"
     )
 
 
