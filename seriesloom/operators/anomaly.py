@@ -35,22 +35,22 @@ def zscore_anomalies(
     )
 
 
-def iqr_anomalies(df: DataFrame, keys: Sequence[str], size: int = BLOCK_DAYS) -> DataFrame:
-    """Flag values outside the quartile fences of their series."""
-    fences = (
-        quartiles_iqr(df, keys)
-        .select(*keys, "low_fence", "high_fence")
-        .join(date_bounds(df, keys), list(keys))
-    )
+def flag_iqr(df: DataFrame) -> DataFrame:
+    """Flag values outside ``low_fence``..``high_fence``."""
     y = F.col("y")
     outside = (y < F.col("low_fence")) | (y > F.col("high_fence"))
-    return (
-        attach(df, fences, keys, size)
-        .withColumn("is_anomaly_iqr", F.coalesce(outside, F.lit(False)))
-        .drop("low_fence", "high_fence")
+    return df.withColumn("is_anomaly_iqr", F.coalesce(outside, F.lit(False))).drop(
+        "low_fence", "high_fence"
     )
 
 
+def iqr_anomalies(df: DataFrame, keys: Sequence[str], size: int = BLOCK_DAYS) -> DataFrame:
+    """Flag values outside the quartile fences of their series."""
+    fences = quartiles_iqr(df, keys).select(*keys, "low_fence", "high_fence")
+    facts = fences.join(date_bounds(df, keys), list(keys))
+    return flag_iqr(attach(df, facts, keys, size))
+
+
 def trend_outliers(
     df: DataFrame,
     keys: Sequence[str],

@@ -13,24 +13,22 @@ from .grid import date_bounds
 from .windows import trend_component
 
 
-def _phased(grid: DataFrame, keys: Sequence[str], period: int, size: int) -> DataFrame:
-    """Trend and phase of each row; both null for series shorter than two periods."""
-    bounds = date_bounds(grid, keys)
-    facts = bounds.withColumns(
+def series_facts(grid: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bounds, start and length of each series, for ``attach``."""
+    return date_bounds(grid, keys).withColumns(
         {"_start": F.col("lo"), "_days": F.datediff("hi", "lo") + 1}
     )
-    with_trend = over_blocks(grid, keys, trend_component(period), size=size)
+
+
+def _phased(with_trend: DataFrame, period: int) -> DataFrame:
+    """Phase of each row; phase and trend are null for series shorter than two periods."""
     enough = F.col("_days") >= 2 * period
-    return (
-        attach(with_trend, facts, keys, size)
-        .withColumns(
-            {
-                "phase": F.when(enough, F.datediff("ds", "_start") % period),
-                "trend": F.when(enough, F.col("trend")),
-            }
-        )
-        .drop("_start", "_days")
-    )
+    return with_trend.withColumns(
+        {
+            "phase": F.when(enough, F.datediff("ds", "_start") % period),
+            "trend": F.when(enough, F.col("trend")),
+        }
+    ).drop("_start", "_days")
 
 
 def _seasonal(phased: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,18 +42,21 @@ def _seasonal(phased: DataFrame, keys: Sequence[str]) -> DataFrame:
     return means.select(*keys, "phase", (F.col("_m") - centre).alias("seasonal"))
 
 
+def _with_trend(grid: DataFrame, keys: Sequence[str], period: int, size: int) -> DataFrame:
+    trended = over_blocks(grid, keys, trend_component(period), size=size)
+    return attach(trended, series_facts(grid, keys), keys, size)
+
+
 def seasonal_component(
     grid: DataFrame, keys: Sequence[str], period: int = 365, size: int = BLOCK_DAYS
 ) -> DataFrame:
     """Mean detrended value per position in the period, centred: ``(keys, phase, seasonal)``."""
-    return _seasonal(_phased(grid, keys, period, size), keys)
+    return _seasonal(_phased(_with_trend(grid, keys, period, size), period), keys)
 
 
-def decompose(
-    grid: DataFrame, keys: Sequence[str], period: int = 365, size: int = BLOCK_DAYS
-) -> DataFrame:
-    """Add ``trend``, ``seasonal`` and ``residual``; null for series under two periods."""
-    phased = _phased(grid, keys, period, size)
+def add_components(with_trend: DataFrame, keys: Sequence[str], period: int = 365) -> DataFrame:
+    """Seasonal and residual for rows that have ``trend`` and the ``series_facts``."""
+    phased = _phased(with_trend, period)
     # The phase spreads even a single long series over `period` join keys.
     return (
         phased.join(_seasonal(phased, keys), [*keys, "phase"], "left")
@@ -64,6 +65,13 @@ def decompose(
     )
 
 
+def decompose(
+    grid: DataFrame, keys: Sequence[str], period: int = 365, size: int = BLOCK_DAYS
+) -> DataFrame:
+    """Add ``trend``, ``seasonal`` and ``residual``; null for series under two periods."""
+    return add_components(_with_trend(grid, keys, period, size), keys, period)
+
+
 def decompose_strength(components: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How much of the variance trend and seasonality explain (population variances)."""
     resid = F.col("residual")
