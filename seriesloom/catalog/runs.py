@@ -111,26 +111,24 @@ def _(spark, sf):
     return out
 
 
-def _items(section: str, source: str, **items: str) -> str:
+def _items(section: str, source: str, numbers: str = "", texts: str = "") -> str:
+    rows = [(n, f"CAST({n} AS DOUBLE)", "NULL") for n in numbers.split()]
+    rows += [(n, "NULL", f"CAST({n} AS VARCHAR)") for n in texts.split()]
     return " UNION ALL ".join(
-        f"SELECT series, '{section}' AS section, '{n}' AS item, {e} AS value FROM {source}"
-        for n, e in items.items()
+        f"SELECT series, '{section}' AS section, '{n}' AS item, {value} AS value, {text} AS text FROM {source}"
+        for n, value, text in rows
     )
 
 
-def _fixed(*names: str) -> dict[str, str]:
-    return {n: f"printf('%.6f', {n})" for n in names}
-
-
 @query(
     "snk5_report_table",
     f"""{FILLED}, {YEARLY}, price AS ({PRICE}), growth AS ({GROWTH}),
     dates AS (SELECT series, min(ds) AS first_ds, max(ds) AS last_ds, count(*) AS days,
       count(DISTINCT year(ds)) AS years FROM filled GROUP BY series)
-    {_items("overview", "dates", **{n: f"CAST({n} AS VARCHAR)" for n in ("first_ds", "last_ds", "days", "years")})}
-    UNION ALL {_items("price", "price", **_fixed("mean", "median", "min", "max", "std", "cv_pct"))}
-    UNION ALL {_items("trend", "growth", years_span="CAST(CAST(years_span AS BIGINT) AS VARCHAR)",
-      **_fixed("first_mean", "last_mean", "total_growth_pct", "cagr_pct"))}""",
+    {_items("overview", "dates", "days years", "first_ds last_ds")}
+    UNION ALL {_items("price", "price", "mean median min max std cv_pct")}
+    UNION ALL {_items("trend", "growth", "years_span first_mean last_mean total_growth_pct cagr_pct")}""",
+    num="value",
 )
 def _(spark, sf):
     grid = filled(spark, sf)

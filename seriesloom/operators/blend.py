@@ -75,7 +75,7 @@ def weight_sweep(
             for name, w in sets.items()
         ]
     )
-    return predictions.select(*keys, "ds", F.explode(blends).alias("b")).select(*keys, "ds", "b.*")
+    return predictions.select(*keys, "ds", F.inline(blends))
 
 
 def history_forecast_series(

@@ -30,7 +30,7 @@ def correlation_pairs(
         for c, d in pairs
         for a, b in ((c, d), (d, c))
     ]
-    return wide.select(*keys, F.explode(F.array(*entries)).alias("p")).select(*keys, "p.*")
+    return wide.select(*keys, F.inline(F.array(*entries)))
 
 
 def correlation_matrix(
@@ -117,8 +117,8 @@ def feature_selection(
     )
     out = (
         visits.withColumns({"_kept": kept, "_names": F.transform("v", lambda f: f.feature)})
-        .select(*keys, "_kept", "_names", F.posexplode("v").alias("_pos", "f"))
-        .select(*keys, "_kept", "_names", (F.col("_pos") + 1).alias("rank"), "f.*")
+        .select(*keys, "_kept", "_names", F.posexplode("v").alias("_pos", "_visit"))
+        .select(*keys, "_kept", "_names", (F.col("_pos") + 1).alias("rank"), "_visit.*")
     )
     is_kept = F.array_contains(F.col("_kept"), F.col("feature"))
     earlier = F.filter(

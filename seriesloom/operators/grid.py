@@ -164,9 +164,7 @@ def _segments(panel: DataFrame, keys: Sequence[str], ax: Axis, size: int) -> Dat
         (F.col("rank") == 1) & head.isNull() & nxt.isNull(),
         stretch(F.col("lo"), F.col("hi"), none, none, none, none),
     )
-    outer = edges.select(*keys, F.explode(F.array(before, across, empty)).alias("s")).select(
-        *keys, "s.*"
-    )
+    outer = edges.select(*keys, F.inline(F.array(before, across, empty)))
     return within.unionByName(outer).where("start <= stop")
 
 

@@ -114,9 +114,7 @@ def linear_value(features: Sequence[str]) -> Column:
 def coefficient_table(fits: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Coefficients of the standardised features as rows."""
     pairs = F.arrays_zip(F.col("features").alias("feature"), F.col("coef_scaled").alias("score"))
-    return fits.select(*keys, F.explode(pairs).alias("p")).select(
-        *keys, "p.feature", "p.score"
-    )
+    return fits.select(*keys, F.inline(pairs))
 
 
 def simple_regression(df: DataFrame, keys: Sequence[str], x: Column) -> DataFrame:

@@ -36,8 +36,7 @@ def profile_schema(df: DataFrame) -> DataFrame:
     )
     return (
         df.agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.explode(fields).alias("f"), "row_count", F.lit(len(df.columns)).alias("column_count"))
-        .select("f.*", "row_count", "column_count")
+        .select(F.inline(fields), "row_count", F.lit(len(df.columns)).alias("column_count"))
     )
 
 
@@ -80,10 +79,10 @@ def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     their frequency and repeated values cost nothing in the shuffle.
     """
     long = df.select(
-        F.explode(
+        F.inline(
             F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])
-        ).alias("p")
-    ).select("p.*")
+        )
+    )
     freq = long.where("v is not null").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
     n, v = F.col("n"), F.col("v")
     total = F.sum(n)

@@ -173,11 +173,11 @@ def peak_trough_month(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         )
         .select(
             *keys,
-            (-F.col("_hi.col2")).alias("peak_month"),
-            F.col("_hi.mean_y").alias("peak_mean"),
-            F.col("_lo.month").alias("trough_month"),
-            F.col("_lo.mean_y").alias("trough_mean"),
-            (ratio(F.col("_hi.mean_y") - F.col("_lo.mean_y"), F.col("_avg")) * 100).alias(
+            (-F.col("_hi").col2).alias("peak_month"),
+            F.col("_hi").mean_y.alias("peak_mean"),
+            F.col("_lo").month.alias("trough_month"),
+            F.col("_lo").mean_y.alias("trough_mean"),
+            (ratio(F.col("_hi").mean_y - F.col("_lo").mean_y, F.col("_avg")) * 100).alias(
                 "seasonal_variation_pct"
             ),
         )

@@ -1,4 +1,4 @@
-"""Reports as tables: ``(keys, section, item, value)``."""
+"""Reports as tables: ``(keys, section, item, value, text)``."""
 
 from __future__ import annotations
 
@@ -11,19 +11,20 @@ from pyspark.sql import types as T
 
 
 def section(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
-    """One summary row per series as rows of items; numbers with six decimals."""
-    items = [f for f in df.schema if f.name not in keys]
-
-    def text(f: T.StructField):
-        c = F.col(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            return F.format_string("%.6f", c)
-        return c.cast("string")
-
-    wide = df.select(*keys, *[F.when(F.col(f.name).isNotNull(), text(f)).alias(f.name) for f in items])
-    return wide.unpivot(list(keys), [f.name for f in items], "item", "value").select(
-        *keys, F.lit(name).alias("section"), "item", "value"
-    )
+    """One summary row per series as rows of items: numbers in ``value``, the rest in ``text``."""
+    entries = []
+    for f in df.schema:
+        if f.name not in keys:
+            number = isinstance(f.dataType, T.NumericType)
+            c = F.col(f"`{f.name}`")
+            entries.append(
+                F.struct(
+                    F.lit(f.name).alias("item"),
+                    (c.cast("double") if number else F.lit(None).cast("double")).alias("value"),
+                    (F.lit(None).cast("string") if number else c.cast("string")).alias("text"),
+                )
+            )
+    return df.select(*keys, F.lit(name).alias("section"), F.inline(F.array(*entries)))
 
 
 def long_report(sections: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
