@@ -224,13 +224,13 @@ def additive_predict(
     and no shuffle of rows.
     """
     ax = AXES[freq]
-    end = ax.down(F.col("last"))
-    first = ax.up(F.col("start")) if history else end + 1
+    end = ax.down("last")
+    first = ax.up("start") if history else end + 1
     dates = (
         fits.withColumns({"_a": first, "_b": end + periods})
         .where("_a <= _b")
         .withColumn("_p", F.explode(F.sequence("_a", "_b")))
-        .withColumn("ds", ax.at(F.col("_p")))
+        .withColumn("ds", ax.at("_p"))
         .drop("_a", "_b", "_p")
     )
     return _score(dates, cfg, F.col("last"))

@@ -68,7 +68,7 @@ def trend_outliers(
     if by_row:
         numbered = row_position(df, keys, size=size)
         out = over_blocks(
-            numbered, keys, *families, pos=F.col("pos"), size=size, order="pos"
+            numbered, keys, *families, pos="pos", size=size, order="pos"
         ).drop("pos")
     else:
         out = over_blocks(df, keys, *families, size=size)

@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 
 BLOCK_DAYS = 4096
 
-Stage = dict[str, Callable[[WindowSpec], Column]]
+# A window column: SQL with ``{w}`` for the window, or a function of the window.
+WindowColumn = str | Callable[[WindowSpec], Column]
+Stage = dict[str, WindowColumn]
+
+DAY = "unix_date(ds)"
 
 
 @dataclass(frozen=True)
@@ -25,8 +29,9 @@ class Family:
     """Window columns computed together.
 
     ``stages`` run one after the other, so that a stage may use columns of the
-    stages before it.  ``before``/``after`` say how many rows back and ahead
-    the last stage reaches in total.
+    stages before it; columns that start with an underscore are dropped at the
+    end.  ``before``/``after`` say how many rows back and ahead the last stage
+    reaches in total.
     """
 
     stages: tuple[Stage, ...]
@@ -34,28 +39,35 @@ class Family:
     after: int = 0
 
 
-def block_of(pos: Column, size: int = BLOCK_DAYS) -> Column:
-    return F.floor(pos / F.lit(size)).cast("int")
+def block_of(pos: str, size: int = BLOCK_DAYS) -> str:
+    """SQL of the block a position lies in."""
+    return f"cast(floor(({pos}) / {size}) as int)"
 
 
-def spread(
-    df: DataFrame, before: int, after: int, pos: Column | None = None, size: int = BLOCK_DAYS
-) -> DataFrame:
+def window_columns(stage: Stage, partition: Sequence[str], order: str) -> dict[str, Column]:
+    spec = Window.partitionBy(*partition).orderBy(order)
+    text = f"PARTITION BY {', '.join(f'`{p}`' for p in partition)} ORDER BY `{order}`"
+    return {
+        name: F.expr(make.format(w=text)) if isinstance(make, str) else make(spec)
+        for name, make in stage.items()
+    }
+
+
+def spread(df: DataFrame, before: int, after: int, pos: str = DAY, size: int = BLOCK_DAYS) -> DataFrame:
     """Copy each row into every block that has rows within reach of it."""
-    pos = F.unix_date("ds") if pos is None else pos
+    home = block_of(pos, size)
     if before == 0 and after == 0:
-        return df.withColumns({"_blk": block_of(pos, size), "_own": F.lit(True)})
-    reach = F.sequence(block_of(pos - after, size), block_of(pos + before, size))
-    return df.withColumns({"_home": block_of(pos, size), "_blk": F.explode(reach)}).withColumn(
-        "_own", F.col("_blk") == F.col("_home")
-    ).drop("_home")
+        return df.selectExpr("*", f"{home} AS _blk", "true AS _own")
+    first, last = block_of(f"{pos} - {after}", size), block_of(f"{pos} + {before}", size)
+    copies = df.selectExpr("*", f"{home} AS _home", f"explode(sequence({first}, {last})) AS _blk")
+    return copies.selectExpr("*", "_blk = _home AS _own").drop("_home")
 
 
 def over_blocks(
     df: DataFrame,
     keys: Sequence[str],
     *families: Family,
-    pos: Column | None = None,
+    pos: str = DAY,
     size: int = BLOCK_DAYS,
     order: str = "ds",
 ) -> DataFrame:
@@ -66,15 +78,16 @@ def over_blocks(
     """
     before = max(f.before for f in families)
     after = max(f.after for f in families)
-    w = Window.partitionBy(*keys, "_blk").orderBy(order)
     out = spread(df, before, after, pos, size)
+    scratch: set[str] = set()
     for i in range(max(len(f.stages) for f in families)):
-        columns: dict[str, Column] = {}
+        stage: Stage = {}
         for f in families:
             if i < len(f.stages):
-                columns |= {name: make(w) for name, make in f.stages[i].items()}
-        out = out.withColumns(columns)
-    return out.where("_own").drop("_blk", "_own")
+                stage |= f.stages[i]
+        out = out.withColumns(window_columns(stage, [*keys, "_blk"], order))
+        scratch |= {c for c in stage if c.startswith("_")}
+    return out.where("_own").drop("_blk", "_own", *scratch)
 
 
 def row_position(
@@ -85,7 +98,7 @@ def row_position(
     Rows are numbered inside their block; the counts of the earlier blocks,
     one row per (series, block), give the offset.
     """
-    blocked = df.withColumn("_blk", block_of(F.unix_date(ds), size))
+    blocked = df.selectExpr("*", f"{block_of(f'unix_date({ds})', size)} AS _blk")
     offsets = (
         blocked.groupBy(*keys, "_blk")
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -124,12 +137,7 @@ def attach(
     is spread over tasks like everywhere else.  Catalyst broadcasts the facts
     by itself when their size allows.
     """
-    blocks = F.sequence(
-        block_of(F.unix_date("lo"), size), block_of(F.unix_date("hi"), size)
-    )
-    wide = facts.withColumn("_blk", F.explode(blocks)).drop("lo", "hi")
-    return (
-        df.withColumn("_blk", block_of(F.unix_date("ds"), size))
-        .join(wide, [*keys, "_blk"])
-        .drop("_blk")
-    )
+    first, last = block_of("unix_date(lo)", size), block_of("unix_date(hi)", size)
+    wide = facts.selectExpr("*", f"explode(sequence({first}, {last})) AS _blk").drop("lo", "hi")
+    rows = df.selectExpr("*", f"{block_of(DAY, size)} AS _blk")
+    return rows.join(wide, [*keys, "_blk"]).drop("_blk")

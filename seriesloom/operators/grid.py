@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,36 +13,39 @@ from .blocks import BLOCK_DAYS, block_of
 
 @dataclass(frozen=True)
 class Axis:
-    """Integer axis of a calendar frequency.
+    """Integer axis of a calendar frequency, as SQL.
 
-    ``up``/``down`` give the position of the first grid date at or after, and
-    the last at or before a date; ``at`` turns a position back into a date.
+    ``first``/``final`` give the position of the first grid date at or after,
+    and the last at or before a date; ``date`` turns a position into a date.
     """
 
-    up: Callable[[Column], Column]
-    down: Callable[[Column], Column]
-    at: Callable[[Column], Column]
+    first: str
+    final: str
+    date: str
 
+    def up(self, day: str) -> Column:
+        return F.expr(self.first.format(d=day))
 
-def _month_no(d: Column) -> Column:
-    return F.year(d) * 12 + F.month(d) - 1
+    def down(self, day: str) -> Column:
+        return F.expr(self.final.format(d=day))
+
+    def at(self, pos: str) -> Column:
+        return F.expr(self.date.format(p=pos))
 
 
 # 1970-01-04, day 3 of the epoch, is a Sunday: weekly grids lie on Sundays,
 # monthly grids on the last day of the month.
 AXES = {
-    "D": Axis(F.unix_date, F.unix_date, F.date_from_unix_date),
+    "D": Axis("unix_date({d})", "unix_date({d})", "date_from_unix_date({p})"),
     "W": Axis(
-        lambda d: F.ceil((F.unix_date(d) - 3) / F.lit(7)).cast("int"),
-        lambda d: F.floor((F.unix_date(d) - 3) / F.lit(7)).cast("int"),
-        lambda p: F.date_from_unix_date(p * 7 + 3),
+        "cast(ceil((unix_date({d}) - 3) / 7) as int)",
+        "cast(floor((unix_date({d}) - 3) / 7) as int)",
+        "date_from_unix_date({p} * 7 + 3)",
     ),
     "M": Axis(
-        _month_no,
-        lambda d: _month_no(d) - (d != F.last_day(d)).cast("int"),
-        lambda p: F.last_day(
-            F.make_date(F.floor(p / F.lit(12)).cast("int"), p % 12 + 1, F.lit(1))
-        ),
+        "year({d}) * 12 + month({d}) - 1",
+        "year({d}) * 12 + month({d}) - 1 - cast({d} <> last_day({d}) as int)",
+        "last_day(make_date(cast(floor({p} / 12) as int), {p} % 12 + 1, 1))",
     ),
 }
 
@@ -56,10 +59,10 @@ def date_spine(panel: DataFrame, keys: Sequence[str], freq: str = "D") -> DataFr
     ax = AXES[freq]
     return (
         date_bounds(panel, keys)
-        .select(*keys, ax.up(F.col("lo")).alias("_a"), ax.down(F.col("hi")).alias("_b"))
+        .select(*keys, ax.up("lo").alias("_a"), ax.down("hi").alias("_b"))
         .where("_a <= _b")
         .select(*keys, F.explode(F.sequence("_a", "_b")).alias("_p"))
-        .select(*keys, ax.at(F.col("_p")).alias("ds"))
+        .select(*keys, ax.at("_p").alias("ds"))
     )
 
 
@@ -75,9 +78,9 @@ def future_frame(
     ax = AXES[freq]
     ahead = (
         date_bounds(panel, keys)
-        .withColumn("_b", ax.down(F.col("hi")))
+        .withColumn("_b", ax.down("hi"))
         .withColumn("_p", F.explode(F.sequence(F.col("_b") + 1, F.col("_b") + periods)))
-        .select(*keys, ax.at(F.col("_p")).alias("ds"))
+        .select(*keys, ax.at("_p").alias("ds"))
     )
     return panel.select(*keys, "ds").unionByName(ahead) if history else ahead
 
@@ -91,35 +94,25 @@ def _segments(panel: DataFrame, keys: Sequence[str], ax: Axis, size: int) -> Dat
     stretches that leave a block come from one summary row per (series, block),
     so an arbitrarily long series is never sorted in one task.
     """
-    seen = F.col("y").isNotNull() & (ax.up(F.col("ds")) == ax.down(F.col("ds")))
-    rows = panel.select(
-        *keys,
-        "y",
-        ax.up(F.col("ds")).alias("_up"),
-        ax.down(F.col("ds")).alias("_down"),
-        seen.alias("_seen"),
-    ).withColumn("_blk", block_of(F.col("_up"), size))
-
-    w = Window.partitionBy(*keys, "_blk").orderBy("_up")
+    rows = panel.select(*keys, "y", ax.up("ds").alias("_up"), ax.down("ds").alias("_down"))
+    rows = rows.selectExpr(
+        "*", "y IS NOT NULL AND _up = _down AS _seen", f"{block_of('_up', size)} AS _blk"
+    )
+    in_block = Window.partitionBy(*keys, "_blk").orderBy("_up")
     within = (
         rows.where("_seen")
-        .select(
-            *keys,
-            F.col("_up").alias("pos0"),
-            F.col("y").alias("y0"),
-            F.lead("_up").over(w).alias("pos1"),
-            F.lead("y").over(w).alias("y1"),
-        )
-        .where("pos1 is not null")
-        .select(
-            *keys, F.col("pos0").alias("start"), (F.col("pos1") - 1).alias("stop"),
-            "pos0", "y0", "pos1", "y1",
+        .withColumns({"pos1": F.lead("_up").over(in_block), "y1": F.lead("y").over(in_block)})
+        .where("pos1 IS NOT NULL")
+        .selectExpr(
+            *keys, "_up AS start", "pos1 - 1 AS stop", "_up AS pos0", "y AS y0", "pos1", "y1"
         )
     )
 
-    point = F.when(F.col("_seen"), F.struct(F.col("_up").alias("pos"), F.col("y").alias("y")))
     by_block = Window.partitionBy(*keys).orderBy("_blk")
     whole = Window.partitionBy(*keys)
+    later = by_block.rowsBetween(1, Window.unboundedFollowing)
+    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
+    point = F.expr("CASE WHEN _seen THEN struct(_up AS pos, y AS y) END")
     edges = (
         rows.groupBy(*keys, "_blk")
         .agg(
@@ -128,46 +121,44 @@ def _segments(panel: DataFrame, keys: Sequence[str], ax: Axis, size: int) -> Dat
             F.min(point).alias("head"),
             F.max(point).alias("tail"),
         )
-        .select(
-            *keys,
-            "head",
-            "tail",
-            F.min("_lo").over(whole).alias("lo"),
-            F.max("_hi").over(whole).alias("hi"),
-            F.first("head", ignorenulls=True)
-            .over(by_block.rowsBetween(1, Window.unboundedFollowing))
-            .alias("next"),
-            F.last("tail", ignorenulls=True)
-            .over(by_block.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("prev"),
-            F.row_number().over(by_block).alias("rank"),
+        .withColumns(
+            {
+                "lo": F.min("_lo").over(whole),
+                "hi": F.max("_hi").over(whole),
+                "next": F.first("head", ignorenulls=True).over(later),
+                "prev": F.last("tail", ignorenulls=True).over(earlier),
+                "rank": F.row_number().over(by_block),
+            }
         )
     )
-    none = F.lit(None)
-    schema = {"start": "int", "stop": "int", "pos0": "int", "y0": "double", "pos1": "int", "y1": "double"}
-
-    def stretch(*values: Column) -> Column:
-        return F.struct(*[v.cast(t).alias(n) for v, (n, t) in zip(values, schema.items())])
-
-    head, tail, nxt = F.col("head"), F.col("tail"), F.col("next")
-    across = F.when(
-        tail.isNotNull(),
-        stretch(
-            tail.pos, F.coalesce(nxt.pos - 1, F.col("hi")), tail.pos, tail.y, nxt.pos, nxt.y
-        ),
-    )
-    before = F.when(
-        head.isNotNull() & F.col("prev").isNull(),
-        stretch(F.col("lo"), head.pos - 1, none, none, head.pos, head.y),
-    )
-    empty = F.when(
-        (F.col("rank") == 1) & head.isNull() & nxt.isNull(),
-        stretch(F.col("lo"), F.col("hi"), none, none, none, none),
+    # From the last observation of a block to the next one or the end of the
+    # series; before the first observation; a series without any.
+    outer = edges.selectExpr(
+        *keys,
+        """inline(array(
+          CASE WHEN tail IS NOT NULL THEN struct(tail.pos AS start, coalesce(next.pos - 1, hi) AS stop,
+            tail.pos AS pos0, tail.y AS y0, next.pos AS pos1, next.y AS y1) END,
+          CASE WHEN head IS NOT NULL AND prev IS NULL THEN struct(lo AS start, head.pos - 1 AS stop,
+            CAST(NULL AS INT) AS pos0, CAST(NULL AS DOUBLE) AS y0, head.pos AS pos1, head.y AS y1) END,
+          CASE WHEN rank = 1 AND head IS NULL AND next IS NULL THEN struct(lo AS start, hi AS stop,
+            CAST(NULL AS INT) AS pos0, CAST(NULL AS DOUBLE) AS y0, CAST(NULL AS INT) AS pos1,
+            CAST(NULL AS DOUBLE) AS y1) END))""",
     )
-    outer = edges.select(*keys, F.inline(F.array(before, across, empty)))
     return within.unionByName(outer).where("start <= stop")
 
 
+# Value of a grid position between the observations of its stretch, by method.
+LINE = """CASE WHEN pos = pos0 THEN y0 WHEN pos0 IS NULL THEN NULL WHEN pos1 IS NULL THEN y0
+  ELSE y0 + (y1 - y0) * (pos - pos0) / (pos1 - pos0) END"""
+METHODS = {
+    None: "CASE WHEN pos = pos0 THEN y0 END",
+    "time": LINE,
+    "linear": LINE,
+    "linear_edges": f"coalesce({LINE}, y1)",
+    "bfill_ffill": "CASE WHEN pos = pos0 THEN y0 ELSE coalesce(y1, y0) END",
+}
+
+
 def fill_grid(
     panel: DataFrame,
     keys: Sequence[str],
@@ -184,26 +175,15 @@ def fill_grid(
     gaps null.
     """
     ax = AXES[freq]
-    pos, pos0, pos1 = F.col("pos"), F.col("pos0"), F.col("pos1")
-    y0, y1 = F.col("y0"), F.col("y1")
-    at_left = pos0.isNotNull() & (pos == pos0)
-    line = (
-        F.when(at_left, y0)
-        .when(pos0.isNull(), F.lit(None).cast("double"))
-        .when(pos1.isNull(), y0)
-        .otherwise(y0 + (y1 - y0) * (pos - pos0) / (pos1 - pos0))
-    )
-    value = {
-        None: F.when(at_left, y0),
-        "time": line,
-        "linear": line,
-        "linear_edges": F.coalesce(line, y1),
-        "bfill_ffill": F.when(at_left, y0).otherwise(F.coalesce(y1, y0)),
-    }[method]
     return (
         _segments(panel, keys, ax, size)
-        .select("*", F.explode(F.sequence("start", "stop")).alias("pos"))
-        .select(*keys, ax.at(pos).alias("ds"), value.alias("y"), at_left.alias("real_value"))
+        .selectExpr("*", "explode(sequence(start, stop)) AS pos")
+        .select(
+            *keys,
+            ax.at("pos").alias("ds"),
+            F.expr(METHODS[method]).alias("y"),
+            F.expr("coalesce(pos = pos0, false)").alias("real_value"),
+        )
     )
 
 

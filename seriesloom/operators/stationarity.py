@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .blocks import BLOCK_DAYS, Family, attach, over_blocks
 from .grid import date_bounds
 from .moments import Moments, merge_two, partial_moments, solve_groups
+from .windows import lag
 
 # Critical values for the regression with constant, as
 # polynomials in 1/T (MacKinnon 2010).
@@ -73,15 +74,8 @@ def adf_test(
             date_bounds(filled, keys).select((F.datediff("hi", "lo") + 1).alias("d")).agg(days).first()[0]
         )
     top = max(max_lag_of(max_days or 0), 0)
-    diffs = {f"d{k}": (lambda w, k=k: F.lag("d0", k).over(w)) for k in range(1, top + 1)}
-    steps = Family(
-        (
-            {"level": lambda w: F.lag("y").over(w)},
-            {"d0": lambda w: F.col("y") - F.col("level")},
-            diffs,
-        ),
-        before=top + 1,
-    )
+    diffs = {f"d{k}": lag("d0", k) for k in range(1, top + 1)}
+    steps = Family(({"level": lag("y", 1)}, {"d0": "y - level"}, diffs), before=top + 1)
     facts = date_bounds(filled, keys).withColumns(
         {"_start": F.col("lo"), "_n": F.datediff("hi", "lo") + 1}
     )
@@ -96,23 +90,15 @@ def adf_test(
         .where("_max >= 0 and level is not null")
     )
     # Differences beyond the series' own bound are never used; zero keeps the row whole.
-    regressors = [
-        F.when(F.lit(k) <= F.col("_max"), F.col(f"d{k}")).otherwise(F.lit(0.0))
-        for k in range(1, top + 1)
-    ]
-    x = ["level", *regressors, "d0"]
+    x = [f"CASE WHEN {k} <= _max THEN d{k} ELSE 0 END AS x{k}" for k in range(1, top + 1)]
+    common = rows.where("_pos > _max").selectExpr(*keys, "_max", "-1 AS _row", "level", *x, "d0")
     # Rows before the common sample stand alone, under their position.
-    early = rows.where("_pos <= _max").withColumn("_row", F.col("_pos"))
-    early = early.select(
-        *keys, "_max", "_row", F.col("level"), *[
-            F.coalesce(r, F.lit(0.0)).alias(f"x{i}") for i, r in enumerate(regressors)
-        ], "d0",
-    )
-    common = rows.where("_pos > _max").select(
-        *keys, "_max", F.lit(-1).alias("_row"), "level",
-        *[r.alias(f"x{i}") for i, r in enumerate(regressors)], "d0",
+    early = (
+        rows.where("_pos <= _max")
+        .selectExpr(*keys, "_max", "_pos AS _row", "level", *x, "d0")
+        .na.fill(0.0, [f"x{k}" for k in range(1, top + 1)])
     )
-    columns = ["level", *[f"x{i}" for i in range(top)], "d0"]
+    columns = ["level", *[f"x{k}" for k in range(1, top + 1)], "d0"]
     moments = partial_moments(early.unionByName(common), [*keys, "_max", "_row"], columns)
 
     def solve(_, groups: dict) -> dict[str, list] | None:
@@ -156,7 +142,7 @@ def adf_test(
 
 def dickey_fuller(grid: DataFrame, keys: Sequence[str], size: int = BLOCK_DAYS) -> DataFrame:
     """The test without lagged differences, from built-in regression aggregates."""
-    step = Family(({"level": lambda w: F.lag("y").over(w)},), before=1)
+    step = Family(({"level": lag("y", 1)},), before=1)
     rows = over_blocks(grid.select(*keys, "ds", "y"), keys, step, size=size)
     dy, x = F.col("y") - F.col("level"), F.col("level")
     slope = F.col("slope")

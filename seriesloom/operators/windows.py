@@ -2,7 +2,7 @@
 
 Functions that return a ``Family`` describe columns; pass any number of them to
 ``over_blocks`` to compute all in one shuffle and one sort.  All frames count
-rows, and rolling values are null until the frame holds n non-null values.
+rows, and rolling values are null unless all n rows of the frame have a value.
 """
 
 from __future__ import annotations
@@ -13,13 +13,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalar import percent, ratio, safe_corr
-from .blocks import BLOCK_DAYS, Family, over_blocks
-
-STATS = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-
+from .blocks import BLOCK_DAYS, Family, Stage, over_blocks
 
 def full(agg: Column, col: str, n: int, frame: WindowSpec) -> Column:
-    """``agg`` over the frame, null unless the frame holds n non-null values."""
+    """``agg`` over a short frame, null unless the frame holds n non-null values."""
     return F.when(F.count(col).over(frame) == n, agg.over(frame))
 
 
@@ -27,55 +24,137 @@ def trailing(w: WindowSpec, n: int) -> WindowSpec:
     return w.rowsBetween(-(n - 1), 0)
 
 
+class Doubling:
+    """Statistics of the last n rows from totals over 1, 2, 4, ... rows, as SQL.
+
+    A sliding frame visits all its n rows again at every row.  Here the total
+    over 2m rows is made of two totals over m rows, m rows apart, so a row costs
+    a handful of lags whatever n is; sums are added in pairs and squared
+    deviations are merged, so there is no cancellation.  A null or missing row
+    makes every total that covers it null, which is the full-frame rule.
+    """
+
+    def __init__(self, col: str, largest: int, stats: Sequence[str]):
+        self.col, self.measures = col, set(stats)
+        self.levels = largest.bit_length() - 1
+
+    def _name(self, part: str, size: int) -> str:
+        return self.col if size == 1 else f"_{self.col}_{part}_{size}"
+
+    def _at(self, shifts: Stage, part: str, size: int, back: int) -> str:
+        """A total as it was ``back`` rows ago; every shift is a column made once."""
+        if part == "dev" and size == 1:
+            return f"(0 * {self._at(shifts, 'sum', 1, back)})"
+        name = self._name(part, size)
+        if back == 0:
+            return name
+        shifted = f"_{name}_{'back' if back > 0 else 'ahead'}_{abs(back)}"
+        shifts[shifted] = lag(name, back)
+        return shifted
+
+    def stages(self) -> list[Stage]:
+        return [stage for k in range(self.levels) for stage in self._level(2**k)]
+
+    def _level(self, m: int) -> tuple[Stage, Stage]:
+        """Totals over 2m rows: the shifts they need, then the totals."""
+        shifts: Stage = {}
+
+        def tile(back):
+            return m, self._at(shifts, "sum", m, back), self._at(shifts, "dev", m, back)
+
+        def pair(part):
+            return f"{self._at(shifts, part, m, 0)}, {self._at(shifts, part, m, m)}"
+
+        columns = {"sum": f"{self._at(shifts, 'sum', m, 0)} + {self._at(shifts, 'sum', m, m)}"}
+        if "std" in self.measures:
+            columns["dev"] = merged_dev(tile(0), tile(m))
+        if "min" in self.measures:
+            columns["min"] = f"least({pair('min')})"
+        if "max" in self.measures:
+            columns["max"] = f"greatest({pair('max')})"
+        return shifts, {self._name(part, 2 * m): sql for part, sql in columns.items()}
+
+    def _tiles(self, n: int) -> list[tuple[int, int]]:
+        """(size, rows back) of the totals that tile the last n rows."""
+        tiles, back = [], 0
+        for size in (2**k for k in reversed(range(n.bit_length()))):
+            if n & size:
+                tiles.append((size, back))
+                back += size
+        return tiles
+
+    def _sum(self, shifts: Stage, n: int, back: int) -> str:
+        return " + ".join(self._at(shifts, "sum", size, b + back) for size, b in self._tiles(n))
+
+    def _stat(self, shifts: Stage, stat: str, n: int, back: int) -> str:
+        if stat == "sum":
+            return self._sum(shifts, n, back)
+        if stat == "mean":
+            return f"({self._sum(shifts, n, back)}) / {n}"
+        if stat == "std":
+            tiles = [
+                (size, *[self._at(shifts, part, size, b + back) for part in ("sum", "dev")])
+                for size, b in self._tiles(n)
+            ]
+            total, s, dev = tiles[0]
+            for tile in tiles[1:]:
+                dev = merged_dev((total, s, dev), tile)
+                total, s = total + tile[0], f"({s} + {tile[1]})"
+            return f"sqrt(({dev}) / {n - 1})"
+        size = 2 ** (n.bit_length() - 1)
+        ends = [self._at(shifts, stat, size, b) for b in (back, n - size + back)]
+        extreme = "least" if stat == "min" else "greatest"
+        whole = f"({self._sum(shifts, n, back)}) IS NOT NULL"
+        return f"CASE WHEN {whole} THEN {extreme}({', '.join(ends)}) END"
+
+    def results(self, wanted: dict[str, tuple[str, int, int]]) -> tuple[Stage, Stage]:
+        """Last two stages: ``{column: (statistic, n, back)}``, each over the n rows that
+        end ``back`` rows before the current one."""
+        shifts: Stage = {}
+        columns = {name: self._stat(shifts, *spec) for name, spec in wanted.items()}
+        return shifts, columns
+
+
+def lag(col: str, rows: int) -> str:
+    return f"lag({col}, {rows}) OVER ({{w}})" if rows else col
+
+
+def merged_dev(a: tuple[int, str, str], b: tuple[int, str, str]) -> str:
+    """Squared deviations of two tiles (rows, sum, squared deviations) together."""
+    (n, s, d), (m, t, e) = a, b
+    return f"({d} + {e} + pow({s} / {n} - {t} / {m}, 2) * {n * m} / {n + m})"
+
+
 def lag_features(lags: Sequence[int] = (1, 7, 14, 30, 365), col: str = "y") -> Family:
-    return Family(
-        ({f"lag_{k}": lambda w, k=k: F.lag(col, k).over(w) for k in lags},), before=max(lags)
-    )
+    return Family(({f"lag_{k}": lag(col, k) for k in lags},), before=max(lags))
+
+
+STATS = ("mean", "std", "min", "max")
 
 
 def rolling(
-    windows: Sequence[int] = (7, 14, 30, 90),
-    stats: Sequence[str] = ("mean", "std", "min", "max"),
-    col: str = "y",
+    windows: Sequence[int] = (7, 14, 30, 90), stats: Sequence[str] = STATS, col: str = "y"
 ) -> Family:
-    stage = {
-        f"rolling_{s}_{n}": lambda w, s=s, n=n: full(STATS[s](col), col, n, trailing(w, n))
-        for n in windows
-        for s in stats
-    }
-    return Family((stage,), before=max(windows) - 1)
+    totals = Doubling(col, max(windows), stats)
+    wanted = {f"rolling_{s}_{n}": (s, n, 0) for n in windows for s in stats}
+    return Family((*totals.stages(), *totals.results(wanted)), before=max(windows) - 1)
 
 
 def changes(volatility: int = 7) -> Family:
     """Difference, relative change, and the rolling deviation of the latter."""
-    return Family(
-        (
-            {
-                "change": lambda w: F.col("y") - F.lag("y").over(w),
-                "pct_change": lambda w: ratio(F.col("y"), F.lag("y").over(w)) - 1,
-            },
-            {
-                f"volatility_{volatility}": lambda w: full(
-                    F.stddev_samp("pct_change"), "pct_change", volatility, trailing(w, volatility)
-                )
-            },
-        ),
-        before=volatility,
-    )
+    previous = {"_y_before": lag("y", 1)}
+    first = {"change": "y - _y_before", "pct_change": "try_divide(y, _y_before) - 1"}
+    totals = Doubling("pct_change", volatility, ("std",))
+    last = totals.results({f"volatility_{volatility}": ("std", volatility, 0)})
+    return Family((previous, first, *totals.stages(), *last), before=volatility)
 
 
 def rolling_zscore(windows: Sequence[int] = (7, 30)) -> Family:
     """Distance of y from its rolling mean in rolling standard deviations."""
-
-    def z(w: WindowSpec, n: int) -> Column:
-        frame = trailing(w, n)
-        return ratio(
-            F.col("y") - full(F.avg("y"), "y", n, frame), full(F.stddev_samp("y"), "y", n, frame)
-        )
-
-    return Family(
-        ({f"zscore_{n}": lambda w, n=n: z(w, n) for n in windows},), before=max(windows) - 1
-    )
+    totals = Doubling("y", max(windows), ("mean", "std"))
+    moments = totals.results({f"_{s}_{n}": (s, n, 0) for n in windows for s in ("mean", "std")})
+    z = {f"zscore_{n}": f"try_divide(y - _mean_{n}, _std_{n})" for n in windows}
+    return Family((*totals.stages(), *moments, z), before=max(windows) - 1)
 
 
 def centered_mean(n: int = 21, name: str = "smooth_baseline") -> Family:
@@ -110,11 +189,8 @@ def year_neighbours(days: int = 365) -> Family:
     """Value one year back and ahead (by rows of the daily grid) and their mean."""
     return Family(
         (
-            {
-                "y_prev_year": lambda w: F.lag("y", days).over(w),
-                "y_next_year": lambda w: F.lead("y", days).over(w),
-            },
-            {"y_year_mean": lambda w: (F.col("y_prev_year") + F.col("y_next_year")) / 2},
+            {"y_prev_year": lag("y", days), "y_next_year": lag("y", -days)},
+            {"y_year_mean": "(y_prev_year + y_next_year) / 2"},
         ),
         before=days,
         after=days,
@@ -134,29 +210,25 @@ def momentum(n: int = 3) -> Family:
 
 def lagged_rolling(lags: Sequence[int] = (1, 7, 30), windows: Sequence[int] = (7, 30)) -> Family:
     """Lags, and rolling mean and deviation of the rows before the current one."""
-
-    def past(w: WindowSpec, n: int) -> WindowSpec:
-        return w.rowsBetween(-n, -1)
-
-    stage = dict(lag_features(lags).stages[0])
-    for n in windows:
-        stage[f"past_mean_{n}"] = lambda w, n=n: full(F.avg("y"), "y", n, past(w, n))
-        stage[f"past_std_{n}"] = lambda w, n=n: full(F.stddev_samp("y"), "y", n, past(w, n))
-    return Family((stage,), before=max(*lags, *windows))
+    totals = Doubling("y", max(windows), ("mean", "std"))
+    past = totals.results(
+        {f"past_{s}_{n}": (s, n, 1) for n in windows for s in ("mean", "std")}
+    )
+    shifts = past[0] | lag_features(lags).stages[0]
+    return Family((*totals.stages(), shifts, past[1]), before=max(*lags, *windows))
 
 
 def trend_component(period: int = 365) -> Family:
     """Centred moving average; an even period weighs both end rows by half."""
     half = period // 2
-
-    def trend(w: WindowSpec) -> Column:
-        if period % 2:
-            return full(F.avg("y"), "y", period, w.rowsBetween(-half, half))
-        ends = (F.lag("y", half).over(w) + F.lead("y", half).over(w)) / 2
-        inner = full(F.sum("y"), "y", period - 1, w.rowsBetween(1 - half, half - 1))
-        return (inner + ends) / period
-
-    return Family(({"trend": trend},), before=half, after=half)
+    totals = Doubling("y", period, ("mean",))
+    if period % 2:
+        last = totals.results({"trend": ("mean", period, -half)})
+    else:
+        shifts, inner = totals.results({"_inner": ("sum", period - 1, 1 - half)})
+        shifts |= {"_left": lag("y", half), "_right": lag("y", -half)}
+        last = (shifts, inner, {"trend": f"(_inner + (_left + _right) / 2) / {period}"})
+    return Family((*totals.stages(), *last), before=half + 1, after=half)
 
 
 def yoy_growth(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -199,12 +271,12 @@ def autocorrelation(
     """
     reach = max_lag - 1
     past = Family(
-        ({"_past": lambda w: F.reverse(F.collect_list("y").over(w.rowsBetween(-reach, -1)))},),
+        ({"past": lambda w: F.reverse(F.collect_list("y").over(w.rowsBetween(-reach, -1)))},),
         before=reach,
     )
     rows = grid.where(F.col("y").isNotNull()).select(*keys, "ds", "y")
     pairs = over_blocks(rows, keys, past, size=size).select(
-        *keys, "y", F.posexplode("_past").alias("_i", "_x")
+        *keys, "y", F.posexplode("past").alias("_i", "_x")
     )
     lag = F.col("_i") + 1
     return (

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seriesloom.operators import windows as Wn
-from seriesloom.operators.blocks import attach, over_blocks, row_position
+from seriesloom.operators.blocks import attach, over_blocks, row_position, window_columns
 from seriesloom.operators.evaluate import fold_segments, rolling_origin_membership, time_series_split
 from seriesloom.operators.grid import date_bounds, fill_grid
 from seriesloom.sources.panel import orders_daily
@@ -32,17 +32,17 @@ def grid(spark, sf):
 @pytest.mark.parametrize("name", FAMILIES)
 def test_blocks_equal_plain_window(grid, name):
     family = FAMILIES[name]
-    w = Window.partitionBy("series").orderBy("ds")
     plain = grid
     for stage in family.stages:
-        plain = plain.withColumns({c: make(w) for c, make in stage.items()})
+        plain = plain.withColumns(window_columns(stage, K, "ds"))
+    plain = plain.select([c for c in plain.columns if not c.startswith("_")])
     blocked = over_blocks(grid, K, family, size=100)
     assert blocked.count() == grid.count()
     assert blocked.exceptAll(plain).count() == 0
 
 
 def test_equal_to_pandas(grid):
-    got = over_blocks(grid, K, Wn.lag_features((30,)), Wn.rolling((7,)), Wn.changes()).toPandas()
+    got = over_blocks(grid, K, Wn.rolling((7, 90)), Wn.changes(), Wn.lagged_rolling(), Wn.trend_component()).toPandas()
     for _, g in got.sort_values("ds").groupby("series"):
         y = g.y
         pct = y.pct_change()
@@ -51,6 +51,10 @@ def test_equal_to_pandas(grid):
             "rolling_mean_7": y.rolling(7).mean(),
             "rolling_std_7": y.rolling(7).std(),
             "rolling_min_7": y.rolling(7).min(),
+            "rolling_max_90": y.rolling(90).max(),
+            "rolling_std_90": y.rolling(90).std(),
+            "trend": y.rolling(365, center=True).mean(),
+            "past_mean_30": y.shift(1).rolling(30).mean(),
             "change": y.diff(),
             "volatility_7": pct.rolling(7).std(),
         }.items():
