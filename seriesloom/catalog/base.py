@@ -35,6 +35,8 @@ def offset_of(digits: int) -> float:
     boundaries between rounded values to where no short decimals lie."""
     return float(f"0.31416e-{digits}")
 
+# The operators as written, and with their results made comparable (rounded).
+OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -62,6 +64,7 @@ def query(
     """
 
     def register(fn: Callable[[SparkSession, str], DataFrame]):
+        OPERATORS[name] = fn
         QUERIES[name] = lambda spark, sf: finish(fn(spark, sf), digits)
         if sql is not None:
             swaps = []

@@ -236,13 +236,6 @@ def additive_predict(
     return _score(dates, cfg, F.col("last"))
 
 
-def additive_score(
-    rows: DataFrame, fits: DataFrame, keys: Sequence[str], cfg: AdditiveConfig = AdditiveConfig()
-) -> DataFrame:
-    """Predictions for given rows ``(keys, ds, ...)``."""
-    return _score(rows.join(fits, list(keys)), cfg, F.col("last"))
-
-
 def rolling_origin_cv(
     grid: DataFrame,
     keys: Sequence[str],

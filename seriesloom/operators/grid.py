@@ -112,14 +112,24 @@ def _segments(panel: DataFrame, keys: Sequence[str], ax: Axis, size: int) -> Dat
     whole = Window.partitionBy(*keys)
     later = by_block.rowsBetween(1, Window.unboundedFollowing)
     earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    point = F.expr("CASE WHEN _seen THEN struct(_up AS pos, y AS y) END")
+    seen = F.expr("CASE WHEN _seen THEN _up END")
     edges = (
         rows.groupBy(*keys, "_blk")
         .agg(
             F.min("_up").alias("_lo"),
             F.max("_down").alias("_hi"),
-            F.min(point).alias("head"),
-            F.max(point).alias("tail"),
+            F.min(seen).alias("_head"),
+            F.min_by("y", seen).alias("_head_y"),
+            F.max(seen).alias("_tail"),
+            F.max_by("y", seen).alias("_tail_y"),
+        )
+        .selectExpr(
+            *keys,
+            "_blk",
+            "_lo",
+            "_hi",
+            "CASE WHEN _head IS NOT NULL THEN struct(_head AS pos, _head_y AS y) END AS head",
+            "CASE WHEN _tail IS NOT NULL THEN struct(_tail AS pos, _tail_y AS y) END AS tail",
         )
         .withColumns(
             {

@@ -30,7 +30,7 @@ class TreeSettings:
 
     max_bins: int = 400
     seed: int = 42
-    parallelism: int = 4
+    parallelism: int = 8
     checkpoint_every: int = 20
 
 
