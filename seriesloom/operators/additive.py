@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.holidays import holiday_flags
 from .blocks import BLOCK_DAYS, attach
 from .evaluate import cutoffs, rolling_origin_membership
-from .grid import AXES, date_bounds
+from .grid import AXES
 from .moments import Moments, merge_two, partial_moments, solve_groups
 
 
