@@ -44,8 +44,7 @@ def correlation_matrix(
     names = list(cols)
 
     def emit(_, group: dict) -> dict[str, list]:
-        n, mean, co = merged(group.values())
-        corr = correlation_of(co)
+        corr = correlation_of(merged(group.values()))
         i, j = np.nonzero(~np.eye(len(names), dtype=bool))
         return {"a": [names[k] for k in i], "b": [names[k] for k in j], "corr": corr[i, j]}
 

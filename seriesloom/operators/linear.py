@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .moments import Moments, correlation_of, merge_two, partial_moments, solve_groups
+from .moments import Moments, correlation_of, deviations, merge_two, partial_moments, solve_groups
 
 FIT_SCHEMA = (
     "fold int, n bigint, features array<string>, intercept double, "
@@ -40,10 +40,11 @@ def least_squares(moments: Moments, use: Sequence[int]) -> tuple[float, np.ndarr
     """
     n, mean, co = moments
     use = list(use)
-    sd = np.sqrt(np.diag(co)[use] / n)
+    sd = deviations(moments)[use]
     scale = np.where(sd > 0, sd, 1.0)
-    xx = co[np.ix_(use, use)] / n / np.outer(scale, scale)
-    xy = co[use, -1] / n / scale
+    varies = np.where(sd > 0, 1.0, 0.0)
+    xx = co[np.ix_(use, use)] / n / np.outer(scale, scale) * np.outer(varies, varies)
+    xy = co[use, -1] / n / scale * varies
     scaled = np.linalg.pinv(xx, rcond=1e-10, hermitian=True) @ xy
     coef = scaled / scale
     return mean[-1] - coef @ mean[use], coef, scaled
@@ -77,7 +78,7 @@ def linear_folds(
                 continue
             use = range(len(names))
             if threshold is not None:
-                use = select_by_correlation(correlation_of(total[2]), names, top_k, threshold)
+                use = select_by_correlation(correlation_of(total), names, top_k, threshold)
             intercept, coef, scaled = least_squares(total, use)
             for c, v in zip(out, (fold, total[0], [names[i] for i in use], intercept, coef, scaled)):
                 out[c].append(v)

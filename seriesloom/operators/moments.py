@@ -46,9 +46,16 @@ def merged(parts: Iterable[Moments]) -> Moments:
     return total
 
 
-def correlation_of(co: np.ndarray) -> np.ndarray:
+def deviations(moments: Moments) -> np.ndarray:
+    """Population deviations; zero for columns that vary only by float noise."""
+    n, mean, co = moments
+    sd = np.sqrt(np.maximum(np.diag(co), 0.0) / n)
+    return np.where(sd > 1e-10 * np.abs(mean), sd, 0.0)
+
+
+def correlation_of(moments: Moments) -> np.ndarray:
     """Correlation matrix; NaN against a constant column."""
-    sd = np.sqrt(np.diag(co))
+    sd, co = deviations(moments), moments[2] / moments[0]
     with np.errstate(divide="ignore", invalid="ignore"):
         return co / np.outer(sd, sd)
 

@@ -122,7 +122,7 @@ def pooled_selection(data: DataFrame, cfg: EnsembleConfig) -> list[list[str]]:
             if total is None:
                 continue
             use = [*range(len(names)), len(names) + fold - 1]
-            corr = correlation_of(total[2])[use][:, use]
+            corr = correlation_of(total)[use][:, use]
             kept = select_by_correlation(corr, names, top_k, threshold)
             out["fold"].append(fold)
             out["features"].append([names[i] for i in kept])

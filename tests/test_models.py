@@ -80,6 +80,18 @@ def test_collinear_and_constant_columns(daily):
     assert all(math.isfinite(c) for c in fit.coef) and fit.coef[2] == 0
 
 
+def test_column_that_is_constant_in_a_fold_gets_no_weight(daily):
+    # The first training rows lie within one year, the test rows beyond it.
+    data = with_time_features(daily("100 + t % 7", 1476, "1995-01-01"), F.lit("1995-01-01").cast("date"))
+    folds = linear_folds(
+        fold_segments(data, K, 5), K, TIME_FEATURES, 5, top_k=10, threshold=0.6
+    ).collect()
+    first = next(r for r in folds if r.fold == 1)
+    weights = dict(zip(first.features, first.coef))
+    assert all(weights.get(f, 0) == 0 for f in ("year", "year_sin", "year_cos"))
+    assert all(abs(c) < 1e3 for r in folds for c in r.coef)
+
+
 def test_boosted_prefix_scores_equal_short_fits(seasonal):
     frame = En._with_fold_scales(En.training_frame(seasonal, K, SMALL), K, 2, 4096)
     frames = T.FoldFrames(frame.cache(), [["month_sin", "week"]] * 3)
