@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, mixing, quality, secrets
 from .text import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,23 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op3_secret_scan")
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(read_documents(spark, sf_dir))
+
+
 @query("op5_bpe")
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_documents(spark, sf_dir), TOKENIZER)
+
+
+@query("op6_quality_rules")
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(read_documents(spark, sf_dir))
+
+
+@query("op9_mixing")
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of whole documents in which no source passes more than twice as often as another."""
+    mixed = mixing.mix(read_documents(spark, sf_dir).select("doc_id", "text", "source"), max_repeat=2.0)
+    return mixed.select("row.doc_id", "row.source", "n_tokens", "epoch", "block", "block_order", "doc_order")
