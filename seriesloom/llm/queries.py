@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality, secrets
+from . import bpe, mixing, quality, secrets, toxicity
 from .text import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train_grammar(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 @query("op3_secret_scan")
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(read_documents(spark, sf_dir))
