@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality, secrets, toxicity
+from . import bpe, minhash, mixing, quality, secrets, toxicity
 from .text import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train_grammar(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+@query("op2_minhash")
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest doc_id of its class of near-duplicates."""
+    return minhash.near_duplicates(read_documents(spark, sf_dir)).drop("class_key")
+
+
 @query("op3_secret_scan")
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(read_documents(spark, sf_dir))
