@@ -21,6 +21,8 @@ from .columns import text_or_empty, words
 from .text import write_table
 
 STEPS = 60
+#: Tasks that share the rows of one source in a join; the other side has a row per source and salt.
+SALTS = 64
 
 
 def power_sum(shares: Column, t: Column) -> Column:
@@ -121,7 +123,7 @@ def mix(
         .agg(F.min_by(F.struct("at", "block", (F.col("rest") - F.col("before")).alias("left"), "whole"), "before").alias("cut"))
         .select("source", "cut.*")
     )
-    inside = joined(sizes, last.withColumnRenamed("block", "_block")).filter(F.col("block") == F.col("_block"))
+    inside = joined(sizes, last.withColumnRenamed("block", "_block"), salts=SALTS).filter(F.col("block") == F.col("_block"))
     inside = inside.withColumn("doc_at", order(seed, F.col("whole"), "key"))
     by_doc = Window.partitionBy("source").orderBy("doc_at").rangeBetween(Window.unboundedPreceding, 0)
     inside = inside.withColumn("sum", F.sum("n_tokens").over(by_doc)).filter(F.col("sum") <= F.col("left"))
@@ -137,7 +139,7 @@ def mix(
         | ((F.col("block") == F.col("cut_block")) & F.coalesce(doc_at <= F.col("doc_cut"), F.lit(False)))
     )
     copies = F.col("whole") + F.when(in_part, 1).otherwise(0)
-    mixed = joined(tagged, full).withColumn("copies", copies).filter(F.col("copies") > 0)
+    mixed = joined(tagged, full, salts=SALTS).withColumn("copies", copies).filter(F.col("copies") > 0)
     mixed = mixed.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     return mixed.select(
         "row", "n_tokens", "epoch", "block", order(seed, F.col("epoch"), "block").alias("block_order"),
@@ -145,7 +147,11 @@ def mix(
     )
 
 
-def joined(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-    """A join on the source in which null equals null."""
+def joined(left: DataFrame, right: DataFrame, how: str = "inner", salts: int = 1) -> DataFrame:
+    """A join on the source in which null equals null; ``salts`` deals the rows of one source to so many tasks by their block."""
     right = right.withColumnRenamed("source", "_source")
-    return left.join(right, left["source"].eqNullSafe(right["_source"]), how).drop("_source")
+    on = left["source"].eqNullSafe(right["_source"])
+    if salts > 1:
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        on = on & (left["block"] % salts == right["_salt"])
+    return left.join(right, on, how).drop("_source", "_salt")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, quality, secrets, toxicity
+from . import bpe, minhash, mixing, quality, secrets, suffixdedup, superkmers, toxicity
 from .text import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(read_documents(spark, sf_dir))
 
 
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.remove_repeats(read_documents(spark, sf_dir))
+
+
 @query("op5_bpe")
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_documents(spark, sf_dir), TOKENIZER)
@@ -54,6 +59,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_documents(spark, sf_dir))
 
 
+@query("op7_substring_dedup")
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmers.remove_repeats(read_documents(spark, sf_dir))
+
+
 @query("op9_mixing")
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of whole documents in which no source passes more than twice as often as another."""
