@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, quality, secrets, suffixdedup, superkmers, toxicity
+from . import bpe, katz, minhash, mixing, neighbours, quality, secrets, suffixdedup, superkmers, toxicity
 from .text import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,8 +64,18 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.remove_repeats(read_documents(spark, sf_dir))
 
 
+@query("op8_katz")
+def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_texts(read_documents(spark, sf_dir))
+
+
 @query("op9_mixing")
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of whole documents in which no source passes more than twice as often as another."""
     mixed = mixing.mix(read_documents(spark, sf_dir).select("doc_id", "text", "source"), max_repeat=2.0)
     return mixed.select("row.doc_id", "row.source", "n_tokens", "epoch", "block", "block_order", "doc_order")
+
+
+@query("op10_neighbours")
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
