@@ -9,11 +9,14 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from seriesloom.session import local_session
 
     session = local_session(
-        "4", spark__sql__shuffle__partitions="4", spark__ui__showConsoleProgress="false"
+        "4",
+        spark__sql__shuffle__partitions="4",
+        spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     yield session
     session.stop()
