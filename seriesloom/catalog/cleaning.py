@@ -371,6 +371,11 @@ def _(spark, sf):
     return P.tail_per_series(filled(spark, sf), KEYS, 10)
 
 
-@query("lim3_sample")
+@query(
+    "lim3_sample",
+    f"""WITH {PANEL} SELECT * FROM panel
+    ORDER BY md5('42|' || series || '|' || CAST(ds AS VARCHAR)), series, ds LIMIT 5""",
+    num="y",
+)
 def _(spark, sf):
     return P.sample_rows(panel(spark, sf), 5, ["series", "ds"])

@@ -242,18 +242,28 @@ CLOSE = " UNION ALL ".join(
       FROM walk w JOIN visits v ON v.series = w.series AND v.rank = w.step + 1),
     done AS (SELECT series, kept FROM walk WHERE step = {len(TIME_FEATURES)})
     SELECT r.series, r.rank, r.feature, r.abs_corr AS target_corr, list_contains(d.kept, r.feature) AS kept,
-      CASE WHEN list_contains(d.kept, r.feature) THEN 0 ELSE (
-        SELECT count(*) FROM pairs p JOIN ranked s ON s.series = p.series AND s.feature = p.b
-        WHERE p.series = r.series AND p.a = r.feature AND p.c > 0.6 AND s.rank < r.rank
-          AND list_contains(d.kept, p.b)) END AS reasons,
+      coalesce(y.reasons, '') AS reasons, y.closest,
       list_contains(d.kept, r.feature) AND list_position(d.kept, r.feature) <= 10 AS selected
-    FROM ranked r JOIN done d ON d.series = r.series""",
-    num="target_corr",
-    ints="reasons",
+    FROM ranked r JOIN done d ON d.series = r.series
+    LEFT JOIN (
+      SELECT p.series, p.a, string_agg(p.b, ',' ORDER BY p.b) AS reasons, max(p.c) AS closest
+      FROM pairs p JOIN done k ON k.series = p.series
+      JOIN ranked s ON s.series = p.series AND s.feature = p.b
+      JOIN ranked q ON q.series = p.series AND q.feature = p.a
+      WHERE p.c > 0.6 AND s.rank < q.rank AND list_contains(k.kept, p.b) AND NOT list_contains(k.kept, p.a)
+      GROUP BY p.series, p.a) y ON y.series = r.series AND y.a = r.feature""",
+    num="target_corr closest",
+    digits={"closest": 6},
 )
 def _(spark, sf):
     pairs = C.correlation_matrix(featured(spark, sf), [*TIME_FEATURES, "y"], KEYS)
-    return C.feature_selection(pairs, "y", KEYS).withColumn("reasons", F.size("reasons"))
+    chosen = C.feature_selection(pairs, "y", KEYS)
+    return chosen.withColumns(
+        {
+            "closest": F.array_max(F.transform("reasons", lambda r: r.corr)),
+            "reasons": F.array_join(F.transform("reasons", lambda r: r.feature), ","),
+        }
+    )
 
 
 @query(

@@ -21,7 +21,7 @@ from ..sources.models import load_models, save_models
 from ..sources.panel import table
 from ..sources.sinks import export_training_data, write_forecast, write_scored
 from .base import FILLED, KEYS, PANEL, SPINE, W, filled, full_sql, panel, query
-from .features import FEATURED, featured
+from .features import BASE_SQL, FEATURED, WAVES_SQL, featured
 
 # Lagged values serve as predictions where an operator takes any forecast:
 # yesterday, the same day last week, and the mean of the last week.
@@ -285,6 +285,15 @@ def _(spark, sf):
     return spark.read.parquet(paths[1])
 
 
+@query(
+    "snk3_export_features", f"{FEATURED} SELECT * FROM featured",
+    num=" ".join(["y", *WAVES_SQL]), ints=" ".join(BASE_SQL),
+)
+def _(spark, sf):
+    paths = export_training_data(featured(spark, sf), KEYS, RAW, scratch_path(spark, "export"))
+    return spark.read.parquet(paths[0])
+
+
 @query(
     "md9_future_frame",
     f"""WITH {PANEL}, {SPINE} SELECT series, ds FROM panel
@@ -316,16 +325,16 @@ def saved_models(spark, sf) -> str:
     return _SAVED[key]
 
 
-@query("snk4_model_save")
+@query("snk4_model_save", "SELECT 'series' AS keys, 'rf,gbt' AS models")
 def _(spark, sf):
-    path = saved_models(spark, sf)
-    return spark.read.parquet(f"{path}/metadata").select("keys", "features", "models")
+    saved = spark.read.parquet(f"{saved_models(spark, sf)}/metadata")
+    return saved.select(F.array_join("keys", ",").alias("keys"), F.array_join("models", ",").alias("models"))
 
 
-@query("src2_model_load")
+@query("src2_model_load", f'{FILLED} SELECT series, lo AS "start", hi AS last, FALSE AS no_features FROM bounds')
 def _(spark, sf):
     ensemble = load_models(spark, saved_models(spark, sf))
-    return ensemble.facts.select("series", "start", "last", F.size("features").alias("features"))
+    return ensemble.facts.select("series", "start", "last", (F.size("features") == 0).alias("no_features"))
 
 
 @query("md1_linear_fit")
@@ -372,37 +381,73 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "model string, params string, fold int, mse double, best boolean")
 
 
-@query("md7_voting_ensemble")
-def _(spark, sf):
-    model, facts = voting.build_and_train(
+def blends(scored, weights):
+    """Row set of a forecast, and whether it is the weighted sum of its models' predictions."""
+    total = sum(F.col(f"{m}_prediction") * w for m, w in weights.items())
+    return scored.select("series", "ds", (F.abs(F.col("forecast") - total) < 1e-6).alias("blended"))
+
+
+def days_sql(first: str, last: str) -> str:
+    return f"""WITH {PANEL}, {SPINE} SELECT series, CAST(d AS DATE) AS ds, TRUE AS blended
+    FROM bounds, generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY) AS g(d)"""
+
+
+def _voting(spark, sf):
+    return voting.build_and_train(
         panel(spark, sf), KEYS, {"numTrees": 20, "maxDepth": 5}, {"maxIter": 10, "maxDepth": 3, "stepSize": 0.1},
         SMALL.trees,
     )
-    return voting.vote(model, facts, KEYS, ["2002-01-01", "2002-01-02", "2002-01-03"])
+
+
+@query("md7_voting_ensemble", days_sql("2002-01-01", "2002-01-03"))
+def _(spark, sf):
+    scored = voting.vote(*_voting(spark, sf), KEYS, ["2002-01-01", "2002-01-02", "2002-01-03"])
+    return blends(scored, B.VOTING_WEIGHTS)
+
+
+@query("e8_build_save_reload", days_sql("2002-01-01", "2002-01-31").replace("blended", "same"))
+def _(spark, sf):
+    model, facts = _voting(spark, sf)
+    path = voting.save_voting(model, facts, scratch_path(spark, "voting-model"))
+    days = [f"2002-01-{d:02d}" for d in range(1, 32)]
+    again = voting.vote(*voting.load_voting(spark, path), KEYS, days).withColumnRenamed("forecast", "reloaded")
+    both = voting.vote(model, facts, KEYS, days).join(again, ["series", "ds"])
+    return both.select("series", "ds", (F.abs(F.col("forecast") - F.col("reloaded")) < 1e-9).alias("same"))
 
 
 ADDITIVE = Ad.AdditiveConfig(country_holidays="US")
 
 
-@query("md8_additive_fit")
+@query(
+    "md8_additive_fit",
+    f"""{FILLED} SELECT b.series, b.lo AS "start", b.hi AS last, max(abs(f.y)) AS y_scale, TRUE AS noisy
+    FROM bounds b JOIN filled f ON f.series = b.series GROUP BY b.series, b.lo, b.hi""",
+    num="y_scale",
+)
 def _(spark, sf):
     fits = Ad.additive_fit(filled(spark, sf), KEYS, ADDITIVE)
-    return fits.select("series", "start", "last", "y_scale", F.size("beta").alias("terms"), "sigma")
+    return fits.select("series", "start", "last", "y_scale", (F.col("sigma") > 0).alias("noisy"))
 
 
-@query("md10_additive_predict")
+AHEAD = f"""{FILLED}, dates AS (SELECT series,
+  CAST(unnest(generate_series(lo, hi + 44, INTERVAL 1 DAY)) AS DATE) AS ds FROM bounds)"""
+
+
+@query("md10_additive_predict", f"{AHEAD} SELECT series, ds, TRUE AS centred, TRUE AS open FROM dates")
 def _(spark, sf):
     fits = Ad.additive_fit(filled(spark, sf), KEYS, ADDITIVE)
+    low, high = F.col("yhat_lower"), F.col("yhat_upper")
     return Ad.additive_predict(fits, KEYS, ADDITIVE, 44).select(
-        "series", "ds", "yhat", "yhat_lower", "yhat_upper"
+        "series", "ds", (F.abs((low + high) / 2 - F.col("yhat")) < 1e-6).alias("centred"), (low < high).alias("open")
     )
 
 
-@query("md11_component_table")
+@query("md11_component_table", f"{AHEAD} SELECT series, ds, TRUE AS adds_up FROM dates")
 def _(spark, sf):
     fits = Ad.additive_fit(filled(spark, sf), KEYS, ADDITIVE)
+    total = F.col("trend") + F.col("yearly") + F.col("weekly") + F.col("holidays")
     return Ad.additive_predict(fits, KEYS, ADDITIVE, 44).select(
-        "series", "ds", "trend", "yearly", "weekly", "holidays"
+        "series", "ds", (F.abs(total - F.col("yhat")) < 1e-6).alias("adds_up")
     )
 
 
@@ -411,25 +456,31 @@ def _(spark, sf):
     return load_models(spark, saved_models(spark, sf)).metrics
 
 
-@query("ev5_rolling_origin_cv")
+@query("ev5_rolling_origin_cv", f"{ORIGINS} SELECT series, cutoff, ds, y, TRUE AS inside FROM origins", num="y")
 def _(spark, sf):
-    return Ad.rolling_origin_cv(filled(spark, sf), KEYS, 180, 30, 60, ADDITIVE)
+    rows = Ad.rolling_origin_cv(filled(spark, sf), KEYS, 180, 30, 60, ADDITIVE)
+    return rows.select("series", "cutoff", "ds", "y", F.col("yhat").between(F.col("yhat_lower"), F.col("yhat_upper")).alias("inside"))
 
 
-@query("sc1_predict_range")
+@query("sc1_predict_range", days_sql("2001-01-01", "2002-12-31"))
 def _(spark, sf):
-    return En.predict_range(
-        load_models(spark, saved_models(spark, sf)), "2001-01-01", "2002-12-31", B.FINAL_WEIGHTS
-    )
+    ensemble = load_models(spark, saved_models(spark, sf))
+    return blends(En.predict_range(ensemble, "2001-01-01", "2002-12-31", B.FINAL_WEIGHTS), B.FINAL_WEIGHTS)
 
 
-@query("sc2_predict_from_saved")
+@query("sc2_predict_from_saved", days_sql("2002-02-01", "2002-02-28"))
 def _(spark, sf):
     ensemble = load_models(spark, saved_models(spark, sf))
-    return En.predict_range(ensemble, "2002-02-01", "2002-02-28", {"linear": 0.5, "rf": 0.5}, strict=False)
+    weights = {"linear": 0.5, "rf": 0.5}
+    return blends(En.predict_range(ensemble, "2002-02-01", "2002-02-28", weights, strict=False), weights)
 
 
-@query("sc5_batch_predict_dates")
+@query(
+    "sc5_batch_predict_dates",
+    """SELECT DISTINCT series, ds, TRUE AS blended FROM (
+      SELECT o_orderpriority AS series, l_suppkey, max(CAST(l_shipdate AS DATE)) AS ds
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)""",
+)
 def _(spark, sf):
     # The last shipping day of every supplier, scored for every series it has orders in.
     orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
@@ -441,4 +492,4 @@ def _(spark, sf):
         .distinct()
     )
     ensemble = load_models(spark, saved_models(spark, sf))
-    return B.weighted_blend(En.predict_rows(ensemble, dates), B.FINAL_WEIGHTS)
+    return blends(B.weighted_blend(En.predict_rows(ensemble, dates), B.FINAL_WEIGHTS), B.FINAL_WEIGHTS)

@@ -81,8 +81,12 @@ def _scaled_time() -> Column:
     return F.try_divide(F.datediff("ds", "start").cast("double"), F.col("span"))
 
 
-def _ridge(m: Moments, penalty: np.ndarray, rounds: int = 3) -> tuple[np.ndarray, float]:
-    """Coefficients (constant first) and noise deviation; y is the last moment column."""
+def _ridge(m: Moments, penalty: np.ndarray, rounds: int = 20) -> tuple[np.ndarray, float]:
+    """Coefficients (constant first) and noise deviation; y is the last moment column.
+
+    The noise is estimated over the rows that the coefficients leave free, so a
+    history shorter than the design is explained by noise, not fitted exactly.
+    """
     n, mean, co = m
     p = len(penalty)
     raw = co + n * np.outer(mean, mean)
@@ -95,9 +99,12 @@ def _ridge(m: Moments, penalty: np.ndarray, rounds: int = 3) -> tuple[np.ndarray
     var = max(co[-1, -1] / n, 1e-12)
     beta = np.zeros(p)
     for _ in range(rounds):
-        beta = np.linalg.solve(gram + var * np.diag(penalty), xy)
-        sse = yy - 2 * beta @ xy + beta @ gram @ beta
-        var = max(sse / n, 1e-12)
+        solved = np.linalg.solve(gram + var * np.diag(penalty), np.column_stack([xy, gram]))
+        beta, used = solved[:, 0], np.trace(solved[:, 1:])
+        sse = max(yy - 2 * beta @ xy + beta @ gram @ beta, 0.0)
+        before, var = var, max(sse / max(n - used, 1e-6 * n), 1e-12)
+        if abs(var - before) <= 1e-6 * before:
+            break
     return beta, math.sqrt(var)
 
 

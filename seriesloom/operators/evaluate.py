@@ -109,10 +109,10 @@ def cutoffs(
 ) -> DataFrame:
     """Rolling-origin cutoffs per series, from the last possible one backwards.
 
-    One row per cutoff: ``(keys, lo, hi, cutoff)``; ``lo``/``hi`` are the bounds
-    of the series.
+    One row per cutoff: ``(keys, lo, hi, cutoff)``; ``lo``/``hi`` are the first and
+    last day with a value.
     """
-    b = date_bounds(panel, keys)
+    b = date_bounds(panel.where(F.col("y").isNotNull()), keys)
     last = F.date_sub("hi", horizon)
     spare = F.datediff(last, F.date_add("lo", initial))
     return (
@@ -136,7 +136,7 @@ def rolling_origin_membership(
     The cutoffs lie on a lattice, so those a day belongs to are computed from
     the day itself: at most horizon / period + 1 rows per day and no range join.
     """
-    b = date_bounds(grid, keys)
+    b = date_bounds(grid.where(F.col("y").isNotNull()), keys)
     spare = F.datediff(F.date_sub("hi", horizon), F.date_add("lo", initial))
     facts = b.withColumns(
         {

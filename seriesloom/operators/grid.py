@@ -95,9 +95,10 @@ def _segments(panel: DataFrame, keys: Sequence[str], ax: Axis, size: int) -> Dat
     so an arbitrarily long series is never sorted in one task.
     """
     rows = panel.select(*keys, "y", ax.up("ds").alias("_up"), ax.down("ds").alias("_down"))
-    rows = rows.selectExpr(
-        "*", "y IS NOT NULL AND _up = _down AS _seen", f"{block_of('_up', size)} AS _blk"
-    )
+    # Every day lies on the daily axis; a comparison that is always true would reach one of
+    # the two scans below and keep them from being one.
+    on_grid = "" if ax.first == ax.final else " AND _up = _down"
+    rows = rows.selectExpr("*", f"y IS NOT NULL{on_grid} AS _seen", f"{block_of('_up', size)} AS _blk")
     in_block = Window.partitionBy(*keys, "_blk").orderBy("_up")
     within = (
         rows.where("_seen")

@@ -143,4 +143,5 @@ def tail_per_series(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
 
 def sample_rows(df: DataFrame, n: int, cols: Sequence[str], seed: int = 42) -> DataFrame:
     """n rows picked by a hash of ``cols``; the same rows on every run."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *cols), *cols).limit(n)
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
+    return df.orderBy(key, *cols).limit(n)

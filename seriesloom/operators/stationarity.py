@@ -57,9 +57,7 @@ def _regress(m: Moments, lags: int) -> tuple[float, float, int]:
     return b[0] / math.sqrt(var) if var > 0 else math.nan, sse, n
 
 
-def adf_test(
-    grid: DataFrame, keys: Sequence[str], size: int = BLOCK_DAYS, max_days: int | None = None
-) -> DataFrame:
+def adf_test(grid: DataFrame, keys: Sequence[str], size: int = BLOCK_DAYS) -> DataFrame:
     """Statistic, p-value, lags and critical values per series; constant series give nulls.
 
     The number of lagged differences is chosen by AIC over one common sample,
@@ -68,12 +66,10 @@ def adf_test(
     series that the common sample left out.
     """
     filled = grid.where(F.col("y").isNotNull()).select(*keys, "ds", "y")
-    if max_days is None:
-        days = F.max(F.col("d")).alias("d")
-        max_days = (
-            date_bounds(filled, keys).select((F.datediff("hi", "lo") + 1).alias("d")).agg(days).first()[0]
-        )
-    top = max(max_lag_of(max_days or 0), 0)
+    # The columns of the regression depend on the longest series, so its length is asked for now.
+    days = F.max(F.col("d")).alias("d")
+    longest = date_bounds(filled, keys).select((F.datediff("hi", "lo") + 1).alias("d")).agg(days).first()[0]
+    top = max(max_lag_of(longest or 0), 0)
     diffs = {f"d{k}": lag("d0", k) for k in range(1, top + 1)}
     steps = Family(({"level": lag("y", 1)}, {"d0": "y - level"}, diffs), before=top + 1)
     facts = date_bounds(filled, keys).withColumns(

@@ -13,14 +13,19 @@ from dataclasses import dataclass, field
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The parameter grids searched.  Spark trees need a finite depth;
-# 15 stands for "unlimited".
-FOREST_GRID = {"numTrees": [100, 200], "maxDepth": [5, 7, 10, 15]}
+from ..session import scratch_path
+
+# The parameter grids searched.  30, the engine's limit, stands for
+# "unlimited" depth.
+FOREST_GRID = {"numTrees": [100, 200], "maxDepth": [5, 7, 10, 30]}
 BOOSTED_GRID = {"maxIter": [100, 200], "stepSize": [0.01, 0.1], "maxDepth": [3, 5]}
 
 
@@ -107,21 +112,69 @@ class SearchResult:
     models: dict[int, object] = field(default_factory=dict)
 
 
-def _jobs(algorithm: str, points: list[dict], folds: int) -> Iterator[tuple[dict, int, list[int]]]:
-    """Fits to run.  Boosted fits of different length share their first trees, so one
-    fit of the longest scores them all."""
-    if algorithm != "gbt":
-        for point in points:
-            for fold in range(1, folds + 1):
-                yield point, fold, []
-        return
-    lengths: dict[tuple, list[int]] = {}
+#: Per algorithm, the parameters of which one fit at the largest values scores all smaller ones.
+SHARED = {"rf": ("numTrees", "maxDepth"), "gbt": ("maxIter",)}
+
+
+def _groups(algorithm: str, points: list[dict]) -> Iterator[tuple[dict, list[dict]]]:
+    """Fits to run, each with the points it scores."""
+    shared = SHARED[algorithm]
+    groups: dict[tuple, list[dict]] = {}
     for p in points:
-        rest = tuple(sorted((k, v) for k, v in p.items() if k != "maxIter"))
-        lengths.setdefault(rest, []).append(p["maxIter"])
-    for rest, iters in lengths.items():
-        for fold in range(1, folds + 1):
-            yield {**dict(rest), "maxIter": max(iters)}, fold, sorted(iters)
+        rest = tuple(sorted((k, v) for k, v in p.items() if k not in shared))
+        groups.setdefault(rest, []).append(p)
+    for rest, members in groups.items():
+        yield {**dict(rest), **{k: max(p[k] for p in members) for k in shared if k in members[0]}}, members
+
+
+def cut_leaves(model, depths: Sequence[int]) -> list[np.ndarray]:
+    """Per tree, the prediction of every leaf's ancestor at each depth: ``(depths, leaves)``.
+
+    Read from the saved nodes, which are as many as the driver already holds in the model.
+    """
+    path = scratch_path(SparkSession.active(), "forest")
+    model.write().save(path)
+    rows = SparkSession.active().read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
+    trees: dict[int, dict[int, tuple]] = {}
+    for r in rows:
+        trees.setdefault(r.treeID, {})[r.id] = (r.prediction, r.leftChild, r.rightChild)
+    out = []
+    for tree in (trees[i] for i in sorted(trees)):
+        leaves, stack = [], [(0, ())]
+        while stack:  # leaves come in pre-order, as the model numbers them
+            node, above = stack.pop()
+            prediction, left, right = tree[node]
+            path_down = (*above, prediction)
+            if left < 0:
+                leaves.append([path_down[min(d, len(path_down) - 1)] for d in depths])
+            else:
+                stack += [(right, path_down), (left, path_down)]
+        out.append(np.array(leaves).T)
+    return out
+
+
+def cut_losses(model, test: DataFrame, points: Sequence[Mapping]) -> list[float]:
+    """Mean squared error of the forest as if grown with fewer trees and less depth.
+
+    With every feature at each split, a shallower tree from the same draws is the
+    deeper one cut off, and the first trees of a forest are a smaller forest.
+    """
+    depths = sorted({p["maxDepth"] for p in points})
+    tables = cut_leaves(model, depths)
+    wanted = [(p["numTrees"], depths.index(p["maxDepth"])) for p in points]
+
+    def run(batches):
+        for frame in batches:
+            leaf = np.stack(frame["leaf"]).astype(int)
+            sums = np.cumsum([t[:, leaf[:, i]] for i, t in enumerate(tables)], axis=0)
+            z = frame["z"].to_numpy()
+            errors = [float(((sums[n - 1, d] / n - z) ** 2).sum()) for n, d in wanted]
+            yield pd.DataFrame({"point": range(len(wanted)), "error": errors, "n": len(z)})
+
+    leaves = model.copy().setLeafCol("leaf").transform(test).select(vector_to_array("leaf").alias("leaf"), "z")
+    rows = leaves.mapInPandas(run, "point int, error double, n bigint").groupBy("point").agg(F.sum("error") / F.sum("n"))
+    losses = dict(rows.collect())
+    return [losses.get(i) for i in range(len(points))]
 
 
 def param_search(
@@ -132,34 +185,39 @@ def param_search(
 ) -> SearchResult:
     """Mean squared error of each parameter set over the expanding folds; keeps the best.
 
-    Fits run from a small driver thread pool, as the tuning classes of Spark ML
-    do; each of them is a distributed job of its own.  Errors are on the
-    standardised target, so no series outweighs the others.
+    The folds of one fit run from a small driver thread pool, as the tuning classes
+    of Spark ML do; each is a distributed job of its own.  Smaller forests and
+    shorter boosted models are scored from the largest one.  Only the models of the
+    best boosted fit so far are kept.  Errors are on the standardised target, so no
+    series outweighs the others.
     """
     make = ESTIMATORS[algorithm]
+    folds = range(1, frames.folds + 1)
+    result, lowest = SearchResult(algorithm, points[0]), None
+    assembled = {f: (frames.train(f).persist(), frames.test(f).select("x", "z").persist()) for f in folds}
 
     def run(job):
-        point, fold, lengths = job
-        model = make(settings, **point).fit(frames.train(fold))
-        test = frames.test(fold).select("x", "z")
-        if lengths:
+        largest, members, fold = job
+        train, test = assembled[fold]
+        model = make(settings, **largest).fit(train)
+        if algorithm == "gbt":
             losses = model.evaluateEachIteration(test, "squared")
-            return [(({**point, "maxIter": n}), fold, losses[n - 1]) for n in lengths], model
-        loss = model.transform(test).agg(F.avg((F.col("z") - F.col("z_hat")) ** 2)).first()[0]
-        return [(point, fold, loss)], model
-
-    jobs = list(_jobs(algorithm, points, frames.folds))
-    with ThreadPool(min(settings.parallelism, len(jobs))) as pool:
-        done = pool.map(run, jobs)
-    scores = [(algorithm, p, fold, loss) for results, _ in done for p, fold, loss in results]
-    mean = {
-        i: sum(s[3] for s in scores if s[1] == p) / frames.folds for i, p in enumerate(points)
-    }
-    best = points[min(mean, key=mean.get)]
-    result = SearchResult(algorithm, best, scores)
-    for (point, fold, _), (_, model) in zip(jobs, done):
-        if point == best:
-            result.models[fold] = model
+            return model, [losses[p["maxIter"] - 1] for p in members]
+        return None, cut_losses(model, test, members)
+
+    with ThreadPool(min(settings.parallelism, frames.folds)) as pool:
+        for largest, members in _groups(algorithm, points):
+            done = pool.map(run, [(largest, members, f) for f in folds])
+            for i, point in enumerate(members):
+                losses = [d[1][i] for d in done]
+                result.scores += [(algorithm, point, f, loss) for f, loss in zip(folds, losses)]
+                mean = sum(losses) / frames.folds
+                if lowest is None or mean < lowest:
+                    lowest, result.params = mean, point
+                    result.models = {f: d[0] for f, d in zip(folds, done)} if point == largest and algorithm == "gbt" else {}
+    for train, test in assembled.values():
+        train.unpersist()
+        test.unpersist()
     return result
 
 

@@ -70,12 +70,17 @@ class Ensemble:
 
 
 def training_frame(panel: DataFrame, keys: Sequence[str], cfg: EnsembleConfig) -> DataFrame:
-    """Clipped, filled panel with its 19 time features and fold segments."""
+    """Clipped, filled panel with its 19 time features and fold segments.
+
+    Rows of a series too short for the folds get the last segment: they train the
+    final fit alone, and the series has no cross-validation scores.
+    """
     grid = clip_and_fill(panel, keys, cfg.fill_first, cfg.clip_outliers, cfg.block_days)
     facts = date_bounds(grid, keys).withColumn("start", F.col("lo"))
     dated = attach(grid, facts, keys, cfg.block_days)
     featured = with_time_features(dated, F.col("start"))
-    return fold_segments(featured, keys, cfg.folds, cfg.block_days)
+    labelled = fold_segments(featured, keys, cfg.folds, cfg.block_days)
+    return labelled.withColumn("segment", F.coalesce("segment", F.lit(cfg.folds)))
 
 
 def _with_fold_scales(frame: DataFrame, keys: Sequence[str], folds: int, size: int) -> DataFrame:
@@ -140,7 +145,7 @@ def train(panel: DataFrame, keys: Sequence[str], cfg: EnsembleConfig = EnsembleC
     keys = list(keys)
     frame = _with_fold_scales(
         training_frame(panel, keys, cfg), keys, cfg.folds, cfg.block_days
-    ).where("segment is not null and y is not null")
+    ).where("y is not null")
     data = materialize(frame, "training")
 
     linear = materialize(
@@ -229,7 +234,7 @@ def _metrics(ensemble: Ensemble) -> DataFrame:
         *[x for m, p in ensemble.params.items() for x in (F.lit(m), F.lit(json.dumps(p)))]
     )
     return materialize(
-        cv.join(on_training, [*keys, "model"]).withColumn("best_params", best[F.col("model")]),
+        cv.join(on_training, [*keys, "model"], "right").withColumn("best_params", best[F.col("model")]),
         "metrics",
     )
 
@@ -251,8 +256,13 @@ def _predict(ensemble: Ensemble, dated: DataFrame) -> DataFrame:
 
 
 def predict_rows(ensemble: Ensemble, rows: DataFrame) -> DataFrame:
-    """Predictions for given rows ``(keys, ds, ...)``, batch or streaming."""
-    return _predict(ensemble, rows.join(ensemble.facts, ensemble.keys))
+    """Predictions for given rows ``(keys, ds, ...)``, batch or streaming.
+
+    Rows of unknown series stay, with null predictions.
+    """
+    known = rows.join(ensemble.facts, ensemble.keys, "left")
+    # Any start will do for the features of an unknown series: its scale is null.
+    return _predict(ensemble, known.withColumn("start", F.coalesce("start", "ds")))
 
 
 def predict_range(
@@ -316,7 +326,7 @@ def analyze_training_data(data: DataFrame, keys: Sequence[str], features: Sequen
             DataFrame.unionByName,
             [
                 histogram(data, keys, 30, col=f).withColumn("feature", F.lit(f))
-                for f in list(features)[:6]
+                for f in features
             ],
         ),
     }

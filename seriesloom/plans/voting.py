@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.transformers import SHORT_FEATURES, TimeFeatures, fit_scaler
@@ -62,6 +63,22 @@ def build_and_train(
     return PipelineModel([features, scaler, assembler, *models.values()]), facts
 
 
+def save_voting(model: PipelineModel, facts: DataFrame, path: str) -> str:
+    """Write the model and its per-series facts below ``path``."""
+    model.write().overwrite().save(f"{path}/model")
+    facts.write.mode("overwrite").parquet(f"{path}/facts")
+    return path
+
+
+def load_voting(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
+    """Read them back; raises FileNotFoundError when there is none at ``path``."""
+    try:
+        facts = spark.read.parquet(f"{path}/facts")
+    except AnalysisException as e:
+        raise FileNotFoundError(f"no saved model at {path}") from e
+    return PipelineModel.load(f"{path}/model"), facts
+
+
 def vote(
     model: PipelineModel, facts: DataFrame, keys: Sequence[str], dates: Sequence[str]
 ) -> DataFrame:
