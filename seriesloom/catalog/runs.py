@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.calendar import TIME_FEATURES
 from ..operators import stats as S
 from ..operators.grid import fill_grid
 from ..operators.profile import date_range
@@ -13,7 +14,7 @@ from ..session import scratch_path
 from ..sources.panel import supplier_daily
 from .aggregates import GROWTH, PRICE, QUARTILES, TREND
 from .base import FILLED, KEYS, SUPPLIER_FILLED, W, filled, panel, query
-from .features import CALENDAR_SQL, featured
+from .features import CALENDAR_SQL, CORR_Y, FEATURED, featured
 from .models import ADDITIVE, SMALL, saved_models
 from .windows import CHANGES, LAGS, SQL_STATS, YEARLY, _rolling_sql, z_sql
 
@@ -163,9 +164,36 @@ def _(spark, sf):
 
 @query("e6_analyze_training_data")
 def _(spark, sf):
-    return ensemble.analyze_training_data(featured(spark, sf), KEYS, ["year", "month_sin", "week"])[
-        "feature_stats"
-    ]
+    """All four tables over all 19 features, in long form."""
+    found = ensemble.analyze_training_data(featured(spark, sf), KEYS, TIME_FEATURES)
+    nobody = F.lit(None).cast("string").alias("series")
+    top = found["top_correlations"].select(
+        F.lit("top_correlations").alias("part"), "series", "feature", F.col("rank").cast("string").alias("item"), F.col("abs_corr").alias("value")
+    )
+    stats = found["feature_stats"].unpivot(
+        ["feature"], ["mean", "std", "min", "q25", "q50", "q75", "max"], "item", "value"
+    ).select(F.lit("feature_stats").alias("part"), nobody, "feature", "item", "value")
+    missing = found["missing_values"]
+    missing = missing.select(
+        F.lit("missing_values").alias("part"), nobody, F.col(missing.columns[0]).alias("feature"), F.lit("missing").alias("item"),
+        F.col(missing.columns[1]).cast("double").alias("value"),
+    )
+    spread = found["distributions"]
+    spread = spread.select(
+        F.lit("distributions").alias("part"), "series", "feature", F.col("bin").cast("string").alias("item"), F.col("count").cast("double").alias("value")
+    )
+    return top.unionByName(stats).unionByName(missing).unionByName(spread)
+
+
+@query(
+    "e6_top_correlations",
+    f"""{FEATURED}, scored AS ({CORR_Y}) SELECT * FROM (
+      SELECT series, feature, abs_corr, row_number() OVER (
+        PARTITION BY series ORDER BY abs_corr DESC NULLS LAST, feature) AS rank FROM scored) WHERE rank <= 10""",
+    num="abs_corr",
+)
+def _(spark, sf):
+    return ensemble.analyze_training_data(featured(spark, sf), KEYS, TIME_FEATURES)["top_correlations"]
 
 
 @query("e7_analyze_timeseries")

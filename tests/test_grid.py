@@ -108,3 +108,11 @@ def test_build_panel_drops_null_dates(spark):
     ]
     top = build_panel(df, {"series": "k"}, "t", "v", agg=F.max).collect()
     assert top[0].y == 2.0
+
+
+def test_daily_fill_reads_its_panel_once(spark, sf):
+    """The final adaptive plan has one scan; the second use is the same exchange."""
+    filled = G.fill_grid(orders_daily(spark, sf), ["series"])
+    filled.collect()
+    plan = filled._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan

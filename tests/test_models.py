@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import statistics
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from seriesloom.functions.transformers import ColumnScaler, TimeFeatures, fit_sc
 from seriesloom.operators import additive as Ad
 from seriesloom.operators import blend as B
 from seriesloom.operators import trees as T
-from seriesloom.operators.evaluate import fold_segments, horizon_metrics, model_ranking
+from seriesloom.operators.evaluate import cutoffs, fold_segments, horizon_metrics, model_ranking
 from seriesloom.operators.linear import linear_fit, linear_folds
 from seriesloom.plans import additive as AdditivePlan
 from seriesloom.plans import ensemble as En
@@ -263,3 +264,62 @@ def test_ranking_and_forecast_writer(spark, tmp_path):
     df = spark.sql("SELECT 'a' AS series, DATE'2020-01-01' AS ds, 1.5D AS forecast")
     path = write_forecast(df, str(tmp_path / "w"), K)
     assert spark.read.option("header", True).csv(path).first().asDict() == {"series": "a", "Date": "2020-01-01", "Price": "1.5"}
+
+
+def test_cut_forests_equal_smaller_fits(seasonal):
+    frame = En._with_fold_scales(En.training_frame(seasonal, K, SMALL), K, 2, 4096)
+    frames = T.FoldFrames(frame.cache(), [["month_sin", "week", "days_since_start"]] * 3)
+    points = T.grid_points({"numTrees": [2, 6], "maxDepth": [2, 4, 30]}, 10)
+    found = T.param_search(frames, "rf", points, SMALL.trees)
+    assert len(found.scores) == 12
+    for _, point, fold, loss in found.scores:
+        if point["numTrees"] == 6:  # fewer trees draw other rows when fitted alone
+            model = T.forest(SMALL.trees, **point).fit(frames.train(fold))
+            direct = model.transform(frames.test(fold)).agg(F.avg((F.col("z") - F.col("z_hat")) ** 2)).first()[0]
+            assert abs(direct - loss) < 1e-9
+
+
+def test_short_and_unknown_series_stay(spark, seasonal):
+    short = spark.sql("SELECT 'c' AS series, date_add(DATE'2016-01-01', CAST(id AS INT)) AS ds, 5.0D + id AS y FROM range(2)")
+    model = En.train(seasonal.unionByName(short), K, SMALL)
+    scores = {(r.series, r.model): r for r in model.metrics.collect()}
+    assert scores["c", "linear"].cv_rmse_mean is None and scores["c", "linear"].train_rmse is not None
+    assert scores["a", "rf"].cv_rmse_mean is not None
+    assert {r.series for r in En.predict_range(model, "2017-07-01", "2017-07-01").collect()} == {"a", "b", "c"}
+    asked = spark.sql("SELECT s AS series, DATE'2017-07-01' AS ds FROM VALUES ('a'), ('c'), ('x') AS t(s)")
+    got = {r.series: r.rf_prediction for r in En.predict_rows(model, asked).collect()}
+    assert set(got) == {"a", "c", "x"} and got["x"] is None and got["a"] is not None
+
+
+def test_rolling_origin_starts_at_the_first_value(daily):
+    grid = daily("CASE WHEN t >= 300 THEN 100 + t % 7 END", 600)
+    rows = Ad.rolling_origin_cv(grid, K, 180, 30, 60)
+    assert rows.select("cutoff").distinct().count() == cutoffs(grid, K, 180, 30, 60).count() == 2
+
+
+@pytest.mark.parametrize("days", [1, 20, 60])
+def test_additive_fit_on_short_histories(daily, days):
+    fits = Ad.additive_fit(daily("100 + t % 7", days), K)
+    for r in Ad.additive_predict(fits, K, periods=14).collect():
+        assert r.yhat_lower <= r.yhat <= r.yhat_upper
+        # One value says nothing about which part of the model it belongs to.
+        assert 90 < r.yhat < 120 or days == 1
+
+
+def test_additive_interval_covers_noise(daily):
+    grid = daily("100 + 10 * sin(2 * pi() * dayofyear(ds) / 365.25) + 4 * randn(5)", 800)
+    rows = Ad.additive_predict(Ad.additive_fit(grid, K), K).join(grid, ["series", "ds"])
+    inside = rows.agg(F.avg(F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper")).cast("int"))).first()[0]
+    width = rows.agg(F.avg(F.col("yhat_upper") - F.col("yhat_lower"))).first()[0]
+    assert abs(width - 2 * statistics.NormalDist().inv_cdf(0.5 + Ad.AdditiveConfig().interval_width / 2) * 4) < 2
+    assert abs(inside - Ad.AdditiveConfig().interval_width) < 0.04
+
+
+def test_voting_model_survives_saving(spark, seasonal, tmp_path):
+    model, facts = voting.build_and_train(seasonal, K, {"numTrees": 3, "maxDepth": 3}, {"maxIter": 2, "maxDepth": 2, "stepSize": 0.5}, SMALL.trees)
+    path = voting.save_voting(model, facts, str(tmp_path / "v"))
+    days = ["2017-07-01", "2017-07-02"]
+    want, got = (voting.vote(*m, K, days).orderBy("series", "ds").collect() for m in ((model, facts), voting.load_voting(spark, path)))
+    assert want == got and len(got) == 4
+    with pytest.raises(FileNotFoundError):
+        voting.load_voting(spark, str(tmp_path / "nothing"))
