@@ -35,7 +35,7 @@ REPORTS = frozenset("said says told wrote writes quoted claimed called reported
 INTENTS = frozenset("will gonna shall going must vais va werde wird voy".split())
 THREATS = frozenset("kill hurt destroy murder stab shoot strangle tuer frapper töten schlagen umbringen matar golpear".split())
 
-STEM_LENGTHS = (3, 4, 5, 6)
+STEM_LENGTHS = (3, 4, 5, 6, 7)
 _CLAUSE_END = re.compile(r"[.!?;:\n]")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 
@@ -108,7 +108,7 @@ class Grammar:
 
     words: dict[str, float]
     stems: dict[str, float]
-    curve: list[float] = field(default_factory=lambda: [-4.0, 1.0, 0.0])
+    curve: list[float] = field(default_factory=lambda: [-4.0, 0.0, 1.0, 0.0])
 
     def automaton(self):
         found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
@@ -147,8 +147,7 @@ class Grammar:
         return best, total
 
     def probability(self, best, total):
-        a, b, c = self.curve
-        return 1 / (1 + np.exp(-(a + b * np.log1p(best) + c * np.log1p(total))))
+        return 1 / (1 + np.exp(-features(np.array([[best, total]])) @ self.curve))[0]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, modulus: int, left_out: int, max_rows: int) -> DataFrame:
@@ -175,7 +174,9 @@ def learn_lexicon(train: DataFrame, max_entries: int, error: float) -> Grammar:
     words = (
         train.select("toxic", F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}']+")).alias("words"))
         # One MinHash of its long words stands for a text: copies and most near copies count once.
-        .select("toxic", F.coalesce(long_hash, F.hash("words").cast("long")).alias("text"), F.explode("words").alias("word"))
+        # A step of its own, before the words become rows.
+        .select("toxic", F.coalesce(long_hash, F.hash("words").cast("long")).alias("text"), "words")
+        .select("toxic", "text", F.explode("words").alias("word"))
         .filter(F.length("word") >= 3)
         .distinct()
         .groupBy("word")
@@ -207,14 +208,19 @@ def learn_lexicon(train: DataFrame, max_entries: int, error: float) -> Grammar:
     return Grammar({r["entry"]: r["w"] for r in best if not r["stem"]}, {r["entry"]: r["w"] for r in best if r["stem"]})
 
 
+def features(x: np.ndarray) -> np.ndarray:
+    """(1, best, log1p(best), log1p(sum)) of rows (best, sum)."""
+    return np.column_stack([np.ones(len(x)), x[:, 0], np.log1p(x)])
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> list[float]:
-    """Logistic regression by Newton steps on (1, log1p(best), log1p(sum))."""
-    z = np.column_stack([np.ones(len(x)), np.log1p(x)])
-    penalty = ridge * np.diag([0.0, 1.0, 1.0])
-    beta = np.zeros(3)
+    """Logistic regression on ``features`` by Newton steps."""
+    z = features(x)
+    penalty = ridge * np.diag([0.0, 1.0, 1.0, 1.0])
+    beta = np.zeros(4)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-        hessian = z.T @ (z * (p * (1 - p))[:, None]) + penalty + 1e-9 * np.eye(3)
+        hessian = z.T @ (z * (p * (1 - p))[:, None]) + penalty + 1e-9 * np.eye(4)
         step = np.linalg.solve(hessian, z.T @ (y - p) - penalty @ beta)
         beta += np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-8:
@@ -261,8 +267,8 @@ def score(docs: DataFrame, grammar: Grammar, modulus: int = 3, left_out: int = 1
     not held out.  Repeated rows are scored each, other columns are not read, an
     empty table gives no rows.  Map-only.
     """
-    a, b, c = grammar.curve
-    x = a + b * F.log1p("best") + c * F.log1p("total")
+    a, b, c, d = grammar.curve
+    x = a + b * F.col("best") + c * F.log1p("best") + d * F.log1p("total")
     rows = measured(docs, grammar, "doc_id", "doc_id long, best double, total double")
     rows = rows.withColumn("score", 1 / (1 + F.exp(-x)))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == left_out, F.lit(False))
