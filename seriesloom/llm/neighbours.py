@@ -187,7 +187,7 @@ def search_block(k: int):
 
 
 def nearest(
-    vectors: DataFrame, k: int = 10, every: int = 100, sample: int = 8192, rows_per_part: int = 2048, max_parts: int = 256,
+    vectors: DataFrame, k: int = 10, every: int = 100, sample: int = 4096, rows_per_part: int = 2048, max_parts: int = 256,
     coverage: float = 0.93, block_rows: int = 8192, block_queries: int = 8192,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the nearest found of every vector whose vec_id is divisible by ``every``.
@@ -216,8 +216,8 @@ def nearest(
     parts = 1
     while parts * 2 <= min(max_parts, max(1, n // rows_per_part) * 2, max(1, min(sample, n) // 32)):
         parts *= 2
-    fit = index.orderBy("hash").limit(sample).select("vector").toPandas()
-    router = train_router(np.array(fit["vector"].tolist(), float), parts)
+    few = index.select("hash", F.col("vector").cast("array<float>").alias("vector")).orderBy("hash").limit(sample)
+    router = train_router(matrix(few.select("vector").toArrow().column("vector")), parts)
 
     filed = route(index.select("hash", "vector", "ids"), router, None).withColumn("part", F.col("parts")[0]).drop("parts")
     filed = write_table(filed, "neighbours-parts")
