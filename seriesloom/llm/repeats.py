@@ -316,7 +316,7 @@ def by_window(rows: DataFrame, units: Units) -> DataFrame:
 def verdicts(texts: DataFrame, where: DataFrame, units: Units, judge, window_verdict: Callable[[DataFrame], DataFrame], shard_bytes: int, hot: int) -> DataFrame:
     """``mini, string, verdict`` for every string with something to say."""
     rows = strings(texts, units)
-    crowded = where.groupBy("mini").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select("mini")
+    crowded = where.select("mini", "string").distinct().groupBy("mini").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select("mini")
     crowded = write_table(crowded, "repeats-hot")
     if crowded.isEmpty():
         return judged(rows, judge, shard_bytes)

@@ -60,7 +60,7 @@ def by_fingerprint(windows: DataFrame) -> DataFrame:
     return rows.groupBy("mini", "string").applyInArrow(run, "mini long, string long, verdict binary")
 
 
-def remove_repeats(docs: DataFrame, span: int = 13, gram: int = 4, shard_bytes: int = 4 << 20, hot: int = 20_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = 13, gram: int = 7, shard_bytes: int = 4 << 20, hot: int = 2_000) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` for every document.
 
     A word goes if a window of ``span`` words over it also starts in a document of
