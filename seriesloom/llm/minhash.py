@@ -11,13 +11,15 @@ similarity of their sets
 
 which for sets without repetition is the ordinary Jaccard similarity.
 
-Exact copies are one node.  Nodes that share a band of registers are compared in
-rounds: the smallest node of a bucket leads, every other one is verified against
-it (J_P from the texts), and those below the threshold form the bucket's next
-round.  J_P distance is a metric, so a node j that fails against leader L can be
+Exact copies are one node.  In every bucket of nodes that share a band of registers
+the smallest node leads, and all others are verified against it (J_P from the
+texts).  J_P distance is a metric, so a node j that fails against leader L can be
 similar to a follower of L only if J_P(j, L) >= 2 t - 1; such nodes are compared
-with the followers that are not yet in their component.  So no link between two
-nodes of a bucket is lost, and a dense bucket costs its size, not its square.
+with the followers that are not yet in their component.  What fails stays together
+and is led again: a small rest inside one task, a large one as a whole while leaders
+find followers, else after it is split by a second band, which two similar nodes
+share about as surely as the first.  So a
+dense bucket costs its size, not its square, and no bucket is cut off.
 """
 
 from __future__ import annotations
@@ -144,13 +146,83 @@ def similarities(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, j double")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 24, rows: int = 5) -> DataFrame:
+def rest_links(rows: DataFrame, width: int, threshold: float) -> DataFrame:
+    """Links ``u, v`` inside small buckets (``band, key, text``): each node against the leaders before it.
+
+    A node is compared with the followers of a leader only where the metric allows
+    a link and none is known yet, as between buckets.
+    """
+
+    def linked(bucket: list[tuple[int, str]]) -> list[tuple[int, int]]:
+        sets = [weighted_shingles([t.encode()], width)[1:] for _, t in bucket]
+        part = list(range(len(bucket)))  # component of each node
+        led: dict[int, list[int]] = {}
+        out = []
+
+        def compare(i: int, j: int) -> float:
+            near = probability_jaccard(sets[i], sets[j])
+            if near >= threshold:
+                out.append((bucket[i][0], bucket[j][0]))
+                old, new = part[i], part[j]
+                part[:] = [new if p == old else p for p in part]
+            return near
+
+        for i in range(len(bucket)):
+            home = None
+            for leader, followers in led.items():
+                if part[leader] == part[i] and home is not None:
+                    continue
+                near = compare(i, leader)
+                if near >= threshold and home is None:
+                    home = leader
+                elif 2 * threshold - 1 <= near < threshold:
+                    for f in followers:
+                        if part[f] != part[i]:
+                            compare(i, f)
+            if home is None:
+                led[i] = []
+            else:
+                led[home].append(i)
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, str]] = []
+        last = None
+        for batch in batches:
+            found = []
+            for band, key, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if band != last:
+                    found += linked(held)
+                    held, last = [], band
+                held.append((key, text))
+            yield _links(found)
+        yield _links(linked(held))
+
+    dealt = rows.select("band", "key", "text").repartition("band").sortWithinPartitions("band", "key")
+    return dealt.mapInArrow(run, "u long, v long")
+
+
+def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
+
+def crowded(members: DataFrame) -> DataFrame:
+    """``members`` (key, band) of buckets that hold two nodes or more."""
+    shared = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    return write_table(members.join(shared.select("band"), "band").select("band", "key"), "minhash-buckets")
+
+
+def near_duplicates(
+    docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 24, rows: int = 5, small_bucket: int = 256, dense: float = 0.2
+) -> DataFrame:
     """Classes of near-duplicates: ``doc_id, key, class_id, class_key, class_size`` for every document.
 
     ``key`` is the hash of the text, ``class_id`` the smallest doc_id of the class
     (null only if all are) and ``class_key`` the key of that document,
-    ``class_size`` the number of rows.  With 24 bands of 5
-    registers a pair at the threshold shares a band with probability 0.9999.
+    ``class_size`` the number of rows.  With 24 bands of 5 registers a pair at the
+    threshold shares a band with probability 0.9999.  ``small_bucket`` is the
+    largest rest of a bucket that one task compares; a larger one gets another
+    leader if the last one took the share ``dense`` of it, else it is split.
 
     Null and empty texts, and texts without words, are classes by their text alone
     only as far as they are copies; repeated rows are copies.  Texts of fewer words
@@ -161,8 +233,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, ban
     nodes = table.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.first("bands").alias("bands"))
     nodes = write_table(nodes, "minhash-nodes")
 
-    members = nodes.select("key", F.explode("bands").alias("band"))
-    open_rows = write_table(members.join(members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band"), "band"), "minhash-buckets")
+    open_rows = crowded(nodes.select("key", F.explode("bands").alias("band")))
     wanted = open_rows.select("key").distinct()
     texts = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     # One row of each text: that of the node's smallest id; repeated rows and null ids leave equal texts.
@@ -170,25 +241,35 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, ban
     texts = texts.join(first, ["key"]).filter(F.col("doc_id").eqNullSafe(F.col("_id"))).select("key", "text")
     texts = write_table(texts.dropDuplicates(["key"]), "minhash-texts")
 
-    empty = docs.sparkSession.createDataFrame([], "a long, b long, j double")
-    known, followers, border = empty, None, None
-    while True:
+    known = links = followers = border = None
+    while known is None or not open_rows.isEmpty():
         leaders = open_rows.groupBy("band").agg(F.min("key").alias("leader"))
         led = open_rows.join(leaders, "band").filter(F.col("key") != F.col("leader"))
         pairs = led.select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
-        fresh = write_table(similarities(pairs.join(known, ["a", "b"], "left_anti"), texts, width), "minhash-pairs")
-        known = known.union(fresh)
+        fresh = pairs if known is None else pairs.join(known, ["a", "b"], "left_anti")
+        fresh = write_table(similarities(fresh, texts, width), "minhash-pairs")
+        known = fresh if known is None else known.union(fresh)
         rated = write_table(led.join(known, (led["key"] == known["a"]) & (led["leader"] == known["b"])).select("band", "key", "leader", "j"), "minhash-round")
         near = rated.filter(F.col("j") >= threshold).select("band", "leader", "key")
         edge = rated.filter((F.col("j") < threshold) & (F.col("j") >= 2 * threshold - 1)).select("band", "leader", "key")
         followers = near if followers is None else followers.union(near)
         border = edge if border is None else border.union(edge)
-        rest = rated.filter(F.col("j") < threshold).select("band", "key")
-        open_rows = write_table(rest, "minhash-buckets")
-        if open_rows.isEmpty():
-            break
 
-    links = known.filter(F.col("j") >= threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        share = F.avg((F.col("j") >= threshold).cast("int")).alias("share")
+        sizes = rated.groupBy("band").agg(F.sum((F.col("j") < threshold).cast("int")).alias("n"), share).filter("n > 1")
+        rest = rated.filter(F.col("j") < threshold).select("band", "key").join(sizes, "band")
+        inside = rest.filter(F.col("n") <= small_bucket).join(texts, "key")
+        inside = write_table(rest_links(inside, width, threshold), "minhash-rest")
+        links = inside if links is None else links.union(inside)
+        # What is left of a large bucket is led again while leaders find followers in it; a second band splits the others.
+        large = rest.filter(F.col("n") > small_bucket)
+        again = large.filter(F.col("share") >= dense).select("band", "key")
+        loose = large.filter(F.col("share") < dense).select("key", F.col("band").alias("_band"))
+        split = loose.join(nodes.select("key", "bands"), "key").select("key", "_band", F.explode("bands").alias("_next"))
+        split = crowded(split.filter("_next <> _band").select("key", F.xxhash64("_band", "_next").alias("band")))
+        open_rows = write_table(again.union(split), "minhash-open")
+
+    links = links.union(known.filter(F.col("j") >= threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct()
     roots = components(links)
     if not border.isEmpty():
         rooted = roots.select(F.col("node").alias("key"), "root")

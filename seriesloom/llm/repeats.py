@@ -264,7 +264,10 @@ Distinct = list[tuple[int, int, bytes, int, int]]
 
 
 def judged(rows: DataFrame, judge: Callable[[Distinct], Iterator[tuple[int, int, bytes]]], shard_bytes: int) -> DataFrame:
-    """``mini, string, verdict`` from ``judge``, called with whole minimisers up to about ``shard_bytes`` at a time."""
+    """``mini, string, verdict`` from ``judge``, called with whole minimisers up to about ``shard_bytes`` at a time.
+
+    ``rows`` come dealt by minimiser.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Distinct = []
@@ -284,8 +287,7 @@ def judged(rows: DataFrame, judge: Callable[[Distinct], Iterator[tuple[int, int,
         if held:
             yield _verdicts(judge(held))
 
-    dealt = rows.repartition("mini").sortWithinPartitions("mini", "string")
-    return dealt.mapInArrow(run, "mini long, string long, verdict binary")
+    return rows.sortWithinPartitions("mini", "string").mapInArrow(run, "mini long, string long, verdict binary")
 
 
 def _verdicts(found: Iterator[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -315,7 +317,8 @@ def by_window(rows: DataFrame, units: Units) -> DataFrame:
 
 def verdicts(texts: DataFrame, where: DataFrame, units: Units, judge, window_verdict: Callable[[DataFrame], DataFrame], shard_bytes: int, hot: int) -> DataFrame:
     """``mini, string, verdict`` for every string with something to say."""
-    rows = strings(texts, units)
+    # Dealt out once: where some minimisers are hot, both branches below read this exchange.
+    rows = strings(texts, units).repartition("mini")
     crowded = where.select("mini", "string").distinct().groupBy("mini").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select("mini")
     crowded = write_table(crowded, "repeats-hot")
     if crowded.isEmpty():
