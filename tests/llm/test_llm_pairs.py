@@ -90,13 +90,14 @@ def near_docs(spark):
     return spark.createDataFrame(rows, "doc_id long, text string")
 
 
-def test_near_duplicates_equal_all_pairs(near_docs, some_docs):
+@pytest.mark.parametrize(("small_bucket", "dense"), [(256, 0.2), (1, 0.2), (1, 2.0)])
+def test_near_duplicates_equal_all_pairs(near_docs, some_docs, small_bucket, dense):
     for docs in (near_docs, some_docs):
         texts = collections.defaultdict(list)
         for r in docs.collect():
             texts[r["text"] or ""].append(r["doc_id"])
         expected = plain_classes(texts)
-        got = minhash.near_duplicates(docs).collect()
+        got = minhash.near_duplicates(docs, small_bucket=small_bucket, dense=dense).collect()
         by_id = {i: t for t, ids in texts.items() for i in ids}
         assert len(got) == len(by_id)
         assert {r["doc_id"]: r["class_id"] for r in got} == {i: expected[t] for i, t in by_id.items()}
@@ -147,7 +148,7 @@ def plain_superkmers(texts, span=13):
     return out
 
 
-@pytest.mark.parametrize("hot", [20_000, 1])
+@pytest.mark.parametrize("hot", [2_000, 1])
 def test_superkmers_equal_the_plain_version(some_docs, near_docs, hot):
     for docs in (some_docs, near_docs):
         expected = plain_superkmers({r["doc_id"]: r["text"] or "" for r in docs.collect()})
