@@ -17,9 +17,9 @@ texts).  J_P distance is a metric, so a node j that fails against leader L can b
 similar to a follower of L only if J_P(j, L) >= 2 t - 1; such nodes are compared
 with the followers that are not yet in their component.  What fails stays together
 and is led again: a small rest inside one task, a large one as a whole while leaders
-find followers, else after it is split by a second band, which two similar nodes
-share about as surely as the first.  So a
-dense bucket costs its size, not its square, and no bucket is cut off.
+find followers, else by an exact comparison of all its pairs, block against block,
+as are border nodes with followers.  So a dense bucket costs its size, a loose one
+its square in matrix products, and no pair of a bucket is passed over.
 """
 
 from __future__ import annotations
@@ -202,6 +202,124 @@ def rest_links(rows: DataFrame, width: int, threshold: float) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long")
 
 
+def block_links(texts: list[str], side: np.ndarray, root: np.ndarray, width: int, threshold: float, step: int = 512) -> list[tuple[int, int]]:
+    """Index pairs that join what is similar: sides 0 against 1, and side 2 with itself; nodes of one root are joined.
+
+    With the shares A and B of two texts' weights that lie on common shingles,
+    J_P <= 1 / (1 / A + 1 / B - 1), and equal if no shingle repeats.  Matrix
+    products of counts give the shares for ``step`` x ``step`` nodes at a time; only
+    what passes that bound is compared.
+    """
+    doc, shingle, count = weighted_shingles([t.encode() for t in texts], width)
+    first = np.searchsorted(doc, np.arange(len(texts) + 1))
+    total = np.add.reduceat(np.append(count, 0), first[:-1]).astype(float) * (np.diff(first) > 0)
+    plain = np.array([bool((count[a:b] == 1).all()) for a, b in zip(first, first[1:])])
+    part, out = np.unique(root, return_inverse=True)[1], []
+
+    def tiles(which: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Nodes, and their entries as (row, shingle, count)."""
+        nodes = np.flatnonzero((side == which) & (total > 0))
+        cut = []
+        for at in range(0, len(nodes), step):
+            some = nodes[at : at + step]
+            rows = np.concatenate([np.arange(first[i], first[i + 1]) for i in some])
+            cut.append((some, np.repeat(np.arange(len(some)), np.diff(first)[some]), shingle[rows], count[rows]))
+        return cut
+
+    def shares(one, two) -> tuple[np.ndarray, np.ndarray]:
+        """Weight of the common shingles in each node of ``one`` and of ``two``."""
+        vocabulary = np.intersect1d(one[2], two[2])
+        repeats = not (plain[one[0]].all() and plain[two[0]].all())
+        sums = [np.zeros((len(one[0]), len(two[0]))) for _ in range(1 + repeats)]
+        columns = 8192  # of a dense tile
+        for at in range(0, len(vocabulary), columns):
+            part_of = vocabulary[at : at + columns]
+            dense = []
+            for _, row, element, weight in (one, two):
+                place = np.searchsorted(part_of, element).clip(max=len(part_of) - 1)
+                hit = part_of[place] == element
+                counts = np.zeros((row[-1] + 1, len(part_of)), np.float32)
+                counts[row[hit], place[hit]] = weight[hit]
+                dense.append(counts)
+            sums[0] += dense[0] @ (dense[1] > 0).astype(np.float32).T
+            if repeats:
+                sums[1] += (dense[0] > 0).astype(np.float32) @ dense[1].T
+        return sums[0], sums[-1]
+
+    def join(one, two, same: bool) -> None:
+        a, b = shares(one, two)
+        with np.errstate(divide="ignore"):
+            bound = 1 / (total[one[0]][:, None] / a + total[two[0]] / b - 1)
+        open_pairs = (bound >= threshold) & (part[one[0]][:, None] != part[two[0]])
+        i, j = np.nonzero(np.triu(open_pairs, 1) if same else open_pairs)
+        i, j, k = one[0][i], two[0][j], 0
+        while k < len(i):
+            u, v = i[k], j[k]
+            k += 1
+            sets = [(shingle[first[x] : first[x + 1]], count[first[x] : first[x + 1]]) for x in (u, v)]
+            if probability_jaccard(*sets) < threshold:
+                continue
+            out.append((int(u), int(v)))
+            part[part == part[u]] = part[v]
+            apart = part[i[k:]] != part[j[k:]]
+            i, j, k = i[k:][apart], j[k:][apart], 0
+
+    for one in tiles(0):
+        for two in tiles(1):
+            join(one, two, False)
+    inner = tiles(2)
+    for at, one in enumerate(inner):
+        for two in inner[at:]:
+            join(one, two, one is two)
+    return out
+
+
+def block_pairs(rows: DataFrame, texts: DataFrame, width: int, threshold: float, block: int) -> DataFrame:
+    """Links ``u, v`` inside groups of ``rows`` (``group, side, key, root``): side 0 with side 1, or side 2 with itself.
+
+    A group is dealt to blocks of about ``block`` nodes and at most some 16 MB; one
+    task compares two blocks, so a node has a copy per block of the other side.
+    """
+    sizes = rows.join(texts.select("key", F.length("text").alias("size")), "key").groupBy("group", "side")
+    need = sizes.agg(F.ceil(F.greatest(F.count("*") / block, F.sum("size") / (16 << 20))).cast("int").alias("m"))
+    m = need.groupBy("group").agg(*(F.max(F.when(F.col("side") == i, F.col("m"))).alias(f"m{i}") for i in (0, 1, 2)))
+    m = write_table(m.filter("m2 IS NOT NULL OR (m0 IS NOT NULL AND m1 IS NOT NULL)"), "minhash-blocks")
+    others = F.when(F.col("side") == 2, F.col("m2")).when(F.col("side") == 1, F.col("m0")).otherwise(F.col("m1"))
+    own = F.pmod(F.xxhash64("key"), F.coalesce(F.when(F.col("side") == 2, F.col("m2")).when(F.col("side") == 1, F.col("m1")).otherwise(F.col("m0")), F.lit(1)))
+    dealt = rows.join(m, "group").withColumn("own", own.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
+    inner = F.col("side") == 2
+    dealt = dealt.select(
+        "group", "key", "root",
+        F.when(inner, F.least("own", "other")).when(F.col("side") == 0, F.col("own")).otherwise(F.col("other")).alias("i"),
+        F.when(inner, F.greatest("own", "other")).when(F.col("side") == 0, F.col("other")).otherwise(F.col("own")).alias("j"),
+        # Two blocks of one side meet as 0 and 1, a block meets itself as 2.
+        F.when(inner & (F.col("own") != F.col("other")), (F.col("own") > F.col("other")).cast("int")).otherwise(F.col("side")).alias("side"),
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        last = None
+
+        def linked() -> list[tuple[int, int]]:
+            keys, sides, roots, bodies = zip(*held)
+            found = block_links(list(bodies), np.array(sides), np.array(roots, np.int64), width, threshold)
+            return [(keys[a], keys[b]) for a, b in found]
+
+        for batch in batches:
+            for group, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (group, i, j) != last:
+                    if held:
+                        yield _links(linked())
+                    held, last = [], (group, i, j)
+                held.append(row)
+        if held:
+            yield _links(linked())
+
+    dealt = dealt.join(texts, "key").select("group", "i", "j", "key", "side", "root", "text")
+    dealt = dealt.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "side", "key")
+    return dealt.mapInArrow(run, "u long, v long")
+
+
 def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
@@ -213,7 +331,7 @@ def crowded(members: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 24, rows: int = 5, small_bucket: int = 256, dense: float = 0.2
+    docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 24, rows: int = 5, small_bucket: int = 256, dense: float = 0.2, block: int = 2048
 ) -> DataFrame:
     """Classes of near-duplicates: ``doc_id, key, class_id, class_key, class_size`` for every document.
 
@@ -221,8 +339,9 @@ def near_duplicates(
     (null only if all are) and ``class_key`` the key of that document,
     ``class_size`` the number of rows.  With 24 bands of 5 registers a pair at the
     threshold shares a band with probability 0.9999.  ``small_bucket`` is the
-    largest rest of a bucket that one task compares; a larger one gets another
-    leader if the last one took the share ``dense`` of it, else it is split.
+    largest rest of a bucket that one task compares through leaders; a larger one
+    gets another leader if the last one took the share ``dense`` of it, else all its
+    pairs are compared, ``block`` by ``block`` nodes to a task.
 
     Null and empty texts, and texts without words, are classes by their text alone
     only as far as they are copies; repeated rows are copies.  Texts of fewer words
@@ -241,7 +360,7 @@ def near_duplicates(
     texts = texts.join(first, ["key"]).filter(F.col("doc_id").eqNullSafe(F.col("_id"))).select("key", "text")
     texts = write_table(texts.dropDuplicates(["key"]), "minhash-texts")
 
-    known = links = followers = border = None
+    known = links = followers = border = loose = None
     while known is None or not open_rows.isEmpty():
         leaders = open_rows.groupBy("band").agg(F.min("key").alias("leader"))
         led = open_rows.join(leaders, "band").filter(F.col("key") != F.col("leader"))
@@ -261,23 +380,31 @@ def near_duplicates(
         inside = rest.filter(F.col("n") <= small_bucket).join(texts, "key")
         inside = write_table(rest_links(inside, width, threshold), "minhash-rest")
         links = inside if links is None else links.union(inside)
-        # What is left of a large bucket is led again while leaders find followers in it; a second band splits the others.
-        large = rest.filter(F.col("n") > small_bucket)
-        again = large.filter(F.col("share") >= dense).select("band", "key")
-        loose = large.filter(F.col("share") < dense).select("key", F.col("band").alias("_band"))
-        split = loose.join(nodes.select("key", "bands"), "key").select("key", "_band", F.explode("bands").alias("_next"))
-        split = crowded(split.filter("_next <> _band").select("key", F.xxhash64("_band", "_next").alias("band")))
-        open_rows = write_table(again.union(split), "minhash-open")
-
+        # What is left of a large bucket is led again while leaders find followers in it; of the others all pairs are compared.
+        large = write_table(rest.filter(F.col("n") > small_bucket).select("band", "key", "share"), "minhash-large")
+        rare = large.filter(F.col("share") < dense).select("band", "key")
+        loose = rare if loose is None else loose.union(rare)
+        open_rows = write_table(large.filter(F.col("share") >= dense).select("band", "key"), "minhash-open")
+
+    if loose is not None and not loose.isEmpty():
+        # Of rests with the same nodes one is enough.
+        same = loose.groupBy("band").agg(F.count("*").alias("n"), *(F.bit_xor(F.xxhash64(F.lit(i), "key")).alias(f"h{i}") for i in (0, 1)))
+        chosen = same.groupBy("n", "h0", "h1").agg(F.min("band").alias("band")).select("band")
+        inner = loose.join(chosen, "band", "left_semi").select(F.col("band").alias("group"), F.lit(2).alias("side"), "key", F.col("key").alias("root"))
+        links = links.union(write_table(block_pairs(inner, texts, width, threshold, block), "minhash-loose"))
     links = links.union(known.filter(F.col("j") >= threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct()
     roots = components(links)
     if not border.isEmpty():
+        # Followers have their leader's root; border nodes of another root are compared with them, whatever the band.
         rooted = roots.select(F.col("node").alias("key"), "root")
-        one = border.join(rooted, "key", "left").select("band", "leader", F.col("key").alias("a"), F.coalesce("root", "key").alias("root_a"))
-        two = followers.join(rooted, "key").select("band", "leader", F.col("key").alias("b"), F.col("root").alias("root_b"))
-        pairs = one.join(two, ["band", "leader"]).filter("root_a <> root_b").select("a", "b").distinct()
-        more = similarities(pairs, texts, width).filter(F.col("j") >= threshold)
-        more = write_table(more.select(F.col("a").alias("u"), F.col("b").alias("v")), "minhash-more")
+        home = roots.select(F.col("node").alias("leader"), F.col("root").alias("home"))
+        one = border.select("leader", "key").distinct().join(home, "leader").join(rooted, "key", "left")
+        one = one.withColumn("root", F.coalesce("root", "key")).filter("root <> home")
+        one = write_table(one.select(F.col("leader").alias("group"), F.lit(1).alias("side"), "key", "root"), "minhash-border")
+        two = followers.select("leader", "key").distinct().join(one.select(F.col("group").alias("leader")).distinct(), "leader", "left_semi")
+        two = two.join(rooted, "key").select(F.col("leader").alias("group"), F.lit(0).alias("side"), "key", "root")
+        more = block_pairs(one.union(two), texts, width, threshold, block)
+        more = write_table(more, "minhash-more")
         if not more.isEmpty():
             roots = components(links.union(more))
 

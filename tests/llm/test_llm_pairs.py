@@ -103,6 +103,43 @@ def test_near_duplicates_equal_all_pairs(near_docs, some_docs, small_bucket, den
         assert {r["doc_id"]: r["class_id"] for r in got} == {i: expected[t] for i, t in by_id.items()}
         assert minhash.one_of_each(docs).count() == len(set(expected.values()))
 
+def boilerplate(rng, nodes, own, common=40):
+    """Texts of one common passage and words of their own: similar to each other below 0.8, and one pair above."""
+    base = [f"b{i}" for i in range(common)]
+    texts = [" ".join(base + [f"o{n}x{i}" for i in range(own)]) for n in range(nodes)]
+    return [*texts, texts[0] + " y", "again " * 9 + texts[1], "again " * 10 + texts[1]]
+
+
+def joined_classes(nodes, links):
+    root = list(range(nodes))
+    for a, b in links:
+        root = [root[b] if r == root[a] else r for r in root]
+    return {frozenset(i for i in range(nodes) if root[i] == r) for r in root}
+
+
+def test_loose_rests_end_with_all_their_pairs(spark):
+    # Every band of one register is shared by nearly all texts: excluding one band does not divide them.
+    texts = boilerplate(random.Random(6), 40, 9)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs, rows=1, small_bucket=4, block=8).collect()}
+    expected = plain_classes({t: [i] for i, t in enumerate(texts)})
+    assert got == {i: expected[t] for i, t in enumerate(texts)}
+    assert 1 < len(set(got.values())) < len(texts)
+
+
+@pytest.mark.parametrize("step", [3, 512])
+def test_block_links_equal_all_pairs(step):
+    rng = random.Random(7)
+    texts = boilerplate(rng, 20, 9) + [edited(rng, ["w%d" % (i % 30) for i in range(90)], rng.choice([0, 1, 2, 3])) for _ in range(20)] + ["", "one"]
+    sets = [shingles(t) for t in texts]
+    n = len(texts)
+    near = [(i, j) for i in range(n) for j in range(i) if sets[i] and sets[j] and plain_jp(sets[i], sets[j]) >= 0.8]
+    got = minhash.block_links(texts, np.full(n, 2), np.arange(n), 5, 0.8, step)
+    assert joined_classes(n, got) == joined_classes(n, near) and set(map(frozenset, got)) <= set(map(frozenset, near))
+    side = np.arange(n) % 2
+    got = minhash.block_links(texts, side, np.arange(n), 5, 0.8, step)
+    assert joined_classes(n, got) == joined_classes(n, [(i, j) for i, j in near if side[i] != side[j]])
+
 
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     rows = minhash.near_duplicates(odd_docs).collect()
