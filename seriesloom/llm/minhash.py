@@ -34,6 +34,9 @@ from pyspark.sql import functions as F
 from .graph import components
 from .text import chunks, mix, windows, words_of, write_table
 
+#: Similarities of weighted sets are sums of floats; what is short of a limit by less has reached it.
+EPS = 1e-9
+
 
 def weighted_shingles(group: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, shingle, count) of a group of texts, sorted; a text of fewer words is one shingle."""
@@ -94,6 +97,8 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     if not len(common):
         return 0.0
+    if (a[1] == 1).all() and (b[1] == 1).all():
+        return len(common) / (len(a[0]) + len(b[0]) - len(common))
     x, y = a[1][i].astype(float), b[1][j].astype(float)
     # Elements of a alone have ratio infinity, of b alone ratio 0.
     only_x, only_y = a[1].sum() - x.sum(), b[1].sum() - y.sum()
@@ -161,7 +166,7 @@ def rest_links(rows: DataFrame, width: int, threshold: float) -> DataFrame:
 
         def compare(i: int, j: int) -> float:
             near = probability_jaccard(sets[i], sets[j])
-            if near >= threshold:
+            if near >= threshold - EPS:
                 out.append((bucket[i][0], bucket[j][0]))
                 old, new = part[i], part[j]
                 part[:] = [new if p == old else p for p in part]
@@ -173,9 +178,9 @@ def rest_links(rows: DataFrame, width: int, threshold: float) -> DataFrame:
                 if part[leader] == part[i] and home is not None:
                     continue
                 near = compare(i, leader)
-                if near >= threshold and home is None:
+                if near >= threshold - EPS and home is None:
                     home = leader
-                elif 2 * threshold - 1 <= near < threshold:
+                elif 2 * threshold - 1 - EPS <= near < threshold - EPS:
                     for f in followers:
                         if part[f] != part[i]:
                             compare(i, f)
@@ -250,14 +255,14 @@ def block_links(texts: list[str], side: np.ndarray, root: np.ndarray, width: int
         a, b = shares(one, two)
         with np.errstate(divide="ignore"):
             bound = 1 / (total[one[0]][:, None] / a + total[two[0]] / b - 1)
-        open_pairs = (bound >= threshold) & (part[one[0]][:, None] != part[two[0]])
+        open_pairs = (bound >= threshold - EPS) & (part[one[0]][:, None] != part[two[0]])
         i, j = np.nonzero(np.triu(open_pairs, 1) if same else open_pairs)
         i, j, k = one[0][i], two[0][j], 0
         while k < len(i):
             u, v = i[k], j[k]
             k += 1
             sets = [(shingle[first[x] : first[x + 1]], count[first[x] : first[x + 1]]) for x in (u, v)]
-            if probability_jaccard(*sets) < threshold:
+            if probability_jaccard(*sets) < threshold - EPS:
                 continue
             out.append((int(u), int(v)))
             part[part == part[u]] = part[v]
@@ -360,6 +365,7 @@ def near_duplicates(
     texts = texts.join(first, ["key"]).filter(F.col("doc_id").eqNullSafe(F.col("_id"))).select("key", "text")
     texts = write_table(texts.dropDuplicates(["key"]), "minhash-texts")
 
+    is_near, is_edge = F.col("j") >= threshold - EPS, F.col("j") >= 2 * threshold - 1 - EPS
     known = links = followers = border = loose = None
     while known is None or not open_rows.isEmpty():
         leaders = open_rows.groupBy("band").agg(F.min("key").alias("leader"))
@@ -369,14 +375,14 @@ def near_duplicates(
         fresh = write_table(similarities(fresh, texts, width), "minhash-pairs")
         known = fresh if known is None else known.union(fresh)
         rated = write_table(led.join(known, (led["key"] == known["a"]) & (led["leader"] == known["b"])).select("band", "key", "leader", "j"), "minhash-round")
-        near = rated.filter(F.col("j") >= threshold).select("band", "leader", "key")
-        edge = rated.filter((F.col("j") < threshold) & (F.col("j") >= 2 * threshold - 1)).select("band", "leader", "key")
+        near = rated.filter(is_near).select("band", "leader", "key")
+        edge = rated.filter(~is_near & is_edge).select("band", "leader", "key")
         followers = near if followers is None else followers.union(near)
         border = edge if border is None else border.union(edge)
 
-        share = F.avg((F.col("j") >= threshold).cast("int")).alias("share")
-        sizes = rated.groupBy("band").agg(F.sum((F.col("j") < threshold).cast("int")).alias("n"), share).filter("n > 1")
-        rest = rated.filter(F.col("j") < threshold).select("band", "key").join(sizes, "band")
+        share = F.avg(is_near.cast("int")).alias("share")
+        sizes = rated.groupBy("band").agg(F.sum((~is_near).cast("int")).alias("n"), share).filter("n > 1")
+        rest = rated.filter(~is_near).select("band", "key").join(sizes, "band")
         inside = rest.filter(F.col("n") <= small_bucket).join(texts, "key")
         inside = write_table(rest_links(inside, width, threshold), "minhash-rest")
         links = inside if links is None else links.union(inside)
@@ -392,7 +398,7 @@ def near_duplicates(
         chosen = same.groupBy("n", "h0", "h1").agg(F.min("band").alias("band")).select("band")
         inner = loose.join(chosen, "band", "left_semi").select(F.col("band").alias("group"), F.lit(2).alias("side"), "key", F.col("key").alias("root"))
         links = links.union(write_table(block_pairs(inner, texts, width, threshold, block), "minhash-loose"))
-    links = links.union(known.filter(F.col("j") >= threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct()
+    links = links.union(known.filter(is_near).select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct()
     roots = components(links)
     if not border.isEmpty():
         # Followers have their leader's root; border nodes of another root are compared with them, whatever the band.

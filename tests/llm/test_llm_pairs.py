@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -57,6 +58,25 @@ def test_probability_jaccard():
         assert math.isclose(minhash.probability_jaccard((a, x), (b, y)), expected, rel_tol=1e-9, abs_tol=1e-12)
 
 
+def fraction_jp(x, y):
+    both = set(x) | set(y)
+    return sum(1 / sum(max(Fraction(x[e], x[d]), Fraction(y[e], y[d])) for e in both) for d in set(x) & set(y))
+
+
+def test_similarities_at_the_threshold_are_near(spark):
+    # 12 of 15, 48 of 60 and 68 of 85 shared shingles, and a repeated passage: 0.8 by fractions, and pairs just below.
+    texts = [" ".join(f"p{n}w{i}" for i in range(k)) for n, size in enumerate((15, 60, 85)) for k in (size * 4 // 5 + 4, size + 4)]
+    texts += [" ".join(f"q{i}" for i in range(k)) for k in (15, 19)]
+    texts += [" ".join([f"r{i}" for i in range(25)] * 3), " ".join([f"r{i}" for i in range(25)] * 2)]
+    exact = [fraction_jp(shingles(a), shingles(b)) for a, b in zip(texts[::2], texts[1::2])]
+    assert exact[:3] == [Fraction(4, 5)] * 3 and exact[3] < Fraction(4, 5)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs, rows=1).collect()}
+    assert [got[2 * i] == got[2 * i + 1] for i in range(len(exact))] == [j >= Fraction(4, 5) for j in exact]
+    assert len(minhash.block_links(texts, np.full(len(texts), 2), np.arange(len(texts)), 5, 0.8)) == sum(j >= Fraction(4, 5) for j in exact)
+
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(2)
     a, b = rng.integers(1, 1 << 60, 300).astype(np.uint64), rng.integers(1, 1 << 60, 60).astype(np.uint64)
