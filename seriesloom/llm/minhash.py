@@ -215,7 +215,8 @@ def block_links(texts: list[str], side: np.ndarray, root: np.ndarray, width: int
     products of counts give the shares for ``step`` x ``step`` nodes at a time; only
     what passes that bound is compared.
     """
-    doc, shingle, count = weighted_shingles([t.encode() for t in texts], width)
+    parts = [(at, weighted_shingles(group, width)) for at, group in chunks(pa.array(texts))]
+    doc, shingle, count = (np.concatenate(x) for x in zip(*((at + d, e, c) for at, (d, e, c) in parts)))
     first = np.searchsorted(doc, np.arange(len(texts) + 1))
     total = np.add.reduceat(np.append(count, 0), first[:-1]).astype(float) * (np.diff(first) > 0)
     plain = np.array([bool((count[a:b] == 1).all()) for a, b in zip(first, first[1:])])
@@ -235,16 +236,37 @@ def block_links(texts: list[str], side: np.ndarray, root: np.ndarray, width: int
         """Weight of the common shingles in each node of ``one`` and of ``two``."""
         vocabulary = np.intersect1d(one[2], two[2])
         repeats = not (plain[one[0]].all() and plain[two[0]].all())
-        sums = [np.zeros((len(one[0]), len(two[0]))) for _ in range(1 + repeats)]
-        columns = 8192  # of a dense tile
-        for at in range(0, len(vocabulary), columns):
-            part_of = vocabulary[at : at + columns]
+        shape = len(one[0]), len(two[0])
+        sums = [np.zeros(shape) for _ in range(1 + repeats)]
+        if not len(vocabulary):
+            return sums[0], sums[-1]
+        sides = []
+        for _, row, element, weight in (one, two):
+            place = np.searchsorted(vocabulary, element).clip(max=len(vocabulary) - 1)
+            hit = np.flatnonzero(vocabulary[place] == element)
+            hit = hit[np.argsort(place[hit], kind="stable")]
+            sides.append((row[hit], place[hit], weight[hit]))
+        n = [np.bincount(place, minlength=len(vocabulary)) for _, place, _ in sides]
+        # Shingles of few nodes: their pairs one by one; the others: dense products.
+        few = n[0] * n[1] <= 64
+        (row, place, weight), (row_b, _, weight_b) = sides
+        some = np.flatnonzero(few[place])
+        times = n[1][place[some]]
+        left = np.repeat(some, times)
+        right = np.repeat((np.cumsum(n[1]) - n[1])[place[some]], times) + np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times)
+        flat = row[left] * shape[1] + row_b[right]
+        for i, w in enumerate((weight[left], weight_b[right])[: len(sums)]):
+            sums[i] += np.bincount(flat, w, shape[0] * shape[1]).reshape(shape)
+        many = np.flatnonzero(~few)
+        columns = 4096  # of a dense tile
+        for at in range(0, len(many), columns):
+            chosen = many[at : at + columns]
             dense = []
-            for _, row, element, weight in (one, two):
-                place = np.searchsorted(part_of, element).clip(max=len(part_of) - 1)
-                hit = part_of[place] == element
-                counts = np.zeros((row[-1] + 1, len(part_of)), np.float32)
-                counts[row[hit], place[hit]] = weight[hit]
+            for i, (row, place, weight) in enumerate(sides):
+                low, high = np.searchsorted(place, (chosen[0], chosen[-1] + 1))
+                hit = low + np.flatnonzero(~few[place[low:high]])
+                counts = np.zeros((shape[i], len(chosen)), np.float32)
+                counts[row[hit], np.searchsorted(chosen, place[hit])] = weight[hit]
                 dense.append(counts)
             sums[0] += dense[0] @ (dense[1] > 0).astype(np.float32).T
             if repeats:
@@ -282,11 +304,11 @@ def block_links(texts: list[str], side: np.ndarray, root: np.ndarray, width: int
 def block_pairs(rows: DataFrame, texts: DataFrame, width: int, threshold: float, block: int) -> DataFrame:
     """Links ``u, v`` inside groups of ``rows`` (``group, side, key, root``): side 0 with side 1, or side 2 with itself.
 
-    A group is dealt to blocks of about ``block`` nodes and at most some 16 MB; one
+    A group is dealt to blocks of about ``block`` nodes and at most some 4 MB; one
     task compares two blocks, so a node has a copy per block of the other side.
     """
     sizes = rows.join(texts.select("key", F.length("text").alias("size")), "key").groupBy("group", "side")
-    need = sizes.agg(F.ceil(F.greatest(F.count("*") / block, F.sum("size") / (16 << 20))).cast("int").alias("m"))
+    need = sizes.agg(F.ceil(F.greatest(F.count("*") / block, F.sum("size") / (4 << 20))).cast("int").alias("m"))
     m = need.groupBy("group").agg(*(F.max(F.when(F.col("side") == i, F.col("m"))).alias(f"m{i}") for i in (0, 1, 2)))
     m = write_table(m.filter("m2 IS NOT NULL OR (m0 IS NOT NULL AND m1 IS NOT NULL)"), "minhash-blocks")
     others = F.when(F.col("side") == 2, F.col("m2")).when(F.col("side") == 1, F.col("m0")).otherwise(F.col("m1"))
