@@ -1,7 +1,9 @@
 """Secrets in texts: fixed patterns, and strings whose symbols pass a battery of randomness tests.
 
-A candidate is a run of 20 or more symbols with letters and digits.  Its encoding
-(hex, base32, base64 or its URL form) is inferred from the symbols that occur.
+A candidate is a run of 20 or more letters, digits and + / - _, and every part of
+20 or more between such signs, so that a key in a path is tested by itself.  Its
+encoding (hex, base32, base36, letters and digits, base64 or its URL form) is the
+smallest that has all symbols that occur.
 Against the hypothesis "uniform and independent symbols of that alphabet" three
 tests run: chi-squared on the counts, Wald-Wolfowitz runs around the alphabet's
 middle, and lag-1 serial correlation.  Their Bonferroni-combined p-value goes into
@@ -30,11 +32,14 @@ ALPHABETS = {
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "BASE36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
-#: Runs of symbols; the lookbehind starts a match at the start of a run only.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+#: Runs of symbols, whole and between the signs of either base64; the lookbehind starts a match at the start of a run only.
+CANDIDATES = tuple(rf"(?<![A-Za-z0-9{signs}])[A-Za-z0-9{signs}]{{20,}}={{0,2}}" for signs in ("+/_-", "+/", "_-", ""))
 #: Lower ends of the length classes.
 LENGTHS = (20, 32, 48, 96)
 SPAN = "array<struct<start:int,end:int,size:int,body:string>>"
@@ -69,11 +74,12 @@ def normal_tail(z: Column) -> Column:
 
 
 def battery(body: Column) -> Column:
-    """Combined p-value of the three tests; null where the string has no symbol of a known encoding."""
+    """Combined p-value of the three tests; null where no encoding has all symbols of the string."""
     symbols = F.regexp_replace(body, "=+$", "")
+    # Upper-case keys come in groups; the signs between them are no symbols.
+    symbols = F.when(symbols.rlike("^[A-Z0-9_-]+$"), F.regexp_replace(symbols, "[_-]", "")).otherwise(symbols)
     only = lambda name: symbols.rlike("^[" + ALPHABETS[name].replace("-", r"\-") + "]+$")
-    alphabet = F.when(only("hex"), ALPHABETS["hex"]).when(only("HEX"), ALPHABETS["HEX"]).when(only("base32"), ALPHABETS["base32"])
-    alphabet = alphabet.when(only("base64"), ALPHABETS["base64"]).otherwise(ALPHABETS["base64url"])
+    alphabet = F.coalesce(*(F.when(only(name), ALPHABETS[name]) for name in ALPHABETS))
 
     def test(s: Column) -> Column:
         """``s``: struct of the symbols and their alphabet."""
@@ -118,17 +124,16 @@ def battery(body: Column) -> Column:
 
         return F.aggregate(values, acc0, step, finish)
 
-    one = F.transform(F.array(F.struct(symbols.alias("symbols"), alphabet.alias("alphabet"))), test)
+    known = F.filter(F.array(F.struct(symbols.alias("symbols"), alphabet.alias("alphabet"))), lambda s: s["alphabet"].isNotNull() & (F.length(s["symbols"]) > 1))
+    one = F.transform(known, test)
     return F.get(one, F.lit(0))
 
 
 def candidates(text: Column) -> Column:
-    """Runs with letters and digits (of mixed case, unless hex or base32), with the battery's p-value."""
-    mixed = lambda b: b.rlike("[0-9]") & (
-        (b.rlike("[a-z]") & b.rlike("[A-Z]")) | b.rlike("^[0-9a-f]*[a-f][0-9a-f]*$") | b.rlike("^[A-Z0-9]*[A-Z][A-Z0-9]*={0,2}$")
-    )
-    some = F.filter(found(text, CANDIDATE, 0), lambda m: mixed(m["body"]))
-    return F.transform(some, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["size"].alias("size"), battery(m["body"]).alias("p")))
+    """Runs and parts of runs with the battery's p-value; those of no encoding are left out."""
+    runs = F.when(text.rlike(CANDIDATES[0]), F.array_distinct(F.concat(*(found(text, c, 0) for c in CANDIDATES)))).otherwise(F.array().cast(SPAN))
+    tests = F.transform(runs, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["size"].alias("size"), battery(m["body"]).alias("p")))
+    return F.filter(tests, lambda t: t["p"].isNotNull())
 
 
 def length_class(size: Column) -> Column:
@@ -184,8 +189,10 @@ def scan(docs: DataFrame, q: float = 0.01, keep: tuple[str, ...] = ("doc_id",))
         apart = ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
         return (t["p"] > limit) & apart
 
-    extra = F.transform(F.filter("tests", kept), lambda t: span(t, len(KINDS), "random"))
-    return rows.select("row", "base", F.sort_array(F.concat("base", extra)).alias("found"))
+    # A part of a run that is kept as a whole goes with it.
+    inside = lambda t: F.exists("kept", lambda o: (o["start"] <= t["start"]) & (o["end"] >= t["end"]) & (o["end"] - o["start"] > t["end"] - t["start"]))
+    extra = F.transform(F.filter("kept", lambda t: ~inside(t)), lambda t: span(t, len(KINDS), "random"))
+    return rows.withColumn("kept", F.filter("tests", kept)).select("row", "base", F.sort_array(F.concat("base", extra)).alias("found"))
 
 
 def matches(text: Column, kind: str, rank: int) -> Column:
