@@ -170,15 +170,13 @@ def learn_lexicon(train: DataFrame, max_entries: int, error: float) -> Grammar:
     An entry needs odds of 20 to 1 and a G-test that holds after Bonferroni's
     correction for the number of entries tried; its weight is its log-odds.
     """
-    long_hash = F.array_min(F.transform(F.filter("words", lambda w: F.length(w) >= 9), lambda w: F.xxhash64(w)))
     words = (
         train.select("toxic", F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}']+")).alias("words"))
-        # One MinHash of its long words stands for a text: copies and most near copies count once.
-        # A step of its own, before the words become rows.
-        .select("toxic", F.coalesce(long_hash, F.hash("words").cast("long")).alias("text"), "words")
-        .select("toxic", "text", F.explode("words").alias("word"))
+        # Texts of the same words count once, before the words become rows; texts that share some of them each count.
+        .select("toxic", F.xxhash64(F.array_sort("words")).alias("text"), "words")
+        .dropDuplicates(["toxic", "text"])
+        .select("toxic", F.explode("words").alias("word"))
         .filter(F.length("word") >= 3)
-        .distinct()
         .groupBy("word")
         .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     )

@@ -171,6 +171,16 @@ def test_clause_grammar():
     assert grammar.measure("midiot", found) == (0.0, 0.0)
 
 
+def test_texts_with_one_common_long_word_each_count(spark):
+    # A header of every text holds the long word with the smallest hash: all texts of a label counted as one.
+    texts = [(f"aaaaaaaaaaaaheader plain{i} words{i}" + (" grumbex" if i % 2 else ""), i % 2) for i in range(200)]
+    grammar = toxicity.learn_lexicon(spark.createDataFrame(texts, "text string, toxic int"), 100, 0.01)
+    assert "grumbex" in grammar.words
+    copies = spark.createDataFrame([(t, y) for t, y in texts[:4] for _ in range(50)], "text string, toxic int")
+    assert "grumbex" not in toxicity.learn_lexicon(copies, 100, 0.01).words
+
+
+
 def test_toxicity_held_out(spark, odd_docs, no_docs):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
