@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, katz, minhash, mixing, neighbours, quality, secrets, suffixdedup, superkmers, toxicity
+from . import bpe, katz, minhash, mixing, neighbours, quality, secrets, simhash, suffixdedup, superkmers, toxicity
 from .text import read_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_neighbours")
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op13_simhash")
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_documents(spark, sf_dir))
