@@ -7,7 +7,8 @@ never hold more than one such group.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,18 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def per_worker(key: tuple, make: Callable):
+    """What ``make`` gives, made once per Python worker.
+
+    It is held by a module of the worker, not by the function that travels with a
+    task, so functions that use it need no copy of this package on the worker.
+    """
+    held = sys.__dict__.setdefault("_held_by_worker", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def training_row(doc_id, modulus: int, left_out: int):
     """True for rows whose crc32(doc_id as text) mod ``modulus`` is not ``left_out``; null ids never train."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus != left_out, F.lit(False))
