@@ -85,6 +85,20 @@ def _(spark, sf):
     return adf_test(filled(spark, sf), KEYS)
 
 
+@query(
+    "an6_adf_fixed_lag",
+    f"""{FILLED}, steps AS (SELECT series, ds, y - lag(y) OVER ({W}) AS dy, lag(y) OVER ({W}) AS x FROM filled),
+    lagged AS (SELECT *, lag(dy) OVER ({W}) AS z FROM steps),
+    s AS (SELECT series, count(*) AS n, regr_sxx(x, x) AS xx, regr_sxx(z, z) AS zz, regr_sxx(dy, dy) AS yy,
+      regr_sxy(x, z) AS xz, regr_sxy(dy, x) AS xy, regr_sxy(dy, z) AS zy FROM lagged WHERE z IS NOT NULL GROUP BY series),
+    b AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS b1, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS b2 FROM s)
+    SELECT series, n AS rows, b1 / sqrt((yy - b1 * xy - b2 * zy) / (n - 3) * zz / (xx * zz - xz * xz)) AS statistic FROM b""",
+    num="statistic",
+)
+def _(spark, sf):
+    return adf_test(filled(spark, sf), KEYS, lags=1).select("series", "rows", "statistic")
+
+
 @query(
     "an6_dickey_fuller",
     f"""{FILLED}, steps AS (SELECT series, y - lag(y) OVER ({W}) AS dy, lag(y) OVER ({W}) AS x FROM filled)

@@ -61,18 +61,20 @@ def correlation_of(moments: Moments) -> np.ndarray:
 
 
 def partial_moments(
-    df: DataFrame, by: Sequence[str], columns: Sequence[str | Column]
+    df: DataFrame, by: Sequence[str], columns: Sequence[str | Column] | Column
 ) -> DataFrame:
     """Moments of ``columns`` per group and task: ``(by..., n, mean, co)``.
 
+    ``columns`` may be one array column whose length is the same within a group.
     Rows with a null in any column are left out.
     """
     by = list(by)
-    x = F.array(*[(F.col(c) if isinstance(c, str) else c).cast("double") for c in columns])
+    x = columns
+    if not isinstance(columns, Column):
+        x = F.array(*[(F.col(c) if isinstance(c, str) else c).cast("double") for c in columns])
     rows = df.select(*by, x.alias("_x"))
     key_fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]]
     schema = ", ".join([*key_fields, "n bigint", "mean array<double>", "co array<double>"])
-    width = len(columns)
 
     def emit(groups: dict, types) -> pa.RecordBatch:
         keys = list(groups)
@@ -93,18 +95,21 @@ def partial_moments(
         types: list = []
         for batch in batches:
             types = [batch.schema.field(b).type for b in by]
-            x = batch.column(len(by)).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            whole = ~np.isnan(x).any(axis=1)
+            vectors = batch.column(len(by))
+            values = vectors.flatten().to_numpy(zero_copy_only=False)
+            width = vectors.value_lengths().to_numpy(zero_copy_only=False)
+            first = np.cumsum(width) - width
             if by:
                 frame = pd.DataFrame({b: batch.column(i).to_pylist() for i, b in enumerate(by)})
                 ids = frame.groupby(by, sort=False, dropna=False).indices.values()
             else:
-                ids = [np.arange(len(x))]
+                ids = [np.arange(len(width))]
             for rows in ids:
                 key = tuple(batch.column(i)[int(rows[0])].as_py() for i in range(len(by)))
-                rows = rows[whole[rows]]
-                if len(rows):
-                    part = _of(x[rows])
+                x = values[first[rows][:, None] + np.arange(width[rows[0]])] if len(rows) else values[:0, None]
+                x = x[~np.isnan(x).any(axis=1)]
+                if len(x):
+                    part = _of(x)
                     groups[key] = merge_two(groups[key], part) if key in groups else part
             if len(groups) > OPEN_GROUPS:
                 yield emit(groups, types)

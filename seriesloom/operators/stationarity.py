@@ -57,45 +57,46 @@ def _regress(m: Moments, lags: int) -> tuple[float, float, int]:
     return b[0] / math.sqrt(var) if var > 0 else math.nan, sse, n
 
 
-def adf_test(grid: DataFrame, keys: Sequence[str], size: int = BLOCK_DAYS) -> DataFrame:
+#: Lagged differences kept per row: the default bound of a series of 100,000 days.
+MOST_LAGS = max_lag_of(100_000)
+
+
+def adf_test(grid: DataFrame, keys: Sequence[str], lags: int | None = None, size: int = BLOCK_DAYS) -> DataFrame:
     """Statistic, p-value, lags and critical values per series; constant series give nulls.
 
-    The number of lagged differences is chosen by AIC over one common sample,
-    and the chosen regression is refitted on all rows it can use.  Both come
-    from the same moments: the refit adds the few rows at the start of the
-    series that the common sample left out.
+    The number of lagged differences is chosen by AIC over one common sample
+    (``lags`` fixes it), and the chosen regression is refitted on all rows it can
+    use.  Both come from the same cross-products: the refit adds the few rows at
+    the start of the series that the common sample left out.  Each row carries its
+    lagged differences as an array as long as the bound of its series, at most
+    ``MOST_LAGS``, so nothing has to be known before the job starts.
     """
+    if lags is not None and not 0 <= lags <= MOST_LAGS:
+        raise ValueError(f"lags must lie between 0 and {MOST_LAGS}")
     filled = grid.where(F.col("y").isNotNull()).select(*keys, "ds", "y")
-    # The columns of the regression depend on the longest series, so its length is asked for now.
-    days = F.max(F.col("d")).alias("d")
-    longest = date_bounds(filled, keys).select((F.datediff("hi", "lo") + 1).alias("d")).agg(days).first()[0]
-    top = max(max_lag_of(longest or 0), 0)
-    diffs = {f"d{k}": lag("d0", k) for k in range(1, top + 1)}
-    steps = Family(({"level": lag("y", 1)}, {"d0": "y - level"}, diffs), before=top + 1)
+    reach = MOST_LAGS if lags is None else lags
+    past: dict = {"past": lambda w: F.reverse(F.collect_list("d0").over(w.rowsBetween(-max(reach, 1), -1)))}
+    steps = Family(({"level": lag("y", 1)}, {"d0": "y - level"}, past), before=reach + 2)
     facts = date_bounds(filled, keys).withColumns(
         {"_start": F.col("lo"), "_n": F.datediff("hi", "lo") + 1}
     )
     n = F.col("_n")
     lag_bound = F.least(
         F.floor(n / F.lit(2)).cast("int") - 2,
-        F.ceil(12 * F.pow(n / F.lit(100), F.lit(0.25))).cast("int"),
+        F.ceil(12 * F.pow(n / F.lit(100), F.lit(0.25))).cast("int") if lags is None else F.lit(lags),
+        F.lit(reach),
     )
     rows = (
         attach(over_blocks(filled, keys, steps, size=size), facts, keys, size)
         .withColumns({"_pos": F.datediff("ds", "_start"), "_max": lag_bound})
         .where("_max >= 0 and level is not null")
     )
-    # Differences beyond the series' own bound are never used; zero keeps the row whole.
-    x = [f"CASE WHEN {k} <= _max THEN d{k} ELSE 0 END AS x{k}" for k in range(1, top + 1)]
-    common = rows.where("_pos > _max").selectExpr(*keys, "_max", "-1 AS _row", "level", *x, "d0")
+    # Differences before the start of the series count as zero; only early rows have such.
+    seen = F.slice("past", F.lit(1), F.col("_max"))
+    x = F.concat(F.array("level"), seen, F.array_repeat(F.lit(0.0), F.col("_max") - F.size(seen)), F.array("d0"))
     # Rows before the common sample stand alone, under their position.
-    early = (
-        rows.where("_pos <= _max")
-        .selectExpr(*keys, "_max", "_pos AS _row", "level", *x, "d0")
-        .na.fill(0.0, [f"x{k}" for k in range(1, top + 1)])
-    )
-    columns = ["level", *[f"x{k}" for k in range(1, top + 1)], "d0"]
-    moments = partial_moments(early.unionByName(common), [*keys, "_max", "_row"], columns)
+    place = F.when(F.col("_pos") > F.col("_max"), F.lit(-1)).otherwise(F.col("_pos"))
+    moments = partial_moments(rows.withColumn("_row", place), [*keys, "_max", "_row"], x)
 
     def solve(_, groups: dict) -> dict[str, list] | None:
         bound = max(g[0] for g in groups)
@@ -105,20 +106,20 @@ def adf_test(grid: DataFrame, keys: Sequence[str], size: int = BLOCK_DAYS) -> Da
         if sample is None or sample[2][0, 0] <= 0:
             return nothing
         best = None
-        for lags in range(bound + 1):
-            _, sse, rows_used = _regress(sample, lags)
+        for k in range(bound + 1) if lags is None else (bound,):
+            _, sse, rows_used = _regress(sample, k)
             if sse <= 0:
                 return nothing
-            aic = rows_used * math.log(sse / rows_used) + 2 * (lags + 2)
+            aic = rows_used * math.log(sse / rows_used) + 2 * (k + 2)
             if best is None or aic < best[0]:
-                best = (aic, lags)
-        lags = best[1]
+                best = (aic, k)
+        chosen = best[1]
         refit = sample
         for (_, at), m in groups.items():
             # The row at position p has p - 1 lagged differences before it.
-            if at > lags:
+            if at > chosen:
                 refit = merge_two(refit, m)
-        tau, _, rows_used = _regress(refit, lags)
+        tau, _, rows_used = _regress(refit, chosen)
         if math.isnan(tau):
             return nothing
         p = p_value(tau)
@@ -126,7 +127,7 @@ def adf_test(grid: DataFrame, keys: Sequence[str], size: int = BLOCK_DAYS) -> Da
             name: [sum(c / rows_used**i for i, c in enumerate(poly))]
             for name, poly in CRITICAL.items()
         }
-        return {"statistic": [tau], "p_value": [p], "lags": [lags], "rows": [rows_used],
+        return {"statistic": [tau], "p_value": [p], "lags": [chosen], "rows": [rows_used],
                 **crit, "stationary": [p < 0.05]}
 
     schema = (

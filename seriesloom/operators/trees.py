@@ -8,20 +8,20 @@ this equals a model of its own.
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
-import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import materialize, scratch_path
+from .boosting import HistogramBooster, Spec, Trainer, cell_table, feature_edges
 
 # The parameter grids searched.  30, the engine's limit, stands for
 # "unlimited" depth.
@@ -46,11 +46,8 @@ def forest(settings: TreeSettings = TreeSettings(), **params) -> RandomForestReg
     )
 
 
-def boosted(settings: TreeSettings = TreeSettings(), **params) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="x", labelCol="z", predictionCol="z_hat", maxBins=settings.max_bins,
-        seed=settings.seed, checkpointInterval=settings.checkpoint_every, **params,
-    )
+def boosted(settings: TreeSettings = TreeSettings(), *, maxIter: int = 100, stepSize: float = 0.1, maxDepth: int = 5) -> HistogramBooster:
+    return HistogramBooster(maxIter, stepSize, maxDepth, settings.max_bins, settings.checkpoint_every)
 
 
 ESTIMATORS = {"rf": forest, "gbt": boosted}
@@ -112,115 +109,123 @@ class SearchResult:
     models: dict[int, object] = field(default_factory=dict)
 
 
-#: Per algorithm, the parameters of which one fit at the largest values scores all smaller ones.
-SHARED = {"rf": ("numTrees", "maxDepth"), "gbt": ("maxIter",)}
+def _leaf_paths(depths: Sequence[int]):
+    """Per tree: the prediction of every leaf's ancestor at each of ``depths``."""
 
+    def run(tree: pd.DataFrame) -> pd.DataFrame:
+        nodes = {i: (p, left, right) for i, p, left, right in zip(tree["id"], tree["prediction"], tree["left"], tree["right"])}
+        rows, stack = [], [(0, ())]
+        while stack:  # leaves come in pre-order, as the model numbers them
+            node, above = stack.pop()
+            prediction, left, right = nodes[node]
+            path = (*above, prediction)
+            if left < 0:
+                rows.append([path[min(d, len(path) - 1)] for d in depths])
+            else:
+                stack += [(right, path), (left, path)]
+        return pd.DataFrame({"tree": tree["tree"].iloc[0], "leaf": range(len(rows)), "at_depth": rows})
 
-def _groups(algorithm: str, points: list[dict]) -> Iterator[tuple[dict, list[dict]]]:
-    """Fits to run, each with the points it scores."""
-    shared = SHARED[algorithm]
-    groups: dict[tuple, list[dict]] = {}
-    for p in points:
-        rest = tuple(sorted((k, v) for k, v in p.items() if k not in shared))
-        groups.setdefault(rest, []).append(p)
-    for rest, members in groups.items():
-        yield {**dict(rest), **{k: max(p[k] for p in members) for k in shared if k in members[0]}}, members
+    return run
 
 
-def cut_leaves(model, depths: Sequence[int]) -> list[np.ndarray]:
-    """Per tree, the prediction of every leaf's ancestor at each depth: ``(depths, leaves)``.
+def leaf_table(model, depths: Sequence[int]) -> DataFrame:
+    """``tree, leaf, at_depth``: what every leaf would predict if its tree ended at each of ``depths``.
 
-    Read from the saved nodes, which are as many as the driver already holds in the model.
+    Read from the saved nodes of the forest; a task handles one tree at a time.
     """
-    path = scratch_path(SparkSession.active(), "forest")
+    spark = SparkSession.active()
+    path = scratch_path(spark, "forest")
     model.write().save(path)
-    rows = SparkSession.active().read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
-    trees: dict[int, dict[int, tuple]] = {}
-    for r in rows:
-        trees.setdefault(r.treeID, {})[r.id] = (r.prediction, r.leftChild, r.rightChild)
-    out = []
-    for tree in (trees[i] for i in sorted(trees)):
-        leaves, stack = [], [(0, ())]
-        while stack:  # leaves come in pre-order, as the model numbers them
-            node, above = stack.pop()
-            prediction, left, right = tree[node]
-            path_down = (*above, prediction)
-            if left < 0:
-                leaves.append([path_down[min(d, len(path_down) - 1)] for d in depths])
-            else:
-                stack += [(right, path_down), (left, path_down)]
-        out.append(np.array(leaves).T)
-    return out
+    nodes = spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), "nodeData.id", "nodeData.prediction",
+        F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
+    )
+    return nodes.groupBy("tree").applyInPandas(_leaf_paths(depths), "tree int, leaf int, at_depth array<double>")
 
 
 def cut_losses(model, test: DataFrame, points: Sequence[Mapping]) -> list[float]:
     """Mean squared error of the forest as if grown with fewer trees and less depth.
 
     With every feature at each split, a shallower tree from the same draws is the
-    deeper one cut off, and the first trees of a forest are a smaller forest.
+    deeper one cut off, and the first trees of a forest are a smaller forest.  Rows
+    meet the leaves they fall in by a join on (tree, leaf), and one aggregate gives
+    the errors of all points.
     """
     depths = sorted({p["maxDepth"] for p in points})
-    tables = cut_leaves(model, depths)
-    wanted = [(p["numTrees"], depths.index(p["maxDepth"])) for p in points]
+    scored = model.copy().setLeafCol("leaves").transform(test).select("z", vector_to_array("leaves").alias("leaves"))
+    rows = scored.withColumn("row", F.monotonically_increasing_id()).select("row", "z", F.posexplode("leaves").alias("tree", "_leaf"))
+    met = rows.withColumn("leaf", F.col("_leaf").cast("int")).join(leaf_table(model, depths), ["tree", "leaf"])
+    at = [(p["numTrees"], F.col("at_depth")[depths.index(p["maxDepth"])]) for p in points]
+    means = met.groupBy("row").agg(F.first("z").alias("z"), *[(F.sum(F.when(F.col("tree") < n, v)) / n).alias(f"p{i}") for i, (n, v) in enumerate(at)])
+    errors = means.agg(*[F.avg((F.col(f"p{i}") - F.col("z")) ** 2) for i in range(len(at))]).first()
+    return list(errors)
 
-    def run(batches):
-        for frame in batches:
-            leaf = np.stack(frame["leaf"]).astype(int)
-            sums = np.cumsum([t[:, leaf[:, i]] for i, t in enumerate(tables)], axis=0)
-            z = frame["z"].to_numpy()
-            errors = [float(((sums[n - 1, d] / n - z) ** 2).sum()) for n, d in wanted]
-            yield pd.DataFrame({"point": range(len(wanted)), "error": errors, "n": len(z)})
 
-    leaves = model.copy().setLeafCol("leaf").transform(test).select(vector_to_array("leaf").alias("leaf"), "z")
-    rows = leaves.mapInPandas(run, "point int, error double, n bigint").groupBy("point").agg(F.sum("error") / F.sum("n"))
-    losses = dict(rows.collect())
-    return [losses.get(i) for i in range(len(points))]
+def _mean(values: Sequence[float | None]) -> float:
+    known = [v for v in values if v is not None]
+    return sum(known) / len(known) if known else float("inf")
 
 
-def param_search(
-    frames: FoldFrames,
-    algorithm: str,
-    points: list[dict],
-    settings: TreeSettings = TreeSettings(),
-) -> SearchResult:
-    """Mean squared error of each parameter set over the expanding folds; keeps the best.
+def _choose(result: SearchResult, points: list[dict], losses: Mapping[int, list[float]]) -> dict:
+    """Enter the losses (per fold, in the order of ``points``) and return the point with the lowest mean."""
+    for i, point in enumerate(points):
+        result.scores += [(result.algorithm, point, f, loss[i]) for f, loss in losses.items()]
+    result.params = min(points, key=lambda p: _mean([loss[points.index(p)] for loss in losses.values()]))
+    return result.params
+
 
-    The folds of one fit run from a small driver thread pool, as the tuning classes
-    of Spark ML do; each is a distributed job of its own.  Smaller forests and
-    shorter boosted models are scored from the largest one.  Only the models of the
-    best boosted fit so far are kept.  Errors are on the standardised target, so no
-    series outweighs the others.
+def forest_search(frames: FoldFrames, points: list[dict], settings: TreeSettings = TreeSettings()) -> SearchResult:
+    """One forest per fold at the largest values scores all points.
+
+    The fits of the folds run from a small driver thread pool, as the tuning classes
+    of Spark ML do; each is a distributed job of its own.
     """
-    make = ESTIMATORS[algorithm]
     folds = range(1, frames.folds + 1)
-    result, lowest = SearchResult(algorithm, points[0]), None
-    assembled = {f: (frames.train(f).persist(), frames.test(f).select("x", "z").persist()) for f in folds}
-
-    def run(job):
-        largest, members, fold = job
-        train, test = assembled[fold]
-        model = make(settings, **largest).fit(train)
-        if algorithm == "gbt":
-            losses = model.evaluateEachIteration(test, "squared")
-            return model, [losses[p["maxIter"] - 1] for p in members]
-        return None, cut_losses(model, test, members)
+    largest = {k: max(p[k] for p in points) for k in points[0]}
+    result = SearchResult("rf", points[0])
+
+    def run(fold: int) -> tuple[object, list[float]]:
+        model = forest(settings, **largest).fit(frames.train(fold))
+        return model, cut_losses(model, frames.test(fold).select("x", "z"), points)
 
     with ThreadPool(min(settings.parallelism, frames.folds)) as pool:
-        for largest, members in _groups(algorithm, points):
-            done = pool.map(run, [(largest, members, f) for f in folds])
-            for i, point in enumerate(members):
-                losses = [d[1][i] for d in done]
-                result.scores += [(algorithm, point, f, loss) for f, loss in zip(folds, losses)]
-                mean = sum(losses) / frames.folds
-                if lowest is None or mean < lowest:
-                    lowest, result.params = mean, point
-                    result.models = {f: d[0] for f, d in zip(folds, done)} if point == largest and algorithm == "gbt" else {}
-    for train, test in assembled.values():
-        train.unpersist()
-        test.unpersist()
+        done = dict(zip(folds, pool.map(run, folds)))
+    if _choose(result, points, {f: d[1] for f, d in done.items()}) == largest:
+        result.models = {f: d[0] for f, d in done.items()}
     return result
 
 
+def boosted_search(frames: FoldFrames, points: list[dict], settings: TreeSettings = TreeSettings()) -> SearchResult:
+    """All folds, step sizes and depths, and the final models, grow together; fewer rounds are a prefix."""
+    folds = range(1, frames.folds + 1)
+    names = sorted({n for fs in frames.features for n in fs})
+    columns = [F.col(n).cast("double") for n in names]
+    edges = feature_edges(frames.data, columns, settings.max_bins)
+    targets = [(F.col("y") - F.col("mu")[f - 1]) / F.col("sd")[f - 1] for f in range(1, frames.folds + 2)]
+    cells = materialize(cell_table(frames.data, columns, edges, F.col("segment"), targets), "cells")
+    kinds = sorted({(p["stepSize"], p["maxDepth"]) for p in points})
+    specs = [Spec(f, *k) for f in range(1, frames.folds + 2) for k in kinds]
+    trainer = Trainer(cells, edges, [[names.index(n) for n in fs] for fs in frames.features], specs)
+    base, trees = trainer.grow(max(p["maxIter"] for p in points), settings.checkpoint_every)
+    loss = trainer.losses(base, trees, [p["maxIter"] for p in points])
+    of = lambda f, p: specs.index(Spec(f, p["stepSize"], p["maxDepth"]))
+    result = SearchResult("gbt", points[0])
+    best = _choose(result, points, {f: [loss.get((of(f, p), p["maxIter"])) for p in points] for f in folds})
+    result.models = {f: trainer.model(of(f, best), base, trees, best["maxIter"]) for f in (*folds, frames.folds + 1)}
+    return result
+
+
+SEARCHES = {"rf": forest_search, "gbt": boosted_search}
+
+
+def param_search(frames: FoldFrames, algorithm: str, points: list[dict], settings: TreeSettings = TreeSettings()) -> SearchResult:
+    """Mean squared error of each parameter set over the expanding folds; keeps the best.
+
+    Errors are on the standardised target, so no series outweighs the others.
+    """
+    return SEARCHES[algorithm](frames, points, settings)
+
+
 def fit_folds(
     frames: FoldFrames,
     algorithm: str,
@@ -229,10 +234,12 @@ def fit_folds(
     known: Mapping[int, object] | None = None,
 ) -> dict[int, object]:
     """A model per fold plus the final one; models the search has kept are reused."""
-    make = ESTIMATORS[algorithm]
     models = dict(known or {})
     todo = [f for f in range(1, frames.folds + 2) if f not in models]
-    with ThreadPool(min(settings.parallelism, len(todo))) as pool:
-        fitted = pool.map(lambda f: make(settings, **params).fit(frames.train(f)), todo)
-    models.update(zip(todo, fitted))
+    if todo and algorithm == "gbt":
+        return boosted_search(frames, [params], settings).models
+    if todo:
+        with ThreadPool(min(settings.parallelism, len(todo))) as pool:
+            fitted = pool.map(lambda f: forest(settings, **params).fit(frames.train(f)), todo)
+        models.update(zip(todo, fitted))
     return models

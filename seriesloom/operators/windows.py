@@ -266,22 +266,15 @@ def autocorrelation(
 ) -> DataFrame:
     """Correlation of y with itself k rows earlier, k below min(max_lag, n / 4).
 
-    One window pass hands each row its ``max_lag - 1`` predecessors; the pairs
-    are combined on the map side and only sums per lag are shuffled.
+    One window pass gives every row its ``max_lag - 1`` predecessors as columns, and
+    one aggregate all correlations: a task passes on a few sums per series and lag.
     """
-    reach = max_lag - 1
-    past = Family(
-        ({"past": lambda w: F.reverse(F.collect_list("y").over(w.rowsBetween(-reach, -1)))},),
-        before=reach,
-    )
-    rows = grid.where(F.col("y").isNotNull()).select(*keys, "ds", "y")
-    pairs = over_blocks(rows, keys, past, size=size).select(
-        *keys, "y", F.posexplode("past").alias("_i", "_x")
-    )
-    lag = F.col("_i") + 1
-    return (
-        pairs.groupBy(*keys, lag.alias("lag"))
-        .agg(F.count(F.lit(1)).alias("_pairs"), safe_corr(F.col("y"), F.col("_x")).alias("acf"))
-        .where(F.col("lag") < F.floor((F.col("_pairs") + F.col("lag")) / F.lit(4)))
-        .select(*keys, "lag", "acf")
+    lags = range(1, max_lag)
+    past = Family(({f"past_{k}": lag("y", k) for k in lags},), before=max_lag - 1)
+    rows = over_blocks(grid.where(F.col("y").isNotNull()).select(*keys, "ds", "y"), keys, past, size=size)
+    n = F.count(F.lit(1))
+    sums = rows.groupBy(*keys).agg(
+        *[F.when(F.lit(k) < F.floor(n / F.lit(4)), F.struct(safe_corr(F.col("y"), F.col(f"past_{k}")).alias("acf"))).alias(str(k)) for k in lags]
     )
+    long = sums.unpivot(list(keys), [str(k) for k in lags], "lag", "at").where(F.col("at").isNotNull())
+    return long.select(*keys, F.col("lag").cast("int").alias("lag"), F.col("at.acf").alias("acf"))

@@ -1,9 +1,12 @@
+import datetime as dt
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from seriesloom.functions.calendar import TIME_FEATURES, with_calendar, with_time_features
-from seriesloom.functions.holidays import holiday_dimension, with_holidays
+from seriesloom.functions.holidays import CALENDARS, Calendar, OwnHoliday, holiday_dimension, own_holidays, with_holidays
 from seriesloom.operators import correlation as C
 from seriesloom.operators import profile as P
 from seriesloom.operators import stats as S
@@ -177,6 +180,50 @@ def _numpy_adf(y):
     return tau, lags, n
 
 
+def test_calendars_speak_alike(spark):
+    """Flags of a date, the dimension and the dates in Python agree, for every country, with windows and own days."""
+    own = (OwnHoliday("fair", (dt.date(2019, 12, 31), dt.date(2020, 2, 29)), 1, 1),)
+    first, last = dt.date(2015, 1, 1), dt.date(2024, 12, 31)
+    days = spark.sql("SELECT explode(sequence(DATE'2015-01-01', DATE'2024-12-31')) AS ds")
+    for country in (None, *CALENDARS):
+        calendar = Calendar(country, 1, 2, own)
+        flags = calendar.flags(F.col("ds"))
+        wide = days.select("ds", F.array(*[F.when(c == 1, F.lit(n)) for n, c in flags.items()]).alias("names"))
+        by_flag = {(r.ds, n) for r in wide.collect() for n in r.names if n}
+        by_join = {tuple(r) for r in holiday_dimension(spark, 2015, 2024, calendar).collect()}
+        by_date = {(d, n) for n, ds in calendar.dates(first, last).items() for d in ds}
+        assert by_flag == by_join == by_date and list(flags) == list(calendar.dates(first, last))
+    with pytest.raises(KeyError):
+        Calendar("XX").flags(F.col("ds"))
+
+
+def test_easter_feasts_and_own_tables(spark):
+    found = {(str(r.ds), r.holiday) for r in holiday_dimension(spark, 2016, 2017, "DE").collect()}
+    assert {("2016-03-25", "Karfreitag"), ("2016-03-28", "Ostermontag"), ("2016-05-16", "Pfingstmontag"), ("2017-04-17", "Ostermontag")} <= found
+    assert ("2017-10-31", "Reformationstag") in found and ("2016-10-31", "Reformationstag") not in found
+    table = spark.sql("SELECT * FROM VALUES ('a', DATE'2016-05-01', -1, 2), ('a', DATE'2017-05-01', NULL, NULL), ('b', NULL, 0, 0) AS t(n, d, lower, upper)")
+    assert own_holidays(table, "n", "d", "lower", "upper") == (OwnHoliday("a", (dt.date(2016, 5, 1), dt.date(2017, 5, 1)), 1, 2),)
+    assert own_holidays(table.where("false"), "n", "d") == ()
+
+
+def test_adf_plans_without_a_job_and_with_fixed_lags(spark, daily):
+    grid = daily("100 + 3 * randn(1)", 300)
+    sc = spark.sparkContext
+    sc.setJobGroup("adf-plan", "planning")
+    test = adf_test(grid, K, lags=2)
+    assert not sc.statusTracker().getJobIdsForGroup("adf-plan")
+    sc.setJobGroup("other", "")
+    y = np.array([r.y for r in grid.orderBy("ds").collect()])
+    d = np.diff(y)
+    x = np.column_stack([np.ones(len(d) - 2), y[2:-1], d[1:-1], d[:-2]])
+    b, sse = np.linalg.lstsq(x, d[2:], rcond=None)[:2]
+    tau = b[1] / math.sqrt(sse[0] / (len(x) - 4) * np.linalg.inv(x.T @ x)[1, 1])
+    got = test.first()
+    assert got.lags == 2 and got.rows == len(x) and abs(got.statistic - tau) < 1e-6
+    with pytest.raises(ValueError):
+        adf_test(grid, K, lags=10_000)
+
+
 def test_adf_against_direct_regression(spark):
     rng = np.random.default_rng(7)
     noise = rng.normal(size=(3, 400))

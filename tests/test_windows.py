@@ -70,6 +70,13 @@ def test_zero_before_change_and_constant_series(daily):
     assert tuple(flat.first()) == (0, 0)
 
 
+def test_autocorrelation_is_one_aggregate(daily):
+    plan = Wn.autocorrelation(daily("t", 30), K)._jdf.queryExecution().optimizedPlan().toString()
+    # Rows are copied at the borders of blocks; pairs are not made.
+    assert "posexplode" not in plan and "collect_list" not in plan
+    assert plan.count("Aggregate [") == 1 and plan.count("Generate ") <= 1
+
+
 def test_autocorrelation(daily, grid):
     got = {r.lag: r.acf for r in Wn.autocorrelation(grid.where("series = '5-LOW'"), K, size=64).collect()}
     y = grid.where("series = '5-LOW'").orderBy("ds").toPandas().y
