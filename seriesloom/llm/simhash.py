@@ -224,7 +224,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 3, tile: int =
     """
     found = write_table(fingerprints(docs, width), "simhash")
     nodes = write_table(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    near = components(links(nodes, bits, tile))
+    near = components(write_table(links(nodes, bits, tile), "simhash-links"))
     rooted = nodes.join(near.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     # A fingerprint may be that of a third of all rows, a component may hold as many fingerprints.
