@@ -11,6 +11,10 @@ one job: tasks sum gradients and hessians by (model, node, feature, bin), the su
 meet by model, and one row per node comes back with its best split.  A leaf is worth
 ``-G / (H + penalty)`` times the step size.  Cells carry the margin of every model
 as of the last checkpoint, so a pass replays a bounded number of trees.
+
+Where the cells, once counted, are few enough for a task, a model grows in the task
+that gets a copy of them, by the same sums and splits, and all models side by side:
+a job per level would only wait for the scheduler.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ from ..session import materialize
 # Penalty on leaf weights, least hessian of a child, least gain of a split.
 PENALTY, LEAST_WEIGHT, LEAST_GAIN = 1.0, 1.0, 1e-6
 #: Cells that a task handles in all, and at a time.
-CELLS_PER_TASK, SLAB = 1 << 16, 8192
+CELLS_PER_TASK, SLAB = 1 << 16, 1 << 13
 
 
 class Spec(NamedTuple):
@@ -130,6 +134,51 @@ def advance(margin: np.ndarray, bins: np.ndarray, trees: Grown) -> np.ndarray:
     return margin
 
 
+def node_sums(bins: np.ndarray, at: np.ndarray, weights: Sequence[np.ndarray], offsets: np.ndarray, nodes: int) -> list[np.ndarray]:
+    """Sums of every weight by (node, feature, bin), features one after the other."""
+    size = int(offsets[-1])
+    code = ((at * size)[:, None] + bins + offsets[:-1]).ravel()
+    return [np.bincount(code, np.repeat(w, bins.shape[1]), nodes * size).reshape(nodes, size) for w in weights]
+
+
+def best_splits(g: np.ndarray, h: np.ndarray, offsets: np.ndarray, penalty: float) -> dict[str, np.ndarray]:
+    """Best split of every node: largest gain, ties to the first feature and the lowest cut."""
+    nodes, every = len(g), np.arange(len(g))
+    all_g, all_h = g[:, : offsets[1]].sum(axis=1), h[:, : offsets[1]].sum(axis=1)
+    best = {
+        "feature": np.full(nodes, -1), "cut": np.zeros(nodes, int), "gain": np.full(nodes, LEAST_GAIN),
+        "g": all_g, "h": all_h, "g_left": np.zeros(nodes), "h_left": np.zeros(nodes),
+    }
+    worth = lambda a, b: a * a / (b + penalty)
+    for f, (start, end) in enumerate(zip(offsets, offsets[1:])):
+        if end - start < 2:
+            continue
+        gl, hl = np.cumsum(g[:, start : end - 1], axis=1), np.cumsum(h[:, start : end - 1], axis=1)
+        hr = all_h[:, None] - hl
+        gain = worth(gl, hl) + worth(all_g[:, None] - gl, hr) - worth(all_g, all_h)[:, None]
+        gain[(hl < LEAST_WEIGHT) | (hr < LEAST_WEIGHT)] = -np.inf
+        at = gain.argmax(axis=1)
+        # Sums in another order must not decide a tie.
+        better = gain[every, at] > best["gain"] * (1 + 1e-9)
+        found = {"feature": f, "cut": at + 1, "gain": gain[every, at], "g_left": gl[every, at], "h_left": hl[every, at]}
+        best |= {k: np.where(better, v, best[k]) for k, v in found.items()}
+    return best
+
+
+def place(trees: Grown, m: int, t: int, level: int, node: int, best: dict, step_size: float, penalty: float, features: Sequence[int]) -> int:
+    """Enter the best split of a node; returns the number of splits."""
+    i = (1 << level) - 1 + node
+    leaf = lambda g, h: -step_size * g / (h + penalty)
+    if best["feature"] < 0:
+        if not level:
+            trees.value[m, t, 0] = leaf(best["g"], best["h"])
+        return 0
+    trees.feature[m, t, i], trees.cut[m, t, i], trees.gain[m, t, i] = features[best["feature"]], best["cut"], best["gain"]
+    trees.value[m, t, 2 * i + 1] = leaf(best["g_left"], best["h_left"])
+    trees.value[m, t, 2 * i + 2] = leaf(best["g"] - best["g_left"], best["h"] - best["h_left"])
+    return 1
+
+
 def slabs(batches: Iterator[pa.RecordBatch], names: Sequence[str]):
     """Arrays of up to ``SLAB`` cells: vectors for numbers, matrices for lists."""
     for whole in batches:
@@ -161,108 +210,117 @@ class Trainer:
         row = self.cells.agg(*sums).first()
         return np.array([(row[f"s{f}"] or 0.0) / (row[f"n{f}"] or 1.0) for f in folds])
 
+    def offsets(self, m: int) -> np.ndarray:
+        return np.cumsum([0, *(self.width[f] for f in self.features[m])])
+
     def sums(self, state: DataFrame, since: Grown, tree: Grown, level: int) -> DataFrame:
-        """``model, g, h``: per task, sums by (node of the level, feature, bin), features one after the other."""
-        specs, features, width = self.specs, self.features, self.width
+        """``model, g, h``: per task, sums by (node of the level, feature, bin)."""
+        specs, features = self.specs, self.features
+        offsets = [self.offsets(m) for m in range(len(specs))]
         first, nodes = (1 << level) - 1, 1 << level
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            offsets = [np.cumsum([0, *(width[f] for f in fs)]) for fs in features]
             total: dict[int, list[np.ndarray]] = {}
             for _, (segment, bins, n, s, margin) in slabs(batches, ["segment", "bins", "n", "s", "margin"]):
                 margin = advance(margin.T, bins, since)
                 at = places(bins, tree.feature[:, 0], tree.cut[:, 0]) - first
                 for m, spec in enumerate(specs):
-                    if level >= spec.depth:
-                        continue
                     h = n[:, spec.fold - 1]
                     rows = np.flatnonzero((segment < spec.fold) & (h > 0) & (at[m] >= 0))
-                    if not len(rows):
+                    if level >= spec.depth or not len(rows):
                         continue
-                    size = offsets[m][-1]
-                    code = (at[m][rows] * size)[:, None] + bins[rows][:, features[m]] + offsets[m][:-1]
                     weights = h[rows] * margin[m][rows] - s[rows, spec.fold - 1], h[rows]
-                    both = [np.bincount(code.ravel(), np.repeat(w, code.shape[1]), nodes * size) for w in weights]
+                    both = node_sums(bins[rows][:, features[m]], at[m][rows], weights, offsets[m], nodes)
                     total[m] = [a + b for a, b in zip(total[m], both)] if m in total else both
             if total:
-                columns = [pa.array(list(total), pa.int32())] + [pa.array([v[k] for v in total.values()], pa.list_(pa.float64())) for k in (0, 1)]
+                columns = [pa.array(list(total), pa.int32())]
+                columns += [pa.array([v[k].ravel() for v in total.values()], pa.list_(pa.float64())) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, names=["model", "g", "h"])
 
         return state.mapInArrow(run, "model int, g array<double>, h array<double>")
 
     def splits(self, sums: DataFrame, level: int) -> DataFrame:
-        """Best split of every node: largest gain, ties to the first feature and the lowest cut."""
-        features, width, penalty, nodes = self.features, self.width, self.penalty, 1 << level
-        names = ["model", "node", "feature", "cut", "gain", "g", "h", "g_left", "h_left"]
+        """Best split of every node of a level that has rows; features are numbered as in the model."""
+        offsets, penalty, nodes = [self.offsets(m) for m in range(len(self.specs))], self.penalty, 1 << level
 
         def run(key: tuple, table: pa.Table) -> pa.Table:
             m = key[0].as_py()
-            g, h = (table.column(c).combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1).sum(axis=0).reshape(nodes, -1) for c in ("g", "h"))
-            end = width[features[m][0]]
-            all_g, all_h = g[:, :end].sum(axis=1), h[:, :end].sum(axis=1)
-            best = np.full(nodes, LEAST_GAIN)
-            chosen, cut, g_left, h_left = np.full(nodes, -1), np.zeros(nodes, int), np.zeros(nodes), np.zeros(nodes)
-            worth = lambda a, b: a * a / (b + penalty)
-            start = 0
-            for f in features[m]:
-                end = start + width[f]
-                gl, hl = np.cumsum(g[:, start : end - 1], axis=1), np.cumsum(h[:, start : end - 1], axis=1)
-                start = end
-                if not gl.shape[1]:
-                    continue
-                gr, hr = all_g[:, None] - gl, all_h[:, None] - hl
-                gain = worth(gl, hl) + worth(gr, hr) - worth(all_g, all_h)[:, None]
-                gain[(hl < LEAST_WEIGHT) | (hr < LEAST_WEIGHT)] = -np.inf
-                at = gain.argmax(axis=1)
-                every = np.arange(nodes)
-                # Sums in another order must not decide a tie.
-                better = gain[every, at] > best * (1 + 1e-9)
-                best = np.where(better, gain[every, at], best)
-                chosen, cut = np.where(better, f, chosen), np.where(better, at + 1, cut)
-                g_left, h_left = np.where(better, gl[every, at], g_left), np.where(better, hl[every, at], h_left)
-            some = np.flatnonzero(all_h > 0)
-            values = [np.full(len(some), m), some, chosen[some], cut[some], best[some], all_g[some], all_h[some], g_left[some], h_left[some]]
-            kinds = [pa.int32()] * 4 + [pa.float64()] * 5
-            return pa.table({k: pa.array(v, t) for k, v, t in zip(names, values, kinds)})
+            g, h = (table.column(c).combine_chunks().flatten().to_numpy().reshape(table.num_rows, nodes, -1).sum(axis=0) for c in ("g", "h"))
+            best = best_splits(g, h, offsets[m], penalty)
+            some = np.flatnonzero(best["h"] > 0)
+            columns = {"model": pa.array(np.full(len(some), m), pa.int32()), "node": pa.array(some, pa.int32())}
+            columns |= {k: pa.array(v[some], pa.int32() if k in ("feature", "cut") else pa.float64()) for k, v in best.items()}
+            return pa.table(columns)
 
         schema = "model int, node int, feature int, cut int, gain double, g double, h double, g_left double, h_left double"
         return sums.groupBy("model").applyInArrow(run, schema)
 
-    def grow(self, rounds: int, checkpoint_every: int = 20) -> tuple[np.ndarray, Grown]:
+    def grow(self, rounds: int, checkpoint_every: int = 20, cells_per_task: int = CELLS_PER_TASK) -> tuple[np.ndarray, Grown]:
         """(start value of every model, its trees)."""
-        base = self.base()
+        base, cells = self.base(), self.cells.count()
+        if cells <= cells_per_task:
+            return base, self.grow_side_by_side(base, rounds)
+        return base, self.grow_by_level(base, rounds, checkpoint_every, 1 + cells // cells_per_task)
+
+    def grow_by_level(self, base: np.ndarray, rounds: int, checkpoint_every: int, tasks: int) -> Grown:
+        """A job per level of the trees of a round, for cells spread over tasks."""
         trees = Grown.empty(len(self.specs), rounds, self.depth)
-        tasks = 1 + self.cells.count() // CELLS_PER_TASK
-        state = self.cells.coalesce(tasks).withColumn("margin", F.array(*[F.lit(float(b)) for b in base])).persist()
+        state = self.cells.repartition(tasks).withColumn("margin", F.array(*[F.lit(float(b)) for b in base])).persist()
         done = 0
         for t in range(rounds):
             if t - done == checkpoint_every:
-                fresh = materialize(self.moved(state, trees.rounds(done, t)), "margins").coalesce(tasks).persist()
+                fresh = materialize(self.moved(state, trees.rounds(done, t)), "margins").persist()
                 state.unpersist()
                 state, done = fresh, t
             for level in range(self.depth):
                 sums = self.sums(state, trees.rounds(done, t), trees.rounds(t, t + 1), level)
                 # One row per model and node.
-                if not self.place(trees, t, level, self.splits(sums, level).collect()):
+                found = self.splits(sums, level).collect()
+                if not sum([place(trees, r["model"], t, level, r["node"], r, self.specs[r["model"]].step_size, self.penalty, self.features[r["model"]]) for r in found]):
                     break
         state.unpersist()
-        return base, trees
-
-    def place(self, trees: Grown, t: int, level: int, rows: Sequence) -> int:
-        """Enter the splits of a level; returns how many there are."""
-        n = 0
-        for r in rows:
-            m, i = r["model"], (1 << level) - 1 + r["node"]
-            leaf = lambda g, h, m=m: -self.specs[m].step_size * g / (h + self.penalty)
-            if r["feature"] < 0:
-                if not level:
-                    trees.value[m, t, 0] = leaf(r["g"], r["h"])
-                continue
-            n += 1
-            trees.feature[m, t, i], trees.cut[m, t, i], trees.gain[m, t, i] = r["feature"], r["cut"], r["gain"]
-            trees.value[m, t, 2 * i + 1] = leaf(r["g_left"], r["h_left"])
-            trees.value[m, t, 2 * i + 2] = leaf(r["g"] - r["g_left"], r["h"] - r["h_left"])
-        return n
+        return trees
+
+    def grow_side_by_side(self, base: np.ndarray, rounds: int) -> Grown:
+        """A task per model, each with a copy of the counted cells; a row of trees per model comes back."""
+        specs, features, penalty, depth = self.specs, self.features, self.penalty, self.depth
+        offsets = [self.offsets(m) for m in range(len(specs))]
+        names = ["feature", "cut", "value", "gain"]
+
+        def run(key: tuple, table: pa.Table) -> pa.Table:
+            m = key[0].as_py()
+            spec, grown = specs[m], Grown.empty(1, rounds, depth)
+            bins, n, s = (table.column(c).combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1) for c in ("bins", "n", "s"))
+            h, s = n[:, spec.fold - 1], s[:, spec.fold - 1]
+            rows = np.flatnonzero((table.column("segment").to_numpy() < spec.fold) & (h > 0))
+            # The order in which cells arrive must not show in sums.
+            rows = rows[np.lexsort((*bins[rows].T, table.column("segment").to_numpy()[rows]))]
+            bins, h, s = bins[rows], h[rows], s[rows]
+            mine, margin = bins[:, features[m]], np.full(len(rows), base[m])
+            for t in range(rounds):
+                for level in range(spec.depth):
+                    at = places(bins, grown.feature[:, t], grown.cut[:, t])[0] - ((1 << level) - 1)
+                    here = np.flatnonzero(at >= 0)
+                    weights = h[here] * margin[here] - s[here], h[here]
+                    best = best_splits(*node_sums(mine[here], at[here], weights, offsets[m], 1 << level), offsets[m], penalty)
+                    nodes = [{k: v[i] for k, v in best.items()} for i in range(1 << level)]
+                    if not sum(place(grown, 0, t, level, i, r, spec.step_size, penalty, features[m]) for i, r in enumerate(nodes) if r["h"] > 0):
+                        break
+                margin = advance(margin[None, :], bins, grown.rounds(t, t + 1))[0]
+            columns = {"model": pa.array([m], pa.int32())}
+            columns |= {k: pa.array([getattr(grown, k).ravel()], pa.list_(pa.int32() if k in ("feature", "cut") else pa.float64())) for k in names}
+            return pa.table(columns)
+
+        copies = self.cells.select("segment", "bins", "n", "s").withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(len(specs) - 1))))
+        grown = copies.repartition(len(specs), "model").groupBy("model").applyInArrow(
+            run, "model int, feature array<int>, cut array<int>, value array<double>, gain array<double>"
+        )
+        trees = Grown.empty(len(specs), rounds, depth)
+        for row in grown.toArrow().to_pylist():
+            for k in names:
+                of = getattr(trees, k)
+                of[row["model"]] = np.array(row[k], of.dtype).reshape(of.shape[1:])
+        return trees
 
     def moved(self, state: DataFrame, trees: Grown) -> DataFrame:
         """``state`` with the margins after ``trees``."""

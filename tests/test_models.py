@@ -12,7 +12,7 @@ from seriesloom.functions.transformers import ColumnScaler, TimeFeatures, fit_sc
 from seriesloom.operators import additive as Ad
 from seriesloom.operators import blend as B
 from seriesloom.operators import trees as T
-from seriesloom.operators.boosting import BoostedModel, cell_table, feature_edges
+from seriesloom.operators.boosting import BoostedModel, Spec, Trainer, cell_table, feature_edges
 from seriesloom.operators.evaluate import cutoffs, fold_segments, horizon_metrics, model_ranking
 from seriesloom.operators.linear import linear_fit, linear_folds
 from seriesloom.plans import additive as AdditivePlan
@@ -146,6 +146,12 @@ def test_boosting_equals_plain_rounds(seasonal):
                 point = {"maxIter": n, "stepSize": rate, "maxDepth": depth}
                 got = next(loss for _, p, f, loss in found.scores if p == point and f == fold)
                 assert abs(got - want) < 1e-9
+    # Many cells grow level by level over several tasks, to the same trees.
+    cells = cell_table(frame, [F.col(c) for c in columns], [edges[c] for c in columns], F.col("segment"), [(F.col("y") - F.col("mu")[1]) / F.col("sd")[1]] * 2)
+    trainer = Trainer(cells.cache(), [edges[c] for c in columns], [[0, 1, 2]] * 2, [Spec(2, 0.5, 3), Spec(2, 0.1, 2)])
+    (base, one), (again, many) = trainer.grow(5), trainer.grow(5, 2, 100)
+    assert np.allclose(base, again) and np.array_equal(one.feature, many.feature) and np.array_equal(one.cut, many.cut)
+    assert np.allclose(one.value, many.value, atol=1e-9)
     best = found.params
     for fold in (1, 2):
         scored = found.models[fold].transform(frames.test(fold)).agg(F.avg((F.col("z") - F.col("z_hat")) ** 2)).first()[0]
