@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.holidays import Calendar, OwnHoliday
 from .blocks import BLOCK_DAYS, attach
+from .draws import poisson_table, uniform
 from .evaluate import cutoffs, rolling_origin_membership
 from .grid import AXES
 
@@ -291,14 +292,6 @@ def _components(cfg: AdditiveConfig) -> dict[str, Column]:
     return out
 
 
-def _uniform(seed: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Uniform numbers in (0, 1) that depend on a seed and a place alone (SplitMix64)."""
-    x = seed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2.0**53 + 2.0**-54
-
-
 def simulate(seed: int, days: int, span: float, rate: float, size: float, sigma: float, samples: int) -> np.ndarray:
     """(samples, days): deviation from the forecast on each day after the end of training.
 
@@ -308,18 +301,16 @@ def simulate(seed: int, days: int, span: float, rate: float, size: float, sigma:
     draws = (np.arange(samples, dtype=np.uint64) + np.uint64(1)) ^ np.uint64(seed & 0xFFFFFFFFFFFFFFFF)
     t = np.arange(1, days + 1) / span
     expected = rate * days / span
-    limit = int(expected + 12 * math.sqrt(expected) + 12)
-    weights = np.cumsum([math.exp(k * math.log(expected) - expected - math.lgamma(k + 1)) for k in range(limit)]) if expected else np.ones(1)
-    number = np.searchsorted(weights, _uniform(draws, np.zeros(1)))
+    number = np.searchsorted(poisson_table(expected), uniform(draws, np.zeros(1)))
     out = np.zeros((samples, days))
     for c in range(int(number.max(initial=0)) if size > 0 else 0):
-        when = _uniform(draws, np.array([2 * c + 1])) * days / span
-        u = _uniform(draws, np.array([2 * c + 2])) - 0.5
+        when = uniform(draws, np.array([2 * c + 1])) * days / span
+        u = uniform(draws, np.array([2 * c + 2])) - 0.5
         change = np.where(c < number, -size * np.sign(u) * np.log1p(-2 * np.abs(u)), 0.0)
         out += change[:, None] * np.maximum(t - when[:, None], 0.0)
     # Noise in equal steps of probability, dealt to the draws by hash: the same on all days of a draw.
     steps = np.array([NormalDist().inv_cdf((i + 0.5) / samples) for i in range(samples)])
-    place = np.argsort(np.argsort(_uniform(draws, np.array([1 << 32])), kind="stable"), kind="stable")
+    place = np.argsort(np.argsort(uniform(draws, np.array([1 << 32])), kind="stable"), kind="stable")
     return out + sigma * steps[place][:, None]
 
 

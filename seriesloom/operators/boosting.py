@@ -415,26 +415,3 @@ class BoostedModel(Model, DefaultParamsReadable, DefaultParamsWritable):
             return pd.Series(total)
 
         return dataset.withColumn(self.getOrDefault(self.predictionCol), predict(vector_to_array(self.getOrDefault(self.featuresCol))))
-
-
-@dataclass(frozen=True)
-class HistogramBooster:
-    """Estimator of one model on rows with a vector ``x`` and a target ``z``."""
-
-    max_iter: int = 100
-    step_size: float = 0.1
-    max_depth: int = 5
-    max_bins: int = 400
-    checkpoint_every: int = 20
-    edges: tuple | None = None
-
-    def fit(self, rows: DataFrame) -> BoostedModel:
-        first = rows.select(F.size(vector_to_array("x"))).first()
-        if first is None:
-            raise ValueError("no rows to fit")
-        columns = [vector_to_array("x")[i] for i in range(first[0])]
-        edges = self.edges or feature_edges(rows, columns, self.max_bins)
-        cells = materialize(cell_table(rows, columns, edges, F.lit(0), [F.col("z")]), "cells")
-        trainer = Trainer(cells, edges, [range(len(columns))], [Spec(1, self.step_size, self.max_depth)])
-        base, trees = trainer.grow(self.max_iter, self.checkpoint_every)
-        return trainer.model(0, base, trees, self.max_iter)

@@ -2,7 +2,8 @@
 
 One model serves all series: the target is standardised per series with
 training statistics and predictions are scaled back, so for a single series
-this equals a model of its own.
+this equals a model of its own.  Both kinds grow from cells of binned features
+(``boosting.cell_table``), which one pass over the panel counts.
 """
 
 from __future__ import annotations
@@ -11,43 +12,77 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
-from multiprocessing.pool import ThreadPool
 
-import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch_path
-from .boosting import HistogramBooster, Spec, Trainer, cell_table, feature_edges
+from ..session import materialize
+from .boosting import BoostedModel, Spec, Trainer, cell_table, feature_edges
+from .forests import ForestModel, forest_losses, forest_model, grow_forests
 
-# The parameter grids searched.  30, the engine's limit, stands for
-# "unlimited" depth.
+# The parameter grids searched.  30 stands for "unlimited" depth.
 FOREST_GRID = {"numTrees": [100, 200], "maxDepth": [5, 7, 10, 30]}
 BOOSTED_GRID = {"maxIter": [100, 200], "stepSize": [0.01, 0.1], "maxDepth": [3, 5]}
 
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """``max_bins`` bounds the split candidates per feature (366 days of a year)."""
+    """``max_bins`` bounds the split candidates per feature (366 days of a year).
+
+    Bins are halved until there are no more than ``most_cells`` cells, which a task
+    holds in memory; a calendar of a century stays below it at full bins.
+    """
 
     max_bins: int = 400
     seed: int = 42
-    parallelism: int = 8
     checkpoint_every: int = 20
+    most_cells: int = 1 << 20
 
 
-def forest(settings: TreeSettings = TreeSettings(), **params) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        featuresCol="x", labelCol="z", predictionCol="z_hat", featureSubsetStrategy="all",
-        maxBins=settings.max_bins, seed=settings.seed, **params,
-    )
+def counted_cells(
+    rows: DataFrame, columns: Sequence[Column], segment: Column, targets: Sequence[Column], settings: TreeSettings
+) -> tuple[DataFrame, list[list[float]]]:
+    """Cells in the shared folder, and the edges of their bins."""
+    bins = settings.max_bins
+    while True:
+        edges = feature_edges(rows, columns, bins)
+        cells = materialize(cell_table(rows, columns, edges, segment, targets), "cells")
+        if bins <= 2 or cells.count() <= settings.most_cells:
+            return cells, edges
+        bins //= 2
+
+
+@dataclass(frozen=True)
+class TreeEstimator:
+    """One model on rows with a vector ``x`` and a target ``z``."""
+
+    algorithm: str
+    params: Mapping
+    settings: TreeSettings = TreeSettings()
 
+    def fit(self, rows: DataFrame) -> ForestModel | BoostedModel:
+        first = rows.select(F.size(vector_to_array("x"))).first()
+        if first is None:
+            raise ValueError("no rows to fit")
+        columns = [vector_to_array("x")[i] for i in range(first[0])]
+        cells, edges = counted_cells(rows, columns, F.lit(0), [F.col("z")], self.settings)
+        use, p = [range(len(columns))], self.params
+        if self.algorithm == "rf":
+            trees = grow_forests(cells, use, p["numTrees"], p["maxDepth"], self.settings.seed)
+            return forest_model(trees, 1, p["numTrees"], p["maxDepth"], edges)
+        trainer = Trainer(cells, edges, use, [Spec(1, p["stepSize"], p["maxDepth"])])
+        base, trees = trainer.grow(p["maxIter"], self.settings.checkpoint_every)
+        return trainer.model(0, base, trees, p["maxIter"])
 
-def boosted(settings: TreeSettings = TreeSettings(), *, maxIter: int = 100, stepSize: float = 0.1, maxDepth: int = 5) -> HistogramBooster:
-    return HistogramBooster(maxIter, stepSize, maxDepth, settings.max_bins, settings.checkpoint_every)
+
+def forest(settings: TreeSettings = TreeSettings(), *, numTrees: int = 100, maxDepth: int = 30) -> TreeEstimator:
+    return TreeEstimator("rf", {"numTrees": numTrees, "maxDepth": maxDepth}, settings)
+
+
+def boosted(settings: TreeSettings = TreeSettings(), *, maxIter: int = 100, stepSize: float = 0.1, maxDepth: int = 5) -> TreeEstimator:
+    return TreeEstimator("gbt", {"maxIter": maxIter, "stepSize": stepSize, "maxDepth": maxDepth}, settings)
 
 
 ESTIMATORS = {"rf": forest, "gbt": boosted}
@@ -109,58 +144,6 @@ class SearchResult:
     models: dict[int, object] = field(default_factory=dict)
 
 
-def _leaf_paths(depths: Sequence[int]):
-    """Per tree: the prediction of every leaf's ancestor at each of ``depths``."""
-
-    def run(tree: pd.DataFrame) -> pd.DataFrame:
-        nodes = {i: (p, left, right) for i, p, left, right in zip(tree["id"], tree["prediction"], tree["left"], tree["right"])}
-        rows, stack = [], [(0, ())]
-        while stack:  # leaves come in pre-order, as the model numbers them
-            node, above = stack.pop()
-            prediction, left, right = nodes[node]
-            path = (*above, prediction)
-            if left < 0:
-                rows.append([path[min(d, len(path) - 1)] for d in depths])
-            else:
-                stack += [(right, path), (left, path)]
-        return pd.DataFrame({"tree": tree["tree"].iloc[0], "leaf": range(len(rows)), "at_depth": rows})
-
-    return run
-
-
-def leaf_table(model, depths: Sequence[int]) -> DataFrame:
-    """``tree, leaf, at_depth``: what every leaf would predict if its tree ended at each of ``depths``.
-
-    Read from the saved nodes of the forest; a task handles one tree at a time.
-    """
-    spark = SparkSession.active()
-    path = scratch_path(spark, "forest")
-    model.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select(
-        F.col("treeID").alias("tree"), "nodeData.id", "nodeData.prediction",
-        F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
-    )
-    return nodes.groupBy("tree").applyInPandas(_leaf_paths(depths), "tree int, leaf int, at_depth array<double>")
-
-
-def cut_losses(model, test: DataFrame, points: Sequence[Mapping]) -> list[float]:
-    """Mean squared error of the forest as if grown with fewer trees and less depth.
-
-    With every feature at each split, a shallower tree from the same draws is the
-    deeper one cut off, and the first trees of a forest are a smaller forest.  Rows
-    meet the leaves they fall in by a join on (tree, leaf), and one aggregate gives
-    the errors of all points.
-    """
-    depths = sorted({p["maxDepth"] for p in points})
-    scored = model.copy().setLeafCol("leaves").transform(test).select("z", vector_to_array("leaves").alias("leaves"))
-    rows = scored.withColumn("row", F.monotonically_increasing_id()).select("row", "z", F.posexplode("leaves").alias("tree", "_leaf"))
-    met = rows.withColumn("leaf", F.col("_leaf").cast("int")).join(leaf_table(model, depths), ["tree", "leaf"])
-    at = [(p["numTrees"], F.col("at_depth")[depths.index(p["maxDepth"])]) for p in points]
-    means = met.groupBy("row").agg(F.first("z").alias("z"), *[(F.sum(F.when(F.col("tree") < n, v)) / n).alias(f"p{i}") for i, (n, v) in enumerate(at)])
-    errors = means.agg(*[F.avg((F.col(f"p{i}") - F.col("z")) ** 2) for i in range(len(at))]).first()
-    return list(errors)
-
-
 def _mean(values: Sequence[float | None]) -> float:
     known = [v for v in values if v is not None]
     return sum(known) / len(known) if known else float("inf")
@@ -174,38 +157,34 @@ def _choose(result: SearchResult, points: list[dict], losses: Mapping[int, list[
     return result.params
 
 
-def forest_search(frames: FoldFrames, points: list[dict], settings: TreeSettings = TreeSettings()) -> SearchResult:
-    """One forest per fold at the largest values scores all points.
+def _fold_cells(frames: FoldFrames, settings: TreeSettings) -> tuple[DataFrame, list[list[float]], list[list[int]]]:
+    """Cells of all folds, edges of all features, and the features of every fold by number."""
+    names = sorted({n for fs in frames.features for n in fs})
+    targets = [(F.col("y") - F.col("mu")[f]) / F.col("sd")[f] for f in range(frames.folds + 1)]
+    cells, edges = counted_cells(frames.data, [F.col(n).cast("double") for n in names], F.col("segment"), targets, settings)
+    return cells, edges, [[names.index(n) for n in fs] for fs in frames.features]
 
-    The fits of the folds run from a small driver thread pool, as the tuning classes
-    of Spark ML do; each is a distributed job of its own.
-    """
+
+def forest_search(frames: FoldFrames, points: list[dict], settings: TreeSettings = TreeSettings()) -> SearchResult:
+    """One forest per fold, and the final one, at the largest values hold all points."""
     folds = range(1, frames.folds + 1)
-    largest = {k: max(p[k] for p in points) for k in points[0]}
+    cells, edges, features = _fold_cells(frames, settings)
+    trees = grow_forests(cells, features, max(p["numTrees"] for p in points), max(p["maxDepth"] for p in points), settings.seed)
+    loss = forest_losses(trees, cells, features, [(p["numTrees"], p["maxDepth"]) for p in points])
     result = SearchResult("rf", points[0])
-
-    def run(fold: int) -> tuple[object, list[float]]:
-        model = forest(settings, **largest).fit(frames.train(fold))
-        return model, cut_losses(model, frames.test(fold).select("x", "z"), points)
-
-    with ThreadPool(min(settings.parallelism, frames.folds)) as pool:
-        done = dict(zip(folds, pool.map(run, folds)))
-    if _choose(result, points, {f: d[1] for f, d in done.items()}) == largest:
-        result.models = {f: d[0] for f, d in done.items()}
+    best = _choose(result, points, {f: [loss.get((f, i)) for i in range(len(points))] for f in folds})
+    of = lambda f: [edges[i] for i in features[f - 1]]
+    result.models = {f: forest_model(trees, f, best["numTrees"], best["maxDepth"], of(f)) for f in (*folds, frames.folds + 1)}
     return result
 
 
 def boosted_search(frames: FoldFrames, points: list[dict], settings: TreeSettings = TreeSettings()) -> SearchResult:
     """All folds, step sizes and depths, and the final models, grow together; fewer rounds are a prefix."""
     folds = range(1, frames.folds + 1)
-    names = sorted({n for fs in frames.features for n in fs})
-    columns = [F.col(n).cast("double") for n in names]
-    edges = feature_edges(frames.data, columns, settings.max_bins)
-    targets = [(F.col("y") - F.col("mu")[f - 1]) / F.col("sd")[f - 1] for f in range(1, frames.folds + 2)]
-    cells = materialize(cell_table(frames.data, columns, edges, F.col("segment"), targets), "cells")
+    cells, edges, features = _fold_cells(frames, settings)
     kinds = sorted({(p["stepSize"], p["maxDepth"]) for p in points})
-    specs = [Spec(f, *k) for f in range(1, frames.folds + 2) for k in kinds]
-    trainer = Trainer(cells, edges, [[names.index(n) for n in fs] for fs in frames.features], specs)
+    specs = [Spec(f, *k) for f in (*folds, frames.folds + 1) for k in kinds]
+    trainer = Trainer(cells, edges, features, specs)
     base, trees = trainer.grow(max(p["maxIter"] for p in points), settings.checkpoint_every)
     loss = trainer.losses(base, trees, [p["maxIter"] for p in points])
     of = lambda f, p: specs.index(Spec(f, p["stepSize"], p["maxDepth"]))
@@ -221,25 +200,7 @@ SEARCHES = {"rf": forest_search, "gbt": boosted_search}
 def param_search(frames: FoldFrames, algorithm: str, points: list[dict], settings: TreeSettings = TreeSettings()) -> SearchResult:
     """Mean squared error of each parameter set over the expanding folds; keeps the best.
 
-    Errors are on the standardised target, so no series outweighs the others.
+    Errors are on the standardised target, so no series outweighs the others.  The
+    models of the best set come with it: one per fold and the final one.
     """
     return SEARCHES[algorithm](frames, points, settings)
-
-
-def fit_folds(
-    frames: FoldFrames,
-    algorithm: str,
-    params: dict,
-    settings: TreeSettings = TreeSettings(),
-    known: Mapping[int, object] | None = None,
-) -> dict[int, object]:
-    """A model per fold plus the final one; models the search has kept are reused."""
-    models = dict(known or {})
-    todo = [f for f in range(1, frames.folds + 2) if f not in models]
-    if todo and algorithm == "gbt":
-        return boosted_search(frames, [params], settings).models
-    if todo:
-        with ThreadPool(min(settings.parallelism, len(todo))) as pool:
-            fitted = pool.map(lambda f: forest(settings, **params).fit(frames.train(f)), todo)
-        models.update(zip(todo, fitted))
-    return models

@@ -26,8 +26,7 @@ from ..operators.moments import correlation_of, merge_two, partial_moments, solv
 from ..operators.profile import describe_columns, null_counts
 from ..operators.stats import histogram
 from ..operators.trees import (
-    BOOSTED_GRID, FOREST_GRID, FoldFrames, TreeSettings, fit_folds, grid_points, param_search,
-    predict_fold,
+    BOOSTED_GRID, FOREST_GRID, FoldFrames, TreeSettings, grid_points, param_search, predict_fold,
 )
 from ..session import materialize
 
@@ -161,8 +160,8 @@ def train(panel: DataFrame, keys: Sequence[str], cfg: EnsembleConfig = EnsembleC
     for name, grid in grids.items():
         points = grid_points(grid, cfg.n_iter, cfg.trees.seed)
         found = param_search(frames, name, points, cfg.trees)
-        fold_models[name] = fit_folds(frames, name, found.params, cfg.trees, found.models)
-        trees[name], params[name] = fold_models[name][final], found.params
+        fold_models[name] = found.models
+        trees[name], params[name] = found.models[final], found.params
 
     facts = (
         data.groupBy(*keys)

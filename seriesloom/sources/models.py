@@ -6,13 +6,13 @@ import json
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import SparkSession
 
 from ..operators.boosting import BoostedModel
+from ..operators.forests import ForestModel
 from ..plans.ensemble import Ensemble
 
-LOADERS = {"rf": RandomForestRegressionModel, "gbt": BoostedModel}
+LOADERS = {"rf": ForestModel, "gbt": BoostedModel}
 METADATA = "keys array<string>, features array<string>, models array<string>, params string"
 
 

@@ -11,6 +11,7 @@ from seriesloom.functions.holidays import OwnHoliday
 from seriesloom.functions.transformers import ColumnScaler, TimeFeatures, fit_scaler, standard_scale
 from seriesloom.operators import additive as Ad
 from seriesloom.operators import blend as B
+from seriesloom.operators import forests
 from seriesloom.operators import trees as T
 from seriesloom.operators.boosting import BoostedModel, Spec, Trainer, cell_table, feature_edges
 from seriesloom.operators.evaluate import cutoffs, fold_segments, horizon_metrics, model_ranking
@@ -425,17 +426,73 @@ def test_ranking_and_forecast_writer(spark, tmp_path):
     assert spark.read.option("header", True).csv(path).first().asDict() == {"series": "a", "Date": "2020-01-01", "Price": "1.5"}
 
 
-def test_cut_forests_equal_smaller_fits(seasonal):
+def plain_tree(x, w, z, depth):
+    """One node after the other; returns a function of a row and a depth to stop at."""
+
+    def grow(rows, level):
+        h, g = w[rows].sum(), (w * z)[rows].sum()
+        best = (1e-12 * (1 + g * g / h), None)
+        for f in range(x.shape[1]) if level < depth else ():
+            for c in np.unique(x[rows, f])[:-1] + 1:
+                left = rows[x[rows, f] < c]
+                gl, hl = (w * z)[left].sum(), w[left].sum()
+                gain = gl**2 / hl + (g - gl) ** 2 / (h - hl) - g * g / h
+                if gain > best[0] * (1 + 1e-9):
+                    best = (gain, (f, c))
+        if best[1] is None:
+            return (g / h,)
+        f, c = best[1]
+        return g / h, f, c, grow(rows[x[rows, f] < c], level + 1), grow(rows[x[rows, f] >= c], level + 1)
+
+    def value(row, stop, tree, level=0):
+        if len(tree) == 1 or level == stop:
+            return tree[0]
+        return value(row, stop, tree[3] if row[tree[1]] < tree[2] else tree[4], level + 1)
+
+    tree = grow(np.flatnonzero(w > 0), 0)
+    return lambda row, stop: value(row, stop, tree)
+
+
+def test_trees_equal_plain_ones():
+    rng = np.random.default_rng(2)
+    x = np.column_stack((rng.integers(0, 12, 150), rng.integers(0, 3, 150), rng.integers(0, 40, 150)))
+    z, w = np.sin(x[:, 0]) + (x[:, 2] > 20) + 0.1 * rng.normal(size=150), rng.poisson(1, 150).astype(float)
+    plain = plain_tree(x, w, z, 30)
+    for depth in (0, 1, 3, 30):
+        tree = forests.grow_tree(x, w, w * z, depth)
+        whole = forests.grow_tree(x, w, w * z, 30)
+        for t, stop in ((tree, None), (whole, depth)):
+            at = forests.walk(lambda at, t=t: x[np.arange(150), np.maximum(t["feature"][at], 0)] >= t["cut"][at], t["feature"], t["child"], 150, stop)
+            assert np.allclose(t["value"][at], [plain(row, depth) for row in x])
+
+
+def test_grid_losses_equal_the_models_themselves(seasonal, tmp_path):
     frame = En._with_fold_scales(En.training_frame(seasonal, K, SMALL), K, 2, 4096)
-    frames = T.FoldFrames(frame.cache(), [["month_sin", "week", "days_since_start"]] * 3)
-    points = T.grid_points({"numTrees": [2, 6], "maxDepth": [2, 4, 30]}, 10)
+    names = ["month_sin", "week", "days_since_start"]
+    frames = T.FoldFrames(frame.cache(), [names, names[:2], names])
+    points = T.grid_points({"numTrees": [3, 30], "maxDepth": [2, 4, 30]}, 10)
     found = T.param_search(frames, "rf", points, SMALL.trees)
-    assert len(found.scores) == 12
-    for _, point, fold, loss in found.scores:
-        if point["numTrees"] == 6:  # fewer trees draw other rows when fitted alone
-            model = T.forest(SMALL.trees, **point).fit(frames.train(fold))
-            direct = model.transform(frames.test(fold)).agg(F.avg((F.col("z") - F.col("z_hat")) ** 2)).first()[0]
+    assert len(found.scores) == 12 and set(found.models) == {1, 2, 3}
+    for point in points[:1] + points[-2:]:
+        alone = T.param_search(frames, "rf", [point], SMALL.trees)
+        for fold in (1, 2):
+            loss = next(v for _, p, f, v in found.scores if p == point and f == fold)
+            assert abs(alone.scores[fold - 1][3] - loss) < 1e-9
+            direct = alone.models[fold].transform(frames.test(fold)).agg(F.avg((F.col("z") - F.col("z_hat")) ** 2)).first()[0]
             assert abs(direct - loss) < 1e-9
+    model = found.models[3]
+    model.write().overwrite().save(str(tmp_path / "f"))
+    again = forests.ForestModel.load(str(tmp_path / "f")).setPredictionCol("other")
+    scored = model.copy().transform(frames.train(3))
+    assert again.transform(scored).where("abs(other - z_hat) > 1e-12").count() == 0
+    assert abs(model.featureImportances.toArray().sum() - 1) < 1e-9 and len(model.trees) == found.params["numTrees"]
+
+
+def test_bins_halve_until_cells_fit(seasonal):
+    rows = with_time_features(seasonal, F.lit("2015-01-01").cast("date"))
+    columns = [F.col(c).cast("double") for c in ("days_since_start", "dayofyear")]
+    cells, edges = T.counted_cells(rows, columns, F.lit(0), [F.col("y")], T.TreeSettings(max_bins=400, most_cells=150))
+    assert cells.count() <= 150 and cells.agg(F.sum(F.col("n")[0])).first()[0] == 1800
 
 
 def test_short_and_unknown_series_stay(spark, seasonal):
