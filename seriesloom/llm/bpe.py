@@ -11,17 +11,19 @@ machine that encodes, so it must be installed there, as Python packages are.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import heapq
 import json
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .text import per_worker
 
 #: Fixed value: the word pattern of this family of vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -152,40 +154,37 @@ class ForcedBoundaryBPE:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> ForcedBoundaryBPE:
-    return ForcedBoundaryBPE(path)
+    return per_worker(("bpe", path), lambda: ForcedBoundaryBPE(path))
 
 
-def encode(docs: DataFrame, tokenizer_path: str, keep_ids: bool = False) -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, keep_ids: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Encode and decode every text.
 
     Per row: ``doc_id``, ``n_tokens``, ``ids_sha256`` (of the ids as little-endian
-    unsigned 32-bit integers), ``decoded_sha256``; with ``keep_ids`` also ``ids``.
-    Null texts are empty: no tokens.  Repeated rows and null ids stay as they are,
-    other columns are not read, an empty table gives an empty result.  Map-only:
-    no shuffle, memory is one Arrow batch and two bounded caches.
+    unsigned 32-bit integers), ``decoded_sha256``; with ``keep_ids`` also ``ids``;
+    then the columns ``keep`` as they are.  Null texts are empty: no tokens.
+    Repeated rows and null ids stay as they are, other columns are not read, an
+    empty table gives an empty result.  Map-only: no shuffle, memory is one Arrow
+    batch and two bounded caches.
     """
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    if keep_ids:
-        schema += ", ids array<int>"
-        fields.append(("ids", pa.list_(pa.int32())))
-    out_schema = pa.schema(fields)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
+    names = [part.split()[0] for part in schema.split(", ")]
+    kept = docs.select(*[F.col(f"`{c}`") for c in keep])
+    schema += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(tokenizer_path)
         for batch in batches:
-            rows: list[list] = [[] for _ in fields]
-            for value in batch.column(1):
-                ids = bpe.encode(value.as_py() or "")
-                rows[1].append(len(ids) // 4)
-                rows[2].append(hashlib.sha256(ids).hexdigest())
-                rows[3].append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
-                if keep_ids:
-                    rows[4].append(np.frombuffer(ids, "<u4").astype(np.int32))
-            arrays = [batch.column(0).cast(pa.int64())]
-            arrays += [pa.array(r, f.type) for r, f in zip(rows[1:], list(out_schema)[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
-
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+            packed = [bpe.encode(value.as_py() or "") for value in batch.column(1)]
+            n = np.array([len(ids) // 4 for ids in packed], np.int64)
+            columns = [
+                batch.column(0).cast(pa.int64()), pa.array(n), pa.array([hashlib.sha256(ids).hexdigest() for ids in packed], pa.string()),
+                pa.array([hashlib.sha256(bpe.decode(ids).encode()).hexdigest() for ids in packed], pa.string()),
+            ]
+            if keep_ids:
+                values = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), pa.array(values)))
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[2:]], names=[*names, *keep])
+
+    return docs.select("doc_id", "text", *[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
