@@ -449,6 +449,6 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     classes = near_duplicates(docs, **options)
     keep = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("class_key")))
     keep = keep.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
-    tagged = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    tagged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
     rows = tagged.join(keep, tagged["id"].eqNullSafe(keep["_id"]) & (tagged["key"] == keep["_key"]))
     return rows.dropDuplicates(["id", "key"]).select("row.*")

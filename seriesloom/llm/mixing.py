@@ -99,7 +99,7 @@ def mix(
     Null sources are a source of their own; null and empty texts have no tokens;
     a source without any token passes once; an empty table gives an empty mix.
     """
-    row = F.struct(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     id_hash = F.xxhash64(F.lit(seed), F.col("doc_id"), F.length(text_or_empty()))
     tagged = docs.select(
         row.alias("row"), F.col("source").alias("source"), F.size(words(text_or_empty())).cast("long").alias("n_tokens"),
@@ -147,6 +147,12 @@ def mix(
     )
 
 
+def in_order(mixed: DataFrame) -> DataFrame:
+    """The documents of a mix in training order: sorted over all partitions by (epoch, block_order, doc_order)."""
+    place = ["epoch", "block_order", "doc_order"]
+    return mixed.repartitionByRange(*place).sortWithinPartitions(*place).select("row.*")
+
+
 def joined(left: DataFrame, right: DataFrame, how: str = "inner", salts: int = 1) -> DataFrame:
     """A join on the source in which null equals null; ``salts`` deals the rows of one source to so many tasks by their block."""
     right = right.withColumnRenamed("source", "_source")

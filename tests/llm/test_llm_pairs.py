@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from seriesloom.llm import graph, induced, minhash, mixing, neighbours, suffixdedup, superkmers, toxicity
+from seriesloom.llm import bpe, graph, induced, minhash, mixing, neighbours, suffixdedup, superkmers, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -354,11 +354,12 @@ def test_pipeline_stages(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     columns = docs.columns
-    kept = {}
+    kept, written = {}, {}
     for name, stage in corpus_pipeline.STAGES:
         out = corpus_pipeline.write_table(stage(spark, docs, sf), f"test-{name}")
         if name != "bpe":
             assert out.columns == columns
+        written[name] = out
         kept[name], docs = [r["doc_id"] for r in out.select("doc_id").collect()], out
     grammar = toxicity.train_grammar(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
     clean = {r["doc_id"] for r in toxicity.score(spark.read.parquet(f"{sf}/documents.parquet"), grammar).filter("predicted = 0").collect()}
@@ -371,3 +372,25 @@ def test_pipeline_stages(spark):
     assert sorted(kept["secret_scan"]) == sorted(kept["near_dedup"])
     assert set(kept["mixing"]) == set(kept["near_dedup"]) and max(collections.Counter(kept["mixing"]).values()) <= 2
     assert sorted(kept["bpe"]) == sorted(kept["mixing"])
+    rows = docs.orderBy("file", "place").collect()
+    assert [r["doc_id"] for r in rows] == kept["mixing"]
+    texts = {r["doc_id"]: r["text"] for r in written["mixing"].collect()}
+    encoder = bpe.encoder(corpus_pipeline.public_tokenizers.path("byte_bpe_50k.json"))
+    assert all(np.array(r["ids"], "<u4").tobytes() == encoder.encode(texts[r["doc_id"]] or "") for r in rows)
+
+
+def test_mix_is_written_in_training_order(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(3)
+    mixed = mixing.mix(docs, max_repeat=2.0)
+    out = corpus_pipeline.write_table(mixing.in_order(mixed), "ordered").select("doc_id", "_metadata.file_name", "_metadata.row_index")
+    want = mixed.orderBy("epoch", "block_order", "doc_order").select("row.doc_id").collect()
+    assert [r["doc_id"] for r in out.orderBy("file_name", "row_index").collect()] == [r["doc_id"] for r in want]
+
+
+def test_stages_take_odd_rows_and_dotted_columns(spark, odd_docs, no_docs):
+    for docs in (odd_docs, no_docs):
+        docs = docs.withColumn("a.b", docs["doc_id"])
+        for stage in (corpus_pipeline.near_dedup, corpus_pipeline.secret_scan, corpus_pipeline.mix):
+            out = stage(spark, docs, "")
+            assert out.columns == docs.columns and out.count() <= 2 * docs.count()
+        assert corpus_pipeline.tokenise(spark, docs, "").count() == docs.count()

@@ -132,6 +132,31 @@ def test_randomness_battery_tells_keys_from_words(spark):
     assert sum("random" in got[1000 + i]["spans"] for i in range(200)) == 0
 
 
+WORDS = """counterrevolutionaries electroencephalogram getUserAccountInformation MAX_CONNECTION_TIMEOUT_SECONDS
+enkeitlichenzuversch einlichheitenpfpfver iertionieroupamenteux internationalization incomprehensibilities
+setDefaultConfigurationValue AbstractSingletonProxyFactoryBean user_profile_settings_page donaudampfschifffahrt
+pneumonoultramicroscopic application/x-www-form-urlencoded src/main/resources/application-settings""".split()
+
+
+def test_words_and_identifiers_are_no_secrets(spark):
+    rows = [(i, f"see {w} here") for i, w in enumerate(WORDS)]
+    got = by_id(secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sum("random" in got[i]["spans"] for i in range(len(WORDS))) == 0
+
+
+def test_encoder_needs_no_package_on_the_worker():
+    """The function that travels with a task runs in a process that cannot import this package."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    make = cloudpickle.dumps(lambda path: bpe.encoder(path).encode("Der Fluss"))
+    code = f"import pickle; print(pickle.loads({make!r})({PATH!r}).hex())"
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, cwd="/", env={"PATH": "/usr/bin"}, check=True)
+    assert bytes.fromhex(done.stdout.decode().strip()) == bpe.encoder(PATH).encode("Der Fluss")
+
+
 def test_keys_of_any_alphabet_are_candidates(spark):
     rng = np.random.default_rng(5)
     key = lambda symbols, n=40: "".join(rng.choice(list(symbols), n))
