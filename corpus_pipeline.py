@@ -7,7 +7,9 @@ as Parquet to the shared folder and reads it again as the next stage's documents
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seriesloom.llm import bpe, minhash, mixing, secrets, toxicity
 from seriesloom.llm.text import read_documents, write_table
@@ -32,13 +34,24 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats documents of small sources, none more than twice as often as those of the largest; none goes."""
-    return mixing.mix(docs, max_repeat=MAX_REPEAT).select("row.*")
+    """Repeats documents of small sources, none more than twice as often as those of the largest; none goes.
+
+    Rows come in training order: by pass, permuted block and place in the block.
+    """
+    return mixing.in_order(mixing.mix(docs, max_repeat=MAX_REPEAT))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text."""
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Ids of every text, their digests, and the place of the document in the mix.
+
+    The mix was written in order, so (``file``, ``place``) of a row, its file and its
+    number there, order the corpus.  Documents that come from no file have nulls.
+    """
+    try:
+        placed = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"))
+    except AnalysisException:  # not read from files
+        placed = docs.select("doc_id", "text", F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("place"))
+    return bpe.encode(placed, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=True, keep=("file", "place"))
 
 
 STAGES = [("toxicity", toxic), ("near_dedup", near_dedup), ("secret_scan", secret_scan), ("mixing", mix), ("bpe", tokenise)]
