@@ -42,8 +42,11 @@ HEADLINE = [
     "sc3_weight_sweep",
     "md8_additive_fit",
     "ev5_rolling_origin_cv",
+    "md5_forest_search",
+    "md5_param_search",
     "e1_run_eda",
     "e4_train",
+    "e7_analyze_timeseries",
 ]
 
 

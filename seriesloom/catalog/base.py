@@ -39,6 +39,8 @@ def offset_of(digits: int) -> float:
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# The SQL as written, before rounding.
+SQL: dict[str, str] = {}
 
 
 def finish(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
@@ -67,6 +69,7 @@ def query(
         OPERATORS[name] = fn
         QUERIES[name] = lambda spark, sf: finish(fn(spark, sf), digits)
         if sql is not None:
+            SQL[name] = sql
             swaps = []
             for c in num.split():
                 d = digits.get(c, digits_of(c))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.holidays import with_holidays
+from ..functions.holidays import Calendar, own_holidays, with_holidays
 from ..operators import grid as G
 from ..operators import profile as P
 from ..session import scratch_path
@@ -253,6 +253,41 @@ def _(spark, sf):
     return with_holidays(p, first, last).select("series", "ds", "y", "holiday")
 
 
+# Easter Sunday by the rule of Meeus, Jones and Butcher; feasts with the day before and after; and as the user's
+# own table the day of the highest price of each year, with the two days that follow.
+FEASTS = """years AS (
+  SELECT unnest(generate_series(CAST(year(min(ds)) AS BIGINT) - 1, CAST(year(max(ds)) AS BIGINT) + 1)) AS y FROM panel),
+m1 AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM years),
+m2 AS (SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM m1),
+m3 AS (SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM m2),
+m4 AS (SELECT y, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS n FROM m3),
+easter AS (SELECT y, make_date(y, n // 31, n % 31 + 1) AS sunday FROM m4),
+days AS (
+  SELECT sunday + d AS ds, n AS name FROM easter, (VALUES (-2, 'Karfreitag'), (1, 'Ostermontag'),
+    (39, 'Christi Himmelfahrt'), (50, 'Pfingstmontag')) AS f(d, n)
+  UNION ALL SELECT make_date(y, m, d), n FROM years, (VALUES (1, 1, 'Neujahr'), (5, 1, 'Tag der Arbeit'),
+    (10, 3, 'Tag der Deutschen Einheit'), (12, 25, 'Erster Weihnachtstag'), (12, 26, 'Zweiter Weihnachtstag')) AS f(m, d, n)
+  WHERE y >= 1990 OR n <> 'Tag der Deutschen Einheit'),
+peaks AS (SELECT arg_max(ds, y) AS ds FROM panel WHERE series = '5-LOW' GROUP BY year(ds)),
+around AS (
+  SELECT ds + CAST(k AS INTEGER) AS ds, name || CASE WHEN k = 0 THEN '' ELSE format(' {:+d}', k) END AS holiday FROM days, range(-1, 2) AS r(k)
+  UNION ALL SELECT ds + CAST(k AS INTEGER), 'Spitze' || CASE WHEN k = 0 THEN '' ELSE format(' {:+d}', k) END FROM peaks, range(0, 3) AS r(k))"""
+
+
+@query(
+    "jn4_feasts_and_own_days",
+    f"""WITH {PANEL}, {FEASTS}
+    SELECT p.series, p.ds, p.y, h.holiday FROM panel p LEFT JOIN around h ON CAST(h.ds AS DATE) = p.ds""",
+    num="y",
+)
+def _(spark, sf):
+    p = panel(spark, sf)
+    first, last = p.agg(F.year(F.min("ds")), F.year(F.max("ds"))).first()
+    peaks = p.where("series = '5-LOW'").groupBy(F.year("ds")).agg(F.max_by("ds", "y").alias("ds"))
+    own = own_holidays(peaks.select(F.lit("Spitze").alias("holiday"), "ds", F.lit(2).alias("after")), after="after")
+    return with_holidays(p, first, last, Calendar("DE", 1, 1, own)).select("series", "ds", "y", "holiday")
+
+
 @query("gf1_interpolate_time", f"{FILLED} SELECT series, ds, y FROM filled", num="y")
 def _(spark, sf):
     return filled(spark, sf)

@@ -305,22 +305,17 @@ def _(spark, sf):
 
 # -- fitted models -----------------------------------------------------------
 
-# Folds, search and bins are the library's defaults; the grids are smaller, as distributed
-# trees of the full ones take minutes on this little panel (see the README).
-SMALL = En.EnsembleConfig(
-    forest_grid={"numTrees": [10, 20], "maxDepth": [5, 7]},
-    boosted_grid={"maxIter": [5, 10], "stepSize": [0.1], "maxDepth": [3, 5]},
-)
-_SAVED: dict[tuple[str, str], str] = {}
+#: Models of the orders panel at the default folds, search and grids, by session and table folder.  Queries
+#: that read a saved model share it, as jobs share what a nightly run has saved.
+MODELS: dict[tuple[str, str], str] = {}
 
 
 def saved_models(spark, sf) -> str:
-    """Path of an ensemble trained on the orders panel, trained once per session."""
+    """Path of the saved ensemble of the orders panel, trained by the first query that asks."""
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _SAVED:
-        ensemble = En.train(panel(spark, sf), KEYS, SMALL)
-        _SAVED[key] = save_models(ensemble, scratch_path(spark, "models"))
-    return _SAVED[key]
+    if key not in MODELS:
+        MODELS[key] = save_models(En.train(panel(spark, sf), KEYS), scratch_path(spark, "models"))
+    return MODELS[key]
 
 
 @query("snk4_model_save", "SELECT 'series' AS keys, 'rf,gbt' AS models")
@@ -342,27 +337,35 @@ def _(spark, sf):
 
 
 def _fold_frames(spark, sf) -> T.FoldFrames:
+    cfg = En.EnsembleConfig()
     rows = En._with_fold_scales(
-        En.training_frame(panel(spark, sf), KEYS, SMALL), KEYS, SMALL.folds, SMALL.block_days
+        En.training_frame(panel(spark, sf), KEYS, cfg), KEYS, cfg.folds, cfg.block_days
     )
     data = materialize(rows.where("segment is not null"), "folds")
-    return T.FoldFrames(data, En.pooled_selection(data, SMALL))
+    return T.FoldFrames(data, En.pooled_selection(data, cfg))
 
 
 def _fitted(spark, sf, algorithm, params):
+    """Predictions on the last fold of a model fitted on all earlier ones."""
     frames = _fold_frames(spark, sf)
-    model = T.ESTIMATORS[algorithm](SMALL.trees, **params).fit(frames.train(SMALL.folds))
-    return T.predict_fold(frames, model, SMALL.folds, KEYS)
+    model = T.ESTIMATORS[algorithm](**params).fit(frames.train(frames.folds))
+    return T.predict_fold(frames, model, frames.folds, KEYS)
 
 
 @query("md2_forest_fit")
 def _(spark, sf):
-    return _fitted(spark, sf, "rf", {"numTrees": 20, "maxDepth": 5})
+    return _fitted(spark, sf, "rf", {"numTrees": 200, "maxDepth": 10})
 
 
 @query("md3_boosted_fit")
 def _(spark, sf):
-    return _fitted(spark, sf, "gbt", {"maxIter": 10, "stepSize": 0.1, "maxDepth": 3})
+    return _fitted(spark, sf, "gbt", {"maxIter": 200, "stepSize": 0.1, "maxDepth": 5})
+
+
+def _searched(spark, sf, algorithm, grid):
+    found = T.param_search(_fold_frames(spark, sf), algorithm, T.grid_points(grid, En.EnsembleConfig().n_iter))
+    rows = [(a, str(sorted(p.items())), f, loss, p == found.params) for a, p, f, loss in found.scores]
+    return spark.createDataFrame(rows, "model string, params string, fold int, mse double, best boolean")
 
 
 @query("md4_importances")
@@ -373,10 +376,12 @@ def _(spark, sf):
 
 @query("md5_param_search")
 def _(spark, sf):
-    points = T.grid_points(SMALL.boosted_grid, SMALL.n_iter)
-    found = T.param_search(_fold_frames(spark, sf), "gbt", points, SMALL.trees)
-    rows = [(a, str(sorted(p.items())), f, loss, p == found.params) for a, p, f, loss in found.scores]
-    return spark.createDataFrame(rows, "model string, params string, fold int, mse double, best boolean")
+    return _searched(spark, sf, "gbt", T.BOOSTED_GRID)
+
+
+@query("md5_forest_search")
+def _(spark, sf):
+    return _searched(spark, sf, "rf", T.FOREST_GRID)
 
 
 def blends(scored, weights):
@@ -391,10 +396,7 @@ def days_sql(first: str, last: str) -> str:
 
 
 def _voting(spark, sf):
-    return voting.build_and_train(
-        panel(spark, sf), KEYS, {"numTrees": 20, "maxDepth": 5}, {"maxIter": 10, "maxDepth": 3, "stepSize": 0.1},
-        SMALL.trees,
-    )
+    return voting.build_and_train(panel(spark, sf), KEYS)
 
 
 @query("md7_voting_ensemble", days_sql("2002-01-01", "2002-01-03"))
@@ -403,6 +405,12 @@ def _(spark, sf):
     return blends(scored, B.VOTING_WEIGHTS)
 
 
+@query("md7_voting_forecast")
+def _(spark, sf):
+    """The forecasts themselves, of which md7_voting_ensemble checks the blend."""
+    return voting.vote(*_voting(spark, sf), KEYS, ["2002-01-01", "2002-01-02", "2002-01-03"])
+
+
 @query("e8_build_save_reload", days_sql("2002-01-01", "2002-01-31").replace("blended", "same"))
 def _(spark, sf):
     model, facts = _voting(spark, sf)
@@ -431,15 +439,31 @@ AHEAD = f"""{FILLED}, dates AS (SELECT series,
   CAST(unnest(generate_series(lo, hi + 44, INTERVAL 1 DAY)) AS DATE) AS ds FROM bounds)"""
 
 
-@query("md10_additive_predict", f"{AHEAD} SELECT series, ds, TRUE AS centred, TRUE AS open FROM dates")
+@query("md8_changepoints")
+def _(spark, sf):
+    """Rate of the trend at each changepoint, in units of y a day; most are zero."""
+    fits = Ad.additive_fit(filled(spark, sf), KEYS, ADDITIVE)
+    rate = fits.select("series", "start", "span", "y_scale", F.posexplode(F.slice("beta", 3, ADDITIVE.changepoints)).alias("changepoint", "b"))
+    knots = F.array(*[F.lit(k) for k in ADDITIVE.knots])[F.col("changepoint")]
+    day = F.date_add("start", F.floor(knots * F.col("span")).cast("int"))
+    return rate.select("series", "changepoint", day.alias("ds"), (F.col("b") * F.col("y_scale") / F.col("span")).alias("rate"))
+
+
+@query("md10_additive_predict", f"{AHEAD} SELECT series, ds, TRUE AS inside, TRUE AS open FROM dates")
 def _(spark, sf):
     fits = Ad.additive_fit(filled(spark, sf), KEYS, ADDITIVE)
     low, high = F.col("yhat_lower"), F.col("yhat_upper")
     return Ad.additive_predict(fits, KEYS, ADDITIVE, 44).select(
-        "series", "ds", (F.abs((low + high) / 2 - F.col("yhat")) < 1e-6).alias("centred"), (low < high).alias("open")
+        "series", "ds", F.col("yhat").between(low, high).alias("inside"), (low < high).alias("open")
     )
 
 
+@query("md11_forecast")
+def _(spark, sf):
+    """Forecast, interval and components, history and 44 days ahead."""
+    return Ad.additive_predict(Ad.additive_fit(filled(spark, sf), KEYS, ADDITIVE), KEYS, ADDITIVE, 44)
+
+
 @query("md11_component_table", f"{AHEAD} SELECT series, ds, TRUE AS adds_up FROM dates")
 def _(spark, sf):
     fits = Ad.additive_fit(filled(spark, sf), KEYS, ADDITIVE)
@@ -460,6 +484,17 @@ def _(spark, sf):
     return rows.select("series", "cutoff", "ds", "y", F.col("yhat").between(F.col("yhat_lower"), F.col("yhat_upper")).alias("inside"))
 
 
+@query("ev5_rolling_origin_forecasts")
+def _(spark, sf):
+    return Ad.rolling_origin_cv(filled(spark, sf), KEYS, 180, 30, 60, ADDITIVE)
+
+
+@query("sc1_forecast")
+def _(spark, sf):
+    """The forecast and the prediction of every model that sc1_predict_range checks."""
+    return En.predict_range(load_models(spark, saved_models(spark, sf)), "2001-01-01", "2002-12-31", B.FINAL_WEIGHTS)
+
+
 @query("sc1_predict_range", days_sql("2001-01-01", "2002-12-31"))
 def _(spark, sf):
     ensemble = load_models(spark, saved_models(spark, sf))

@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.calendar import TIME_FEATURES
-from ..operators import stats as S
 from ..operators.grid import fill_grid
-from ..operators.profile import date_range
 from ..plans import additive, eda, ensemble, forecaster
 from ..plans.report import long_report
 from ..session import scratch_path
 from ..sources.panel import supplier_daily
-from .aggregates import GROWTH, PRICE, QUARTILES, TREND
-from .base import FILLED, KEYS, SUPPLIER_FILLED, W, filled, panel, query
+from .aggregates import BOX, QUARTILES, TREND
+from .base import FILLED, KEYS, SQL, SUPPLIER_FILLED, W, filled, panel, query
 from .features import CALENDAR_SQL, CORR_Y, FEATURED, featured
-from .models import ADDITIVE, SMALL, saved_models
-from .windows import CHANGES, LAGS, SQL_STATS, YEARLY, _rolling_sql, z_sql
+from .models import ADDITIVE, saved_models
+from .windows import CHANGES, LAGS, SQL_STATS, _rolling_sql, z_sql
 
 # -- all exploratory columns in one frame ------------------------------------
 
@@ -72,78 +70,98 @@ def _(spark, sf):
 # -- charts and reports ------------------------------------------------------
 
 
-def _rows(label: str, df, *items: str):
-    """Chart values as (chart, series, x, item, value) so that charts can be stacked."""
-    return df.unpivot(["series", "x"], list(items), "item", "value").select(
-        F.lit(label).alias("chart"), "series", "x", "item", "value"
-    )
+EDA_VIEW = f"{FILLED}, {EDA_SQL} SELECT * FROM eda"
+CORRELATIONS = " UNION ALL ".join(
+    f"SELECT series, '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS corr FROM eda GROUP BY series" for a in eda.HEATMAP for b in eda.HEATMAP if a != b
+)
+#: Of every chart table: the columns of its x axis, its values, and the SQL it must equal.
+CHARTS = {
+    "series": ("ds", "y", SQL["gf1_interpolate_time"]),
+    "distribution": ("bin", "count", SQL["agg17_histogram_50"]),
+    "by_year": ("year", BOX, SQL["agg16_boxplot_by_year"]),
+    "monthly": ("month", "mean std count", SQL["agg3_month_stats"]),
+    "weekday": ("day_of_week", "mean std", SQL["agg2_dow_stats"]),
+    "moving_averages": ("ds", "y rolling_mean_30 rolling_mean_90", EDA_VIEW),
+    "volatility": ("ds", "volatility_7", EDA_VIEW),
+    "autocorrelation": ("lag", "acf", SQL["win16_autocorrelation"]),
+    "changes": ("bin", "count", SQL["agg17_histogram_changes"]),
+    "anomalies": ("ds", "y", f"SELECT * FROM ({SQL['an1_zscore_anomalies']}) WHERE is_anomaly_zscore"),
+    "quarterly": ("year quarter", "mean", SQL["agg6_quarterly_avg"]),
+    "weekend": ("is_weekend", BOX, SQL["agg16_boxplot_weekend"]),
+    "yoy": ("year", "mean_y yoy_growth", SQL["win14_yoy_growth"]),
+    "trend": ("ds", "trend", SQL["an5_decompose"]),
+    "seasonal": ("ds", "seasonal", SQL["an5_decompose"]),
+    "correlation": ("a b", "corr", f"{FILLED}, {EDA_SQL} {CORRELATIONS}"),
+    "momentum": ("ds", "momentum", SQL["win13_momentum"]),
+    "monthly_range": ("month", "range_y", SQL["agg7_monthly_range"]),
+}
+
+
+def _long(part: str, df, x: str = "", items: str = "", label: str = "chart"):
+    """A table as rows (``label``, series, x, item, value); x joins the columns it names."""
+    items = items.split() or [f.name for f in df.schema if f.dataType.typeName() in ("double", "long", "integer") and f.name not in (*KEYS, *x.split())]
+    place = F.concat_ws(" ", *[F.col(c).cast("string") for c in x.split()]) if x else F.lit(None).cast("string")
+    series = F.col("series") if "series" in df.columns else F.lit(None).cast("string").alias("series")
+    rows = df.select(series, place.alias("x"), *[F.col(c).cast("double").alias(c) for c in items])
+    return rows.unpivot(["series", "x"], items, "item", "value").select(F.lit(part).alias(label), "series", "x", "item", "value")
+
+
+def _union(parts):
+    out = None
+    for rows in parts:
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
 
 
-def _text(name: str):
-    return F.col(name).cast("string").alias("x")
+def _chart_sql(name: str) -> str:
+    x, items, sql = CHARTS[name]
+    place = " || ' ' || ".join(f"CAST({c} AS VARCHAR)" for c in x.split())
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS chart, series, {place} AS x, '{i}' AS item, CAST(\"{i}\" AS DOUBLE) AS value FROM ({sql}) AS t" for i in items.split()
+    )
 
 
-@query(
-    "e3_chart_tables",
-    f"""{FILLED}, {CHANGES}, {YEARLY}
-    SELECT 'monthly_range' AS chart, series, CAST(month(ds) AS VARCHAR) AS x, 'range_y' AS item,
-      max(y) - min(y) AS value FROM filled GROUP BY series, month(ds)
-    UNION ALL SELECT 'quarterly', series, CAST(year(ds) AS VARCHAR) || '-Q' || CAST(quarter(ds) AS VARCHAR), 'mean',
-      avg(y) FROM filled GROUP BY series, year(ds), quarter(ds)
-    UNION ALL SELECT 'volatility', series, CAST(ds AS VARCHAR), 'volatility_7', volatility_7 FROM changed
-    UNION ALL SELECT 'weekday', series, CAST(isodow(ds) - 1 AS VARCHAR), 'mean', avg(y) FROM filled GROUP BY series, isodow(ds)
-    UNION ALL SELECT 'yoy', series, CAST(year AS VARCHAR), 'yoy_growth',
-      (mean_y / nullif(lag(mean_y) OVER (PARTITION BY series ORDER BY year), 0) - 1) * 100 FROM yearly""",
-    num="value",
-)
+@query("e3_chart_tables", " UNION ALL ".join(map(_chart_sql, CHARTS)), num="value")
 def _(spark, sf):
-    frame = eda.run_eda(panel(spark, sf), KEYS)
-    charts = {
-        "monthly_range": ("month", "range_y"),
-        "quarterly": ("period", "mean"),
-        "volatility": ("ds", "volatility_7"),
-        "weekday": ("day_of_week", "mean"),
-        "yoy": ("year", "yoy_growth"),
-    }
-    out = None
-    for name, (x, item) in charts.items():
-        rows = _rows(name, frame[f"chart_{name}"].select("series", _text(x), item), item)
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    found = eda.run_eda(panel(spark, sf), KEYS)
+    return _union(_long(name, found[f"chart_{name}"], x, items) for name, (x, items, _) in CHARTS.items())
+
+
+#: Of every section of the report: its numbers, its texts, and the SQL they must equal.
+SECTIONS = {
+    "overview": ("days years", "first_ds last_ds", f"""{FILLED} SELECT series, min(ds) AS first_ds, max(ds) AS last_ds, count(*) AS days,
+      count(DISTINCT year(ds)) AS years FROM filled GROUP BY series"""),
+    "completeness": ("row_count complete_pct", "", f"""{FILLED} SELECT series, count(*) AS row_count,
+      count(y) * 100.0 / count(*) AS complete_pct FROM filled GROUP BY series"""),
+    "price": ("mean median min max std cv_pct", "", SQL["agg10_price_summary"]),
+    "trend": ("years_span first_mean last_mean total_growth_pct cagr_pct", "", SQL["agg11_growth_cagr"]),
+    "season": ("peak_month peak_mean trough_month trough_mean seasonal_variation_pct", "", SQL["agg12_peak_trough_month"]),
+    "weekend": ("weekday_mean weekend_mean weekend_premium_pct", "", SQL["agg9_weekend_split"]),
+    "volatility": ("daily_volatility_pct weekly_volatility_pct", "", SQL["agg13_daily_volatility"]),
+    "anomalies": ("row_count anomalies anomaly_pct", "", SQL["agg20_anomaly_rate"]),
+    "classes": ("cv weekend_premium_pct", "stability volatility strong_weekend", SQL["agg14_volatility_class"]),
+    "direction": ("recent_trend", "direction", SQL["win15_recent_trend"]),
+}
 
 
 def _items(section: str, source: str, numbers: str = "", texts: str = "") -> str:
     rows = [(n, f"CAST({n} AS DOUBLE)", "NULL") for n in numbers.split()]
     rows += [(n, "NULL", f"CAST({n} AS VARCHAR)") for n in texts.split()]
     return " UNION ALL ".join(
-        f"SELECT series, '{section}' AS section, '{n}' AS item, {value} AS value, {text} AS text FROM {source}"
+        f"SELECT series, '{section}' AS section, '{n}' AS item, {value} AS value, {text} AS text FROM ({source}) AS t"
         for n, value, text in rows
     )
 
 
-@query(
-    "snk5_report_table",
-    f"""{FILLED}, {YEARLY}, price AS ({PRICE}), growth AS ({GROWTH}),
-    dates AS (SELECT series, min(ds) AS first_ds, max(ds) AS last_ds, count(*) AS days,
-      count(DISTINCT year(ds)) AS years FROM filled GROUP BY series)
-    {_items("overview", "dates", "days years", "first_ds last_ds")}
-    UNION ALL {_items("price", "price", "mean median min max std cv_pct")}
-    UNION ALL {_items("trend", "growth", "years_span first_mean last_mean total_growth_pct cagr_pct")}""",
-    num="value",
-)
+REPORT = " UNION ALL ".join(_items(name, sql, numbers, texts) for name, (numbers, texts, sql) in SECTIONS.items())
+
+
+@query("snk5_report_table", REPORT, num="value")
 def _(spark, sf):
-    grid = filled(spark, sf)
-    return long_report(
-        {
-            "overview": date_range(grid, KEYS),
-            "price": S.price_summary(grid, KEYS),
-            "trend": S.growth_cagr(grid, KEYS),
-        },
-        KEYS,
-    )
+    return long_report(eda.summary_tables(eda.eda_frame(filled(spark, sf), KEYS), KEYS), KEYS)
 
 
-@query("e1_summary_report")
+@query("e1_summary_report", REPORT, num="value")
 def _(spark, sf):
     return eda.run_eda(panel(spark, sf), KEYS)["report"]
 
@@ -153,13 +171,19 @@ def _(spark, sf):
 
 @query("e4_train")
 def _(spark, sf):
-    return ensemble.train(panel(spark, sf), KEYS, SMALL).metrics
+    return ensemble.train(panel(spark, sf), KEYS).metrics
 
 
 @query("e5_train_main")
 def _(spark, sf):
+    """Everything the run gives, in long form: the report, the sweep of the weights, the forecast, importances."""
     span = forecaster.RunSpan(("1995-01-01", "2003-12-31"), ("2002-02-01", "2002-02-28"))
-    return forecaster.train_main(panel(spark, sf), KEYS, SMALL, span)["report"]
+    out = forecaster.train_main(panel(spark, sf), KEYS, span=span)
+    report = out["report"].select(F.concat(F.lit("report "), "section").alias("part"), "series", "item", "value", "text")
+    final = _long("final", out["final"], "ds", label="part")
+    sweep = _long("sweep", out["sweep"], "config ds", label="part")
+    scores = _long("importances", out["importances"], "model feature", "score", "part")
+    return _union((report, final, sweep, scores))
 
 
 @query("e6_analyze_training_data")
@@ -198,8 +222,11 @@ def _(spark, sf):
 
 @query("e7_analyze_timeseries")
 def _(spark, sf):
+    """All five tables of the run, in long form."""
     run = additive.AdditiveRun(periods=44, test_periods=60)
-    return additive.analyze_timeseries(panel(spark, sf), KEYS, run, ADDITIVE)["cross_validation_metrics"]
+    found = additive.analyze_timeseries(panel(spark, sf), KEYS, run, ADDITIVE)
+    axes = {"forecast": "ds", "future": "ds", "test_metrics": "", "cross_validation": "cutoff ds", "cross_validation_metrics": "horizon"}
+    return _union(_long(name, found[name], x, label="part") for name, x in axes.items())
 
 
 @query("e7_holdout_metrics")
