@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions.scalar import percent, ratio, safe_corr
-from .blocks import BLOCK_DAYS, Family, Stage, over_blocks
+from ..functions.scalar import percent, ratio
+from .blocks import BLOCK_DAYS, Family, Stage, attach, over_blocks
 
 def full(agg: Column, col: str, n: int, frame: WindowSpec) -> Column:
     """``agg`` over a short frame, null unless the frame holds n non-null values."""
@@ -266,15 +266,48 @@ def autocorrelation(
 ) -> DataFrame:
     """Correlation of y with itself k rows earlier, k below min(max_lag, n / 4).
 
-    One window pass gives every row its ``max_lag - 1`` predecessors as columns, and
-    one aggregate all correlations: a task passes on a few sums per series and lag.
+    One window pass gives every row its predecessors as columns, and one aggregate
+    the sum of products for every lag, of values less the mean of their series.  The
+    sums over either side of the pairs follow from the whole ones and the first and
+    last ``max_lag - 1`` values.
     """
+    reach = max_lag - 1
     lags = range(1, max_lag)
-    past = Family(({f"past_{k}": lag("y", k) for k in lags},), before=max_lag - 1)
-    rows = over_blocks(grid.where(F.col("y").isNotNull()).select(*keys, "ds", "y"), keys, past, size=size)
-    n = F.count(F.lit(1))
-    sums = rows.groupBy(*keys).agg(
-        *[F.when(F.lit(k) < F.floor(n / F.lit(4)), F.struct(safe_corr(F.col("y"), F.col(f"past_{k}")).alias("acf"))).alias(str(k)) for k in lags]
+    rows = grid.where(F.col("y").isNotNull()).select(*keys, "ds", "y")
+    facts = rows.groupBy(*keys).agg(F.min("ds").alias("lo"), F.max("ds").alias("hi"), F.avg("y").alias("_m"))
+    facts = facts.withColumns({"_lo": F.col("lo"), "_hi": F.col("hi")})
+    centred = attach(rows, facts, keys, size).select(
+        *keys, "ds", (F.col("y") - F.col("_m")).alias("u"), F.datediff("ds", "_lo").alias("_at"), F.datediff("_hi", "ds").alias("_back")
     )
-    long = sums.unpivot(list(keys), [str(k) for k in lags], "lag", "at").where(F.col("at").isNotNull())
-    return long.select(*keys, F.col("lag").cast("int").alias("lag"), F.col("at.acf").alias("acf"))
+    past = Family(({f"past_{k}": lag("u", k) for k in lags},), before=reach)
+    u = F.col("u")
+
+    def edge(place: str) -> Column:
+        return F.collect_list(F.when(F.col(place) < reach, F.struct(F.col(place).alias("at"), u.alias("u"))))
+
+    sums = over_blocks(centred, keys, past, size=size).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(u).alias("s"), F.sum(u * u).alias("q"),
+        F.array(*[F.sum(u * F.col(f"past_{k}")) for k in lags]).alias("p"), edge("_at").alias("_at"), edge("_back").alias("_back"),
+    )
+
+    def less(ends: str, total: str, power: int) -> Column:
+        """Per lag, ``total`` without the values that stand closer than it to this end."""
+
+        def one(k: Column) -> Column:
+            gone = F.filter(ends, lambda e: e["at"] < k)
+            return F.col(total) - F.aggregate(gone, F.lit(0.0), lambda a, e: a + (e["u"] if power == 1 else e["u"] * e["u"]))
+
+        return F.transform(F.sequence(F.lit(1), F.lit(reach)), one)
+
+    # One row per series from here on.
+    sides = {f"{t}{i}": less(e, t, power) for i, e in enumerate(("_at", "_back")) for t, power in (("s", 1), ("q", 2))}
+    known = sums.withColumns(sides)
+
+    def acf(k: Column) -> Column:
+        a, b, qa, qb, p = (F.get(c, k - 1) for c in ("s0", "s1", "q0", "q1", "p"))
+        n = F.col("n") - k
+        spread = F.sqrt(F.greatest(qa - a * a / n, F.lit(0.0))) * F.sqrt(F.greatest(qb - b * b / n, F.lit(0.0)))
+        return F.struct(k.cast("int").alias("lag"), F.try_divide(p - a * b / n, spread).alias("acf"))
+
+    known = known.withColumn("last", F.least(F.lit(reach), F.floor(F.col("n") / 4).cast("int") - 1)).where("last >= 1")
+    return known.select(*keys, F.inline(F.transform(F.sequence(F.lit(1), F.col("last")), acf)))
