@@ -9,15 +9,17 @@ minimisers, so windows of one minimiser can be judged apart from all others.
    travel packed, 48 bits each, one row per block of documents and bucket, so a
    minimiser costs one entry per block however common it is.  A false match here
    only lets a text through to step 2.
-2. Consecutive windows with the same repeated minimiser form one string, which
-   travels packed to its bucket.  Equal strings of a batch travel once, with the
-   smallest document and their number.
-3. In the bucket the caller judges every window of the distinct strings.  Strings
-   of a minimiser with more than ``hot`` of them are dealt out once more, window
-   by window, by 128-bit fingerprints.
-4. Verdicts go back to the places where a string occurs, then to the texts.
-
-Exact copies of a text take part once, as the row of the smallest id.
+2. Consecutive windows with the same repeated minimiser form one string, cut once
+   and written with the places it was found at.  Equal strings of a batch are one
+   row.
+3. A minimiser's strings travel to its bucket, where the caller judges every
+   window of the distinct ones.  Minimisers with more than ``hot`` rows, or very
+   many places, never meet in a bucket: their strings are dealt out window by
+   window, by 128-bit fingerprints.
+4. Runs of repeated windows go back to the texts from the places themselves.
+
+Exact copies of a text take part once, as the row of the smallest id; a text is
+known by the first 128 bits of its SHA-256.
 """
 
 from __future__ import annotations
@@ -37,6 +39,14 @@ from .text import Prefix, chunks, windows, words_of, write_table
 CENSUS_BITS = 48
 HASHES_PER_BUCKET = 1 << 20
 DOCS_PER_BLOCK = 4096
+#: Texts are cut in groups of so many bytes, whose arrays stay in a core's cache.
+GROUP_BYTES = 1 << 18
+#: Bytes of distinct strings that a task holds before it writes them.
+HELD_BYTES = 16 << 20
+#: Bytes of places beyond which a minimiser is hot.
+PLACES_BYTES = 4 << 20
+#: Where a string occurs: row of the text, its first window there, smallest document of the text.
+PLACE = np.dtype([("row", "<i8"), ("start", "<i4"), ("first", "<i8")])
 
 
 def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -71,33 +81,65 @@ class Units:
     #: A window repeats if it occurs twice anywhere (else: in two documents).
     within: bool
 
-    def cut(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and end byte of every unit, and the hash of every gram."""
+    def cut(self, group: list[bytes]) -> Cut:
         if self.words:
-            _, start, end, hashes, _ = words_of([raw])
-            return start, end, windows(hashes, self.gram)
-        data = np.frombuffer(raw, np.uint8)
+            group = [b" ".join(raw.split()) for raw in group]
+            data, start, end, hashes, first = words_of(group)
+            grams = windows(hashes, self.gram)
+            return self._cut(data.tobytes(), start, end, np.asarray(first), grams)
+        blob = b"".join(group)
+        data = np.frombuffer(blob, np.uint8)
         at = np.arange(len(data))
-        if len(data) < self.span:
-            return at, at + 1, np.empty(0, np.uint64)
-        first = np.arange(len(data) - self.gram + 1)
-        return at, at + 1, Prefix(data).of(first, first + self.gram)
+        grams = np.empty(0, np.uint64)
+        if len(data) >= self.span:
+            grams = Prefix(data).of(at[: len(data) - self.gram + 1], at[self.gram - 1 :] + 1)
+        return self._cut(blob, at, at + 1, np.cumsum([0, *map(len, group)]), grams)
 
-    def minimisers(self, grams: np.ndarray) -> np.ndarray:
-        """The minimiser of every window."""
+    def _cut(self, blob: bytes, start: np.ndarray, end: np.ndarray, first: np.ndarray, grams: np.ndarray) -> Cut:
         many = self.span - self.gram + 1
-        return sliding(grams, many, np.minimum) if len(grams) >= many else np.empty(0, np.uint64)
+        doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        least = sliding(grams, many, np.minimum) if len(grams) >= many else np.empty(0, np.uint64)
+        at = np.arange(len(least))
+        whole = at + self.span <= first[1:][doc[: len(least)]]
+        return Cut(blob, start, end, first, doc, grams, least, whole)
+
+    def reported(self, cut: Cut) -> list[np.ndarray]:
+        """Minimisers of every text for the census: distinct, or one for each place if windows repeat within a text."""
+        if self.within and len(cut.least):
+            # A place is one if some window that holds it has its hash as minimiser.
+            pad = np.zeros(self.span - self.gram, np.uint64)
+            least = np.where(cut.whole, cut.least, np.uint64(0))
+            most = sliding(np.concatenate([pad, least, pad]), self.span - self.gram + 1, np.maximum)
+            at = np.flatnonzero(most == cut.grams)
+            values = cut.grams[at]
+        else:
+            at = np.flatnonzero(cut.heads())
+            values = cut.least[at]
+        values = np.split(values, np.searchsorted(at, cut.first[1:-1]))
+        return values if self.within else [np.unique(v) for v in values]
 
-    def reported(self, grams: np.ndarray, least: np.ndarray) -> np.ndarray:
-        """Minimisers for the census: distinct, or one for each place if windows repeat within a text."""
-        if not len(least):
-            return least
-        if not self.within:
-            return np.unique(least)
-        # A place is one if some window that holds it has its hash as minimiser.
-        pad = np.zeros(self.span - self.gram, np.uint64)
-        most = sliding(np.concatenate([pad, least, pad]), self.span - self.gram + 1, np.maximum)
-        return grams[most == grams]
+
+@dataclass(frozen=True)
+class Cut:
+    """A group of texts in units: ``first`` has the first unit of each text and the end of the last."""
+
+    blob: bytes
+    start: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+    doc: np.ndarray
+    grams: np.ndarray
+    #: The minimiser of every window, and whether the window lies in one text.
+    least: np.ndarray
+    whole: np.ndarray
+
+    def heads(self) -> np.ndarray:
+        """True for windows of one text that begin a run of the same minimiser."""
+        if not len(self.least):
+            return np.zeros(0, bool)
+        fresh = np.ones(len(self.least), bool)
+        fresh[1:] = (self.least[1:] != self.least[:-1]) | ~self.whole[:-1] | (self.doc[1 : len(self.least)] != self.doc[: len(self.least) - 1])
+        return fresh & self.whole
 
 
 def small(hashes: np.ndarray) -> np.ndarray:
@@ -109,26 +151,23 @@ def profiles(docs: DataFrame, units: Units, sha: Callable[[bytes], bytes]) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, group in chunks(batch.column(2)):
+            for at, group in chunks(batch.column(2), GROUP_BYTES):
                 part = batch.slice(at, len(group))
-                n, digest, packed = [], [], []
-                for raw in group:
-                    start, _, grams = units.cut(raw)
-                    least = units.minimisers(grams)
-                    n.append(len(start))
-                    digest.append(hashlib.sha256(sha(raw)).hexdigest())
-                    packed.append(pack(small(units.reported(grams, least))))
+                cut = units.cut(group)
+                digest = [hashlib.sha256(sha(raw)).hexdigest() for raw in group]
+                packed = [pack(small(x)) for x in units.reported(cut)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(digest), pa.array(packed, pa.binary())],
+                    [part.column(0), part.column(1), pa.array(np.diff(cut.first), pa.int64()), pa.array(digest), pa.array(packed, pa.binary())],
                     names=["doc_id", "key", "n_units", "sha", "hashes"],
                 )
 
-    return identified(docs).mapInArrow(run, "doc_id long, key long, n_units long, sha string, hashes binary")
+    return identified(docs).mapInArrow(run, "doc_id long, key binary, n_units long, sha string, hashes binary")
 
 
 def identified(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    key = F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), text.alias("text"))
 
 
 def repeated(profile: DataFrame) -> DataFrame:
@@ -176,160 +215,184 @@ def repeated(profile: DataFrame) -> DataFrame:
                 if len(x):
                     keys.append(k)
                     out.append(pack(x))
-        return pa.table({"key": pa.array(keys, pa.int64()), "hashes": pa.array(out, pa.binary())})
+        return pa.table({"key": pa.array(keys, pa.binary()), "hashes": pa.array(out, pa.binary())})
 
     asked = rows.groupBy("block").applyInArrow(ask, "bucket int, block int, hashes binary, twice binary")
     told = asked.groupBy("bucket").applyInArrow(answer, "block int, found binary").filter(F.length("found") > 0)
-    return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(match, "key long, hashes binary")
+    return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(match, "key binary, hashes binary")
 
 
-def strings_of(raw: bytes, known: np.ndarray, units: Units) -> Iterator[tuple[int, int, int, bytes]]:
-    """(minimiser, first window, windows, string) of the runs of windows whose minimiser is ``known``."""
-    start, end, grams = units.cut(raw)
-    least = units.minimisers(grams)
-    if not len(least) or not len(known):
+def strings_of(group: list[bytes], known: np.ndarray, units: Units) -> Iterator[tuple[int, int, int, bytes]]:
+    """(text, minimiser, first window, string) of the runs of windows whose minimiser is ``known``."""
+    cut = units.cut(group)
+    if not len(cut.least) or not len(known):
         return
-    cut = small(least)
-    hit = known[np.minimum(np.searchsorted(known, cut), len(known) - 1)] == cut
-    edge = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(least)]):
-        if hit[a]:
-            first, last = a, b - 1 + units.span - 1
-            if units.words:
-                body = b" ".join(raw[s:e] for s, e in zip(start[first : last + 1].tolist(), end[first : last + 1].tolist()))
-            else:
-                body = raw[first : last + 1]
-            yield int(least[a].view(np.int64)), a, b - a, body
-
-
-def fingerprint(body: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little", signed=True)
-
-
-def places(texts: DataFrame, units: Units) -> DataFrame:
-    """``mini, string, key, start, n``: where strings occur; the string as a fingerprint."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [
-                (mini, fingerprint(body), key, start, n)
-                for key, raw, known in zip(*(batch.column(i).to_pylist() for i in range(3)))
-                for mini, start, n, body in strings_of(raw.encode(), unpack(known), units)
-            ]
-            columns = list(zip(*rows)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["mini", "string", "key", "start", "n"])
-
-    return texts.select("key", "text", "hashes").mapInArrow(run, "mini long, string long, key long, start int, n int")
-
-
-STRINGS = "mini long, string long, body binary, first long, times int"
+    heads = np.flatnonzero(cut.heads())
+    stop = np.flatnonzero(np.append(cut.heads()[1:] | ~cut.whole[1:], True) & cut.whole)
+    few = small(cut.least[heads])
+    hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, few), len(known) - 1)] == few)
+    heads, stop = heads[hit], stop[hit]
+    doc = cut.doc[heads]
+    begin, end = cut.start[heads], cut.end[stop + units.span - 1]
+    for d, mini, at, a, b in zip(doc.tolist(), cut.least[heads].view(np.int64).tolist(), (heads - cut.first[doc]).tolist(), begin.tolist(), end.tolist()):
+        yield d, mini, at, cut.blob[a:b]
 
 
 def strings(texts: DataFrame, units: Units) -> DataFrame:
-    """``mini, string, body, first, times``: the strings of each batch once, with the smallest document and their number."""
+    """``mini, body, places``: the strings of each batch once, with all their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held: dict[tuple[int, bytes], list[int]] = {}
+            held: dict[bytes, tuple[int, list]] = {}
             size = 0
-            for raw, known, first in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for mini, _, _, body in strings_of(raw.encode(), unpack(known), units):
-                    seen = held.setdefault((mini, body), [first, 0])
-                    size += len(body) * (seen[1] == 0)
-                    seen[0], seen[1] = min(seen[0], first), seen[1] + 1
-                if size > 16 << 20:
+            rows, firsts, hashes = (batch.column(i).to_pylist() for i in (0, 1, 3))
+            for at, group in chunks(batch.column(2), GROUP_BYTES):
+                known = np.unique(unpack(b"".join(hashes[at : at + len(group)])))
+                for d, mini, start, body in strings_of(group, known, units):
+                    seen = held.get(body)
+                    if seen is None:
+                        seen = held[body] = (mini, [])
+                        size += len(body)
+                    seen[1].append((rows[at + d], start, firsts[at + d]))
+                if size > HELD_BYTES:
                     yield _string_rows(held)
                     held, size = {}, 0
             yield _string_rows(held)
 
-    return texts.select("text", "hashes", "first").mapInArrow(run, STRINGS)
+    return texts.select("row", "first", "text", "hashes").mapInArrow(run, "mini long, body binary, places binary")
 
 
-def _string_rows(held: dict[tuple[int, bytes], list[int]]) -> pa.RecordBatch:
+def _string_rows(held: dict[bytes, tuple[int, list]]) -> pa.RecordBatch:
+    counts = np.array([len(v[1]) for v in held.values()], np.int64)
+    raw = np.array([p for v in held.values() for p in v[1]], PLACE).tobytes()
+    ends = np.cumsum(counts) * PLACE.itemsize
+    places = [raw[b - n : b] for b, n in zip(ends.tolist(), (counts * PLACE.itemsize).tolist())]
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array([m for m, _ in held], pa.int64()),
-            pa.array([fingerprint(b) for _, b in held], pa.int64()),
-            pa.array([b for _, b in held], pa.binary()),
-            pa.array([v[0] for v in held.values()], pa.int64()),
-            pa.array([v[1] for v in held.values()], pa.int32()),
-        ],
-        names=["mini", "string", "body", "first", "times"],
+        [pa.array([v[0] for v in held.values()], pa.int64()), pa.array(list(held), pa.binary()), pa.array(places, pa.binary())],
+        names=["mini", "body", "places"],
     )
 
 
-#: Rows of one bucket's strings, distinct: (minimiser, fingerprint, string, smallest document, number).
-Distinct = list[tuple[int, int, bytes, int, int]]
+#: (row, first window, windows) of runs of repeated windows.
+RUNS = "row long, at int, n int"
 
 
-def judged(rows: DataFrame, judge: Callable[[Distinct], Iterator[tuple[int, int, bytes]]], shard_bytes: int) -> DataFrame:
-    """``mini, string, verdict`` from ``judge``, called with whole minimisers up to about ``shard_bytes`` at a time.
+def runs(sizes: np.ndarray, value: np.ndarray, places: list[bytes], gone: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Runs of windows that go, for every place of strings with ``sizes`` windows of a ``value`` each."""
+    held = np.array([len(p) // PLACE.itemsize for p in places], np.int64)
+    all_places = np.frombuffer(b"".join(places), PLACE)
+    owner = np.repeat(np.arange(len(sizes)), held)
+    begin = (np.cumsum(sizes) - sizes)[owner]
+    many = sizes[owner]
+    # Slices of places with a bounded number of windows; at least one place each.
+    part = np.cumsum(many) >> 22
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(many)]
+    for a, b in zip(edges, edges[1:]):
+        n, place = many[a:b], all_places[a:b]
+        own = np.repeat(np.arange(b - a), n)
+        entry = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+        flag = gone(value[begin[a:b][own] + entry], place["first"][own])
+        head = np.flatnonzero(flag & ((entry == 0) | ~np.roll(flag, 1)))
+        tail = np.flatnonzero(flag & ((entry == n[own] - 1) | ~np.roll(flag, -1)))
+        which = own[head]
+        columns = place["row"][which], place["start"][which] + entry[head], tail - head + 1
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int32()))], names=["row", "at", "n"])
 
-    ``rows`` come dealt by minimiser.
-    """
+
+#: Given distinct strings, the smallest document and the number of places of each: windows per string, a value per window.
+Judge = Callable[[list[bytes], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def judged(rows: DataFrame, judge: Judge, gone, shard_bytes: int) -> DataFrame:
+    """Runs that go; ``judge`` is called with whole minimisers, up to about ``shard_bytes`` at a time."""
+
+    def shard(held: dict[bytes, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        places = [b"".join(p) for p in held.values()]
+        times = np.array([len(p) // PLACE.itemsize for p in places], np.int64)
+        firsts = np.frombuffer(b"".join(places), PLACE)["first"]
+        first = np.minimum.reduceat(firsts, np.cumsum(times) - times)
+        sizes, value = judge(list(held), first, times)
+        yield from runs(sizes, value, places, gone)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Distinct = []
+        held: dict[bytes, list[bytes]] = {}
         size, last = 0, None
         for batch in batches:
-            for mini, string, body, first, times in zip(*(c.to_pylist() for c in batch.columns)):
+            for mini, body, places in zip(*(c.to_pylist() for c in batch.columns)):
                 if mini != last and size >= shard_bytes:
-                    yield _verdicts(judge(held))
-                    held, size = [], 0
-                same = held and held[-1][0] == mini and held[-1][1] == string
-                if same:
-                    held[-1] = (mini, string, body, min(first, held[-1][3]), times + held[-1][4])
-                else:
-                    held.append((mini, string, body, first, times))
+                    yield from shard(held)
+                    held, size = {}, 0
+                seen = held.get(body)
+                if seen is None:
+                    held[body] = [places]
                     size += len(body)
+                else:
+                    seen.append(places)
+                size += len(places)
                 last = mini
         if held:
-            yield _verdicts(judge(held))
-
-    return rows.sortWithinPartitions("mini", "string").mapInArrow(run, "mini long, string long, verdict binary")
+            yield from shard(held)
 
-
-def _verdicts(found: Iterator[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    rows = list(found)
-    columns = list(zip(*rows)) if rows else [[]] * 3
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary()))], names=["mini", "string", "verdict"])
+    return rows.repartition("mini").sortWithinPartitions("mini").mapInArrow(run, RUNS)
 
 
 def by_window(rows: DataFrame, units: Units) -> DataFrame:
-    """Every window of ``rows`` with its 128-bit fingerprint: ``mini, string, at, w1, w2, first, times``."""
+    """Every window of ``rows`` with its 128-bit fingerprint: ``string, at, w1, w2, first, times``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for mini, string, body, first, times in zip(*(c.to_pylist() for c in batch.columns)):
-                start, end, _ = units.cut(body)
-                n = len(start) - units.span + 1
-                prints = [hashlib.blake2b(body[start[i] : end[i + units.span - 1]], digest_size=16).digest() for i in range(n)]
-                w = np.frombuffer(b"".join(prints), "<i8").reshape(-1, 2)
+            for string, body, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                place = np.frombuffer(raw, PLACE)
+                cut = units.cut([body])
+                n = len(cut.least)
+                a, b = cut.start[:n].tolist(), cut.end[units.span - 1 :].tolist()
+                w = np.frombuffer(b"".join(hashlib.blake2b(cut.blob[i:j], digest_size=16).digest() for i, j in zip(a, b)), "<i8").reshape(-1, 2)
                 fill = lambda v, k: pa.array(np.full(n, v), k)  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
-                    [fill(mini, pa.int64()), fill(string, pa.int64()), pa.array(np.arange(n), pa.int32()), pa.array(w[:, 0]), pa.array(w[:, 1]), fill(first, pa.int64()), fill(times, pa.int32())],
-                    names=["mini", "string", "at", "w1", "w2", "first", "times"],
-                )
+                    [pa.array([string] * n, pa.binary()), pa.array(np.arange(n), pa.int32()), pa.array(w[:, 0]), pa.array(w[:, 1]),
+                     fill(place["first"].min(), pa.int64()), fill(len(place), pa.int64())],
+                    names=["string", "at", "w1", "w2", "first", "times"],
+                )
+
+    return rows.select("string", "body", "places").mapInArrow(run, "string binary, at int, w1 long, w2 long, first long, times long")
+
 
-    return rows.mapInArrow(run, "mini long, string long, at int, w1 long, w2 long, first long, times int")
+def dealt(rows: DataFrame, units: Units, value, gone) -> DataFrame:
+    """The same runs for strings dealt out window by window; ``value`` aggregates the windows of one fingerprint."""
+    # A string is known by its first place, which no other row has.
+    rows = rows.withColumn("string", F.substring("places", 1, 12))
+    single = write_table(by_window(rows, units), "repeats-windows")
+    totals = single.groupBy("w1", "w2").agg(value.alias("value"))
+    values = single.join(totals, ["w1", "w2"]).groupBy("string").agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("marks"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw, marks in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = marks.values.field("value").to_numpy()
+                yield from runs(np.array([len(found)]), found, [raw], gone)
+
+    return rows.join(values, "string").select("places", F.col("marks")).mapInArrow(run, RUNS)
 
 
-def verdicts(texts: DataFrame, where: DataFrame, units: Units, judge, window_verdict: Callable[[DataFrame], DataFrame], shard_bytes: int, hot: int) -> DataFrame:
-    """``mini, string, verdict`` for every string with something to say."""
-    # Dealt out once: where some minimisers are hot, both branches below read this exchange.
-    rows = strings(texts, units).repartition("mini")
-    crowded = where.select("mini", "string").distinct().groupBy("mini").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select("mini")
-    crowded = write_table(crowded, "repeats-hot")
+def repeats(texts: DataFrame, units: Units, judge: Judge, value, gone, shard_bytes: int, hot: int) -> DataFrame:
+    """``row, first, key, text, marks``: of every text with windows that go, the runs of them.
+
+    ``gone(value, first)`` tells whether a window goes from a text, by the window's value and the text's smallest document.
+    """
+    rows = write_table(strings(texts, units), "repeats-strings")
+    load = rows.groupBy("mini").agg(F.count("*").alias("rows"), F.sum(F.length("places").cast("long")).alias("size"))
+    crowded = write_table(load.filter((F.col("rows") > hot) | (F.col("size") > PLACES_BYTES)).select("mini"), "repeats-hot")
     if crowded.isEmpty():
-        return judged(rows, judge, shard_bytes)
-    few = judged(rows.join(crowded, "mini", "left_anti"), judge, shard_bytes)
-    many = by_window(rows.join(crowded, "mini", "left_semi"), units)
-    return few.unionByName(window_verdict(many))
+        found = judged(rows, judge, gone, shard_bytes)
+    else:
+        few = judged(rows.join(crowded, "mini", "left_anti"), judge, gone, shard_bytes)
+        found = few.unionByName(dealt(rows.join(crowded, "mini", "left_semi"), units, value, gone))
+    marks = found.groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("marks"))
+    return marks.join(texts.select("row", "key", "text"), "row")
 
 
 def candidates(docs: DataFrame, profile: DataFrame, with_ids_only: bool) -> tuple[DataFrame, DataFrame]:
-    """(``key, first, copies`` of every text; ``key, first, text, hashes`` of texts that may hold a repeated window)."""
+    """(``key, first, copies`` of every text; ``row, key, first, text, hashes`` of texts that may hold a repeated window)."""
     leaders = write_table(profile.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "repeats-keys")
     some = repeated(profile).dropDuplicates(["key"]).join(leaders, "key").select(F.col("key").alias("_key"), "first", "hashes")
     if with_ids_only:
@@ -337,18 +400,14 @@ def candidates(docs: DataFrame, profile: DataFrame, with_ids_only: bool) -> tupl
     rows = identified(docs)
     texts = rows.join(some, (rows["key"] == some["_key"]) & rows["doc_id"].eqNullSafe(some["first"]))
     texts = texts.select("key", F.coalesce("first", F.lit(-1)).alias("first"), "text", "hashes").dropDuplicates(["key"])
-    return leaders, write_table(texts, "repeats-texts")
-
-
-def per_text(where: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
-    """``key, first, text, marks``: of every text with a verdict, its (start, verdict) pairs."""
-    hits = where.join(found, ["mini", "string"]).select("key", F.struct("start", "verdict").alias("mark"))
-    return hits.groupBy("key").agg(F.collect_list("mark").alias("marks")).join(texts.select("key", "first", "text"), "key")
+    return leaders, write_table(texts.select(F.monotonically_increasing_id().alias("row"), "*"), "repeats-texts")
 
 
-def covered(starts: np.ndarray, span: int, n: int) -> np.ndarray:
-    """True for every unit under a window that begins at one of ``starts``."""
+def covered(marks: list[dict], span: int, n: int) -> np.ndarray:
+    """True for every unit under a window of one of the runs ``marks``."""
+    at = np.array([m["at"] for m in marks], np.int64)
+    many = np.array([m["n"] for m in marks], np.int64)
     step = np.zeros(n + 1, np.int64)
-    np.add.at(step, starts, 1)
-    np.add.at(step, starts + span, -1)
+    np.add.at(step, at, 1)
+    np.add.at(step, at + many - 1 + span, -1)
     return np.cumsum(step[:n]) > 0

@@ -17,19 +17,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .induced import suffixes
-from .repeats import Distinct, Units, candidates, covered, per_text, places, profiles, verdicts
+from .repeats import Units, candidates, covered, profiles, repeats
 from .text import write_table
 
 
-def judge(rows: Distinct, span: int, memory: int) -> Iterator[tuple[int, int, bytes]]:
-    """Per string one bit for each of its windows: it starts elsewhere as well."""
+def judge(bodies: list[bytes], first: np.ndarray, times: np.ndarray, span: int, memory: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows per string, and 2 for each window that starts elsewhere as well (else 1)."""
     # Symbols: 0 ends the shard, 1 ends a string, byte b is b + 2.
-    sizes = np.array([len(r[2]) for r in rows])
-    symbols = np.ones(int(sizes.sum()) + len(rows) + 1, np.uint16)
+    sizes = np.array([len(body) for body in bodies])
+    symbols = np.ones(int(sizes.sum()) + len(bodies) + 1, np.uint16)
     symbols[-1] = 0
     starts = np.cumsum(np.insert(sizes + 1, 0, 0))[:-1]
-    for at, row in zip(starts.tolist(), rows):
-        symbols[at : at + len(row[2])] = np.frombuffer(row[2], np.uint8).astype(np.uint16) + 2
+    for at, body in zip(starts.tolist(), bodies):
+        symbols[at : at + len(body)] = np.frombuffer(body, np.uint8).astype(np.uint16) + 2
     again = np.zeros(len(symbols), bool)
     above = np.empty(0, np.int32)
     for batch, prefix in suffixes(symbols, span, memory):
@@ -39,26 +39,10 @@ def judge(rows: Distinct, span: int, memory: int) -> Iterator[tuple[int, int, by
         # The very first suffix has none before it, and a common prefix of 0.
         again[before[hit - (len(batch) - len(before))]] = True
         above = batch[-1:]
-    for at, (mini, string, body, _, times) in zip(starts.tolist(), rows):
-        n = len(body) - span + 1
-        bits = np.ones(n, bool) if times > 1 else again[at : at + n]
-        if bits.any():
-            yield mini, string, np.packbits(bits).tobytes()
-
-
-def by_fingerprint(windows: DataFrame) -> DataFrame:
-    """The same for windows dealt one by one."""
-    total = windows.groupBy("w1", "w2").agg(F.sum("times").alias("total"))
-    # Rows of the same string, one per batch, are one string.
-    rows = windows.join(total, ["w1", "w2"]).groupBy("mini", "string", "at").agg(F.max("total").alias("total"))
-
-    def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("at").to_numpy())
-        bits = table.column("total").to_numpy()[order] > 1
-        verdict = pa.array([np.packbits(bits).tobytes()], pa.binary())
-        return pa.table({"mini": table.column("mini")[:1], "string": table.column("string")[:1], "verdict": verdict})
-
-    return rows.groupBy("mini", "string").applyInArrow(run, "mini long, string long, verdict binary")
+    many = sizes - span + 1
+    own = np.repeat(np.arange(len(many)), many)
+    at = starts[own] + np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
+    return many, np.where(again[at] | (times[own] > 1), 2, 1)
 
 
 def remove_repeats(docs: DataFrame, span: int = 400, gram: int = 64, shard_bytes: int = 2 << 20, hot: int = 4_000, memory: int = 32 << 20) -> DataFrame:
@@ -73,24 +57,21 @@ def remove_repeats(docs: DataFrame, span: int = 400, gram: int = 64, shard_bytes
     units = Units(words=False, span=span, gram=gram, within=True)
     profile = write_table(profiles(docs, units, bytes), "suffixes")
     leaders, texts = candidates(docs, profile, with_ids_only=False)
-    where = write_table(places(texts, units), "suffixes-places")
-    found = verdicts(texts, where, units, lambda rows: judge(rows, span, memory), by_fingerprint, shard_bytes, hot)
+    marked = repeats(texts, units, lambda *shard: judge(*shard, span, memory), F.sum("times"), lambda total, _: total > 1, shard_bytes, hot)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for key, text, marks in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = np.frombuffer(text.encode(), np.uint8)
-                starts = [m["start"] + np.flatnonzero(np.unpackbits(np.frombuffer(m["verdict"], np.uint8))) for m in marks]
-                gone = covered(np.concatenate(starts), span, len(raw))
+                gone = covered(marks, span, len(raw))
                 spans = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + gone[0])
                 out.append((key, int(gone.sum()), spans, hashlib.sha256(raw[~gone].tobytes()).hexdigest()))
             columns = list(zip(*out)) if out else [[]] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "n_gone", "n_parts", "sha_left"])
 
-    marked = per_text(where, found, texts).select("key", "text", "marks")
-    cuts = write_table(marked.mapInArrow(cut, "key long, n_gone long, n_parts long, sha_left string"), "suffixes-cuts")
+    cuts = write_table(marked.select("key", "text", "marks").mapInArrow(cut, "key binary, n_gone long, n_parts long, sha_left string"), "suffixes-cuts")
     rows = profile.drop("hashes").join(leaders, "key").join(cuts, "key", "left")
     copy = (F.col("copies") > 1) & (F.col("n_units") >= span)
     some = F.col("n_gone").isNotNull()

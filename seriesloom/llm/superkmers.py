@@ -16,48 +16,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import Distinct, Units, candidates, covered, per_text, places, profiles, verdicts
-from .text import write_table
+from .repeats import Units, candidates, covered, profiles, repeats
+from .text import windows, words_of, write_table
 
 
 def join_words(raw: bytes) -> bytes:
     return b" ".join(raw.split())
 
 
-def judge(rows: Distinct, span: int) -> Iterator[tuple[int, int, bytes]]:
-    """Per string the smallest document of each of its windows, 8 bytes each; strings with no other document say nothing."""
-    found: list[tuple[bytes, int, int, int]] = []
-    sizes = []
-    for i, (_, _, body, first, _) in enumerate(rows):
-        words = body.split(b" ")
-        at = np.cumsum([0, *[len(w) + 1 for w in words]])
-        sizes.append(len(words) - span + 1)
-        found += [(body[at[j] : at[j + span] - 1], first, i, j) for j in range(sizes[-1])]
-    found.sort()
-    least = [np.full(n, rows[i][3], np.int64) for i, n in enumerate(sizes)]
-    other = np.zeros(len(rows), bool)
-    run, smallest = None, 0
-    for window, first, i, j in found:
-        if window != run:
-            run, smallest = window, first
-        elif smallest < first:
-            least[i][j], other[i] = smallest, True
-    for i, (mini, string, _, _, times) in enumerate(rows):
-        if other[i] or times > 1:
-            yield mini, string, least[i].astype("<i8").tobytes()
+def judge(bodies: list[bytes], first: np.ndarray, times: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows per string, and the smallest document of each window.
 
-
-def by_fingerprint(windows: DataFrame) -> DataFrame:
-    """The same for windows dealt one by one."""
-    least = windows.groupBy("w1", "w2").agg(F.min("first").alias("least"))
-    rows = windows.join(least, ["w1", "w2"]).groupBy("mini", "string", "at").agg(F.min("least").alias("least"))
-
-    def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("at").to_numpy())
-        verdict = table.column("least").to_numpy()[order].astype("<i8").tobytes()
-        return pa.table({"mini": table.column("mini")[:1], "string": table.column("string")[:1], "verdict": pa.array([verdict], pa.binary())})
-
-    return rows.groupBy("mini", "string").applyInArrow(run, "mini long, string long, verdict binary")
+    Windows are sorted by hash and neighbours of equal hash compared word for word;
+    should two windows share a hash, all are sorted by their words.
+    """
+    data, start, end, hashes, at = words_of(bodies)
+    blob = data.tobytes()
+    sizes = np.diff(at) - span + 1
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    word = np.arange(len(own)) + (own * (span - 1))
+    a, b = start[word], end[word + span - 1]
+    short = windows(hashes, span)[word]
+    order = np.argsort(short, kind="stable")
+    fresh = np.concatenate(([True], short[order[1:]] != short[order[:-1]]))
+    again = np.flatnonzero(~fresh)
+    x, y = order[again - 1], order[again]
+    if any(blob[i:j] != blob[k:m] for i, j, k, m in zip(a[x].tolist(), b[x].tolist(), a[y].tolist(), b[y].tolist())):
+        whole = [blob[i:j] for i, j in zip(a.tolist(), b.tolist())]
+        order = np.array(sorted(range(len(whole)), key=whole.__getitem__))
+        fresh = np.array([True, *(whole[i] != whole[j] for i, j in zip(order[1:].tolist(), order.tolist()))])
+    heads = np.flatnonzero(fresh)
+    value = np.empty(len(own), np.int64)
+    value[order] = np.repeat(np.minimum.reduceat(first[own][order], heads), np.diff(np.append(heads, len(own))))
+    return sizes, value
 
 
 def remove_repeats(docs: DataFrame, span: int = 13, gram: int = 7, shard_bytes: int = 4 << 20, hot: int = 2_000) -> DataFrame:
@@ -71,23 +62,20 @@ def remove_repeats(docs: DataFrame, span: int = 13, gram: int = 7, shard_bytes:
     units = Units(words=True, span=span, gram=gram, within=False)
     profile = write_table(profiles(docs, units, join_words), "superkmers")
     leaders, texts = candidates(docs, profile, with_ids_only=True)
-    where = write_table(places(texts, units), "superkmers-places")
-    found = verdicts(texts, where, units, lambda rows: judge(rows, span), by_fingerprint, shard_bytes, hot)
+    marked = repeats(texts, units, lambda *shard: judge(*shard, span), F.min("first"), np.less, shard_bytes, hot)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for key, first, text, marks in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, text, marks in zip(*(c.to_pylist() for c in batch.columns)):
                 words = text.encode().split()
-                starts = [m["start"] + np.flatnonzero(np.frombuffer(m["verdict"], "<i8") < first) for m in marks]
-                gone = covered(np.concatenate(starts), span, len(words))
+                gone = covered(marks, span, len(words))
                 kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g)
                 out.append((key, int(gone.sum()), hashlib.sha256(kept).hexdigest()))
             columns = list(zip(*out)) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string())], names=["key", "n_gone", "sha_left"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.int64(), pa.string()))], names=["key", "n_gone", "sha_left"])
 
-    marked = per_text(where, found, texts).select("key", "first", "text", "marks")
-    cuts = write_table(marked.mapInArrow(cut, "key long, n_gone long, sha_left string"), "superkmers-cuts")
+    cuts = write_table(marked.select("key", "text", "marks").mapInArrow(cut, "key binary, n_gone long, sha_left string"), "superkmers-cuts")
     rows = profile.drop("hashes").join(leaders, "key").join(cuts, "key", "left")
     copy = (F.col("doc_id") > F.col("first")) & (F.col("n_units") >= span)
     lead = F.col("doc_id").isNotNull() & F.col("n_gone").isNotNull()
