@@ -9,13 +9,12 @@ minimisers, so windows of one minimiser can be judged apart from all others.
    travel packed, 48 bits each, one row per block of documents and bucket, so a
    minimiser costs one entry per block however common it is.  A false match here
    only lets a text through to step 2.
-2. Consecutive windows with the same repeated minimiser form one string, cut once
-   and written with the places it was found at.  Equal strings of a batch are one
-   row.
+2. Consecutive windows with the same repeated minimiser form one string, which
+   travels with the places it was found at.  Equal strings of a batch are one row.
 3. A minimiser's strings travel to its bucket, where the caller judges every
-   window of the distinct ones.  Minimisers with more than ``hot`` rows, or very
-   many places, never meet in a bucket: their strings are dealt out window by
-   window, by 128-bit fingerprints.
+   window of the distinct ones.  Minimisers that the census counts more than
+   ``hot`` times never meet in a bucket: their strings are dealt out window by
+   window, by 128-bit fingerprints, in a pass of their own.
 4. Runs of repeated windows go back to the texts from the places themselves.
 
 Exact copies of a text take part once, as the row of the smallest id; a text is
@@ -43,8 +42,6 @@ DOCS_PER_BLOCK = 4096
 GROUP_BYTES = 1 << 18
 #: Bytes of distinct strings that a task holds before it writes them.
 HELD_BYTES = 16 << 20
-#: Bytes of places beyond which a minimiser is hot.
-PLACES_BYTES = 4 << 20
 #: Where a string occurs: row of the text, its first window there, smallest document of the text.
 PLACE = np.dtype([("row", "<i8"), ("start", "<i4"), ("first", "<i8")])
 
@@ -71,6 +68,13 @@ def unpack(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """True for entries of ``x`` that the sorted ``known`` holds."""
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
 @dataclass(frozen=True)
 class Units:
     """What a window is made of."""
@@ -170,8 +174,8 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), text.alias("text"))
 
 
-def repeated(profile: DataFrame) -> DataFrame:
-    """``key, hashes``: of every text with such, its minimisers that occur twice in all texts."""
+def repeated(profile: DataFrame, hot: int) -> DataFrame:
+    """``key, hashes, hot``: of every text with such, its minimisers that occur twice in all texts, those counted over ``hot`` times apart."""
     totals = profile.agg(F.count("*").alias("docs"), F.sum(F.length("hashes")).alias("bytes")).first()
     buckets = 1 + (totals["bytes"] or 0) // (CENSUS_BITS // 8) // HASHES_PER_BUCKET
     blocks = 1 + totals["docs"] // DOCS_PER_BLOCK
@@ -189,37 +193,44 @@ def repeated(profile: DataFrame) -> DataFrame:
                 "bucket": pa.array(bucket[at], pa.int32()),
                 "block": pa.array(np.full(len(at), table.column("block")[0].as_py()), pa.int32()),
                 "hashes": pa.array([pack(values[a:b]) for a, b in zip(at, ends)], pa.binary()),
-                "twice": pa.array([np.packbits(counts[a:b] > 1).tobytes() for a, b in zip(at, ends)], pa.binary()),
+                "counts": pa.array([np.minimum(counts[a:b], 65535).astype("<u2").tobytes() for a, b in zip(at, ends)], pa.binary()),
             }
         )
 
     def answer(table: pa.Table) -> pa.Table:
         lists = [unpack(x) for x in table.column("hashes").to_pylist()]
-        twice = [np.unpackbits(np.frombuffer(t, np.uint8), count=len(x)).astype(bool) for t, x in zip(table.column("twice").to_pylist(), lists)]
-        merged = np.sort(np.concatenate(lists + [x[t] for x, t in zip(lists, twice)]))
-        again = merged[1:][merged[1:] == merged[:-1]]
-        again = np.unique(again)
-        out = []
+        values = np.concatenate(lists)
+        order = np.argsort(values, kind="stable")
+        values = values[order]
+        heads = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u2").astype(np.int64)[order]
+        counts = np.add.reduceat(counts, heads)
+        values, counts = values[heads[counts > 1]], counts[counts > 1]
+        found, crowded = [], []
         for x in lists:
-            at = np.searchsorted(again, x)
-            out.append(pack(x[again[np.minimum(at, len(again) - 1)] == x]) if len(again) else b"")
-        return pa.table({"block": table.column("block"), "found": pa.array(out, pa.binary())})
+            at = np.minimum(np.searchsorted(values, x), max(len(values) - 1, 0))
+            at = at[values[at] == x] if len(values) else at[:0]
+            found.append(pack(values[at]))
+            crowded.append(pack(values[at[counts[at] > hot]]))
+        return pa.table({"block": table.column("block"), "found": pa.array(found, pa.binary()), "hot": pa.array(crowded, pa.binary())})
 
     def match(key: tuple, mine: pa.Table, theirs: pa.Table) -> pa.Table:
-        known = np.sort(unpack(b"".join(theirs.column("found").to_pylist())))
-        keys, out = [], []
+        known, crowded = (np.sort(unpack(b"".join(theirs.column(c).to_pylist()))) for c in ("found", "hot"))
+        keys, out, much = [], [], []
         if len(known):
             for k, raw in zip(mine.column("key").to_pylist(), mine.column("hashes").to_pylist()):
                 x = np.unique(unpack(raw))
-                x = x[known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x]
+                x = x[among(x, known)]
                 if len(x):
                     keys.append(k)
-                    out.append(pack(x))
-        return pa.table({"key": pa.array(keys, pa.binary()), "hashes": pa.array(out, pa.binary())})
+                    dense = among(x, crowded)
+                    out.append(pack(x[~dense]))
+                    much.append(pack(x[dense]))
+        return pa.table({"key": pa.array(keys, pa.binary()), "hashes": pa.array(out, pa.binary()), "hot": pa.array(much, pa.binary())})
 
-    asked = rows.groupBy("block").applyInArrow(ask, "bucket int, block int, hashes binary, twice binary")
-    told = asked.groupBy("bucket").applyInArrow(answer, "block int, found binary").filter(F.length("found") > 0)
-    return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(match, "key binary, hashes binary")
+    asked = rows.groupBy("block").applyInArrow(ask, "bucket int, block int, hashes binary, counts binary")
+    told = asked.groupBy("bucket").applyInArrow(answer, "block int, found binary, hot binary").filter(F.length("found") > 0)
+    return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(match, "key binary, hashes binary, hot binary")
 
 
 def strings_of(group: list[bytes], known: np.ndarray, units: Units) -> Iterator[tuple[int, int, int, bytes]]:
@@ -229,8 +240,7 @@ def strings_of(group: list[bytes], known: np.ndarray, units: Units) -> Iterator[
         return
     heads = np.flatnonzero(cut.heads())
     stop = np.flatnonzero(np.append(cut.heads()[1:] | ~cut.whole[1:], True) & cut.whole)
-    few = small(cut.least[heads])
-    hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, few), len(known) - 1)] == few)
+    hit = np.flatnonzero(among(small(cut.least[heads]), known))
     heads, stop = heads[hit], stop[hit]
     doc = cut.doc[heads]
     begin, end = cut.start[heads], cut.end[stop + units.span - 1]
@@ -238,8 +248,8 @@ def strings_of(group: list[bytes], known: np.ndarray, units: Units) -> Iterator[
         yield d, mini, at, cut.blob[a:b]
 
 
-def strings(texts: DataFrame, units: Units) -> DataFrame:
-    """``mini, body, places``: the strings of each batch once, with all their places."""
+def strings(texts: DataFrame, units: Units, column: str) -> DataFrame:
+    """``mini, body, places``: the strings of each batch once, with all their places, of the minimisers in ``column``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,7 +269,8 @@ def strings(texts: DataFrame, units: Units) -> DataFrame:
                     held, size = {}, 0
             yield _string_rows(held)
 
-    return texts.select("row", "first", "text", "hashes").mapInArrow(run, "mini long, body binary, places binary")
+    some = texts.filter(F.length(column) > 0)
+    return some.select("row", "first", "text", column).mapInArrow(run, "mini long, body binary, places binary")
 
 
 def _string_rows(held: dict[bytes, tuple[int, list]]) -> pa.RecordBatch:
@@ -374,33 +385,30 @@ def dealt(rows: DataFrame, units: Units, value, gone) -> DataFrame:
     return rows.join(values, "string").select("places", F.col("marks")).mapInArrow(run, RUNS)
 
 
-def repeats(texts: DataFrame, units: Units, judge: Judge, value, gone, shard_bytes: int, hot: int) -> DataFrame:
-    """``row, first, key, text, marks``: of every text with windows that go, the runs of them.
+def repeats(texts: DataFrame, units: Units, judge: Judge, value, gone, shard_bytes: int) -> DataFrame:
+    """``row, key, text, marks``: of every text with windows that go, the runs of them.
 
     ``gone(value, first)`` tells whether a window goes from a text, by the window's value and the text's smallest document.
     """
-    rows = write_table(strings(texts, units), "repeats-strings")
-    load = rows.groupBy("mini").agg(F.count("*").alias("rows"), F.sum(F.length("places").cast("long")).alias("size"))
-    crowded = write_table(load.filter((F.col("rows") > hot) | (F.col("size") > PLACES_BYTES)).select("mini"), "repeats-hot")
-    if crowded.isEmpty():
-        found = judged(rows, judge, gone, shard_bytes)
-    else:
-        few = judged(rows.join(crowded, "mini", "left_anti"), judge, gone, shard_bytes)
-        found = few.unionByName(dealt(rows.join(crowded, "mini", "left_semi"), units, value, gone))
+    few = judged(strings(texts, units, "hashes"), judge, gone, shard_bytes)
+    many = write_table(strings(texts, units, "hot"), "repeats-strings")
+    found = few.unionByName(dealt(many, units, value, gone))
     marks = found.groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("marks"))
     return marks.join(texts.select("row", "key", "text"), "row")
 
 
-def candidates(docs: DataFrame, profile: DataFrame, with_ids_only: bool) -> tuple[DataFrame, DataFrame]:
-    """(``key, first, copies`` of every text; ``row, key, first, text, hashes`` of texts that may hold a repeated window)."""
+def candidates(docs: DataFrame, profile: DataFrame, with_ids_only: bool, hot: int) -> tuple[DataFrame, DataFrame]:
+    """(``key, first, copies`` of every text; ``row, key, first, text, hashes, hot`` of texts that may hold a repeated window)."""
     leaders = write_table(profile.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "repeats-keys")
-    some = repeated(profile).dropDuplicates(["key"]).join(leaders, "key").select(F.col("key").alias("_key"), "first", "hashes")
+    some = repeated(profile, hot).dropDuplicates(["key"]).join(leaders, "key")
     if with_ids_only:
         some = some.filter(F.col("first").isNotNull())
-    rows = identified(docs)
-    texts = rows.join(some, (rows["key"] == some["_key"]) & rows["doc_id"].eqNullSafe(some["first"]))
-    texts = texts.select("key", F.coalesce("first", F.lit(-1)).alias("first"), "text", "hashes").dropDuplicates(["key"])
-    return leaders, write_table(texts.select(F.monotonically_increasing_id().alias("row"), "*"), "repeats-texts")
+    # Joined on plain columns, so that repeated rows are dropped without another exchange of texts.
+    number = lambda c: F.coalesce(c, F.lit(-1 << 63))
+    rows = identified(docs).select("key", number("doc_id").alias("id"), "text")
+    texts = rows.join(some.withColumn("id", number("first")), ["key", "id"]).dropDuplicates(["key", "id"])
+    texts = texts.select(F.monotonically_increasing_id().alias("row"), "key", F.coalesce("first", F.lit(-1)).alias("first"), "text", "hashes", "hot")
+    return leaders, write_table(texts, "repeats-texts")
 
 
 def covered(marks: list[dict], span: int, n: int) -> np.ndarray:

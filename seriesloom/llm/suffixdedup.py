@@ -56,8 +56,8 @@ def remove_repeats(docs: DataFrame, span: int = 400, gram: int = 64, shard_bytes
     """
     units = Units(words=False, span=span, gram=gram, within=True)
     profile = write_table(profiles(docs, units, bytes), "suffixes")
-    leaders, texts = candidates(docs, profile, with_ids_only=False)
-    marked = repeats(texts, units, lambda *shard: judge(*shard, span, memory), F.sum("times"), lambda total, _: total > 1, shard_bytes, hot)
+    leaders, texts = candidates(docs, profile, with_ids_only=False, hot=hot)
+    marked = repeats(texts, units, lambda *shard: judge(*shard, span, memory), F.sum("times"), lambda total, _: total > 1, shard_bytes)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

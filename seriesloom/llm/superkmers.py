@@ -61,8 +61,8 @@ def remove_repeats(docs: DataFrame, span: int = 13, gram: int = 7, shard_bytes:
     """
     units = Units(words=True, span=span, gram=gram, within=False)
     profile = write_table(profiles(docs, units, join_words), "superkmers")
-    leaders, texts = candidates(docs, profile, with_ids_only=True)
-    marked = repeats(texts, units, lambda *shard: judge(*shard, span), F.min("first"), np.less, shard_bytes, hot)
+    leaders, texts = candidates(docs, profile, with_ids_only=True, hot=hot)
+    marked = repeats(texts, units, lambda *shard: judge(*shard, span), F.min("first"), np.less, shard_bytes)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
