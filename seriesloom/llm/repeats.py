@@ -4,8 +4,9 @@ A window is ``span`` consecutive units (words or bytes).  Its minimiser is the
 smallest hash among its grams of ``gram`` units; equal windows have equal
 minimisers, so windows of one minimiser can be judged apart from all others.
 
-1. Profiles: each text reports its minimisers.  A census, dealt by hash, finds
-   those that occur twice; all others cannot hold a repeated window.  Hashes
+1. Profiles: each text reports its minimisers.  A census of the different texts,
+   dealt by hash, finds those that occur twice; all others cannot hold a repeated
+   window.  Hashes
    travel packed, 48 bits each, one row per block of documents and bucket, so a
    minimiser costs one entry per block however common it is.  A false match here
    only lets a text through to step 2.
@@ -13,8 +14,8 @@ minimisers, so windows of one minimiser can be judged apart from all others.
    travels with the places it was found at.  Equal strings of a batch are one row.
 3. A minimiser's strings travel to its bucket, where the caller judges every
    window of the distinct ones.  Minimisers that the census counts more than
-   ``hot`` times never meet in a bucket: their strings are dealt out window by
-   window, by 128-bit fingerprints, in a pass of their own.
+   ``hot`` times never meet in a bucket: their different strings are dealt out
+   window by window, by 128-bit fingerprints, in a pass of their own.
 4. Runs of repeated windows go back to the texts from the places themselves.
 
 Exact copies of a text take part once, as the row of the smallest id; a text is
@@ -29,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import Prefix, chunks, windows, words_of, write_table
@@ -170,17 +171,24 @@ def profiles(docs: DataFrame, units: Units, sha: Callable[[bytes], bytes]) -> Da
 
 def identified(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    key = F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), text.alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(text).alias("key"), text.alias("text"))
 
 
-def repeated(profile: DataFrame, hot: int) -> DataFrame:
-    """``key, hashes, hot``: of every text with such, its minimisers that occur twice in all texts, those counted over ``hot`` times apart."""
-    totals = profile.agg(F.count("*").alias("docs"), F.sum(F.length("hashes")).alias("bytes")).first()
+def digest(column) -> Column:
+    """The first 128 bits of the SHA-256 of a string or of bytes."""
+    return F.substring(F.unhex(F.sha2(column, 256)), 1, 16)
+
+
+def repeated(texts: DataFrame, hot: int) -> DataFrame:
+    """``key, first, hashes, hot``: of every text with such, its minimisers that occur twice, those counted over ``hot`` times apart.
+
+    ``texts`` has each text once: ``key, first, hashes``.
+    """
+    totals = texts.agg(F.count("*").alias("docs"), F.sum(F.length("hashes")).alias("bytes")).first()
     buckets = 1 + (totals["bytes"] or 0) // (CENSUS_BITS // 8) // HASHES_PER_BUCKET
     blocks = 1 + totals["docs"] // DOCS_PER_BLOCK
     shift = np.uint64(CENSUS_BITS - 20)
-    rows = profile.filter(F.length("hashes") > 0).select("key", "hashes", F.pmod(F.xxhash64("key", "doc_id"), F.lit(blocks)).cast("int").alias("block"))
+    rows = texts.filter(F.length("hashes") > 0).select("key", "first", "hashes", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block"))
 
     def ask(table: pa.Table) -> pa.Table:
         values = unpack(b"".join(table.column("hashes").to_pylist()))
@@ -216,21 +224,22 @@ def repeated(profile: DataFrame, hot: int) -> DataFrame:
 
     def match(key: tuple, mine: pa.Table, theirs: pa.Table) -> pa.Table:
         known, crowded = (np.sort(unpack(b"".join(theirs.column(c).to_pylist()))) for c in ("found", "hot"))
-        keys, out, much = [], [], []
+        at, out, much = [], [], []
         if len(known):
-            for k, raw in zip(mine.column("key").to_pylist(), mine.column("hashes").to_pylist()):
+            for i, raw in enumerate(mine.column("hashes").to_pylist()):
                 x = np.unique(unpack(raw))
                 x = x[among(x, known)]
                 if len(x):
-                    keys.append(k)
                     dense = among(x, crowded)
+                    at.append(i)
                     out.append(pack(x[~dense]))
                     much.append(pack(x[dense]))
-        return pa.table({"key": pa.array(keys, pa.binary()), "hashes": pa.array(out, pa.binary()), "hot": pa.array(much, pa.binary())})
+        some = mine.select(["key", "first"]).take(pa.array(at, pa.int64()))
+        return some.append_column("hashes", pa.array(out, pa.binary())).append_column("hot", pa.array(much, pa.binary()))
 
     asked = rows.groupBy("block").applyInArrow(ask, "bucket int, block int, hashes binary, counts binary")
     told = asked.groupBy("bucket").applyInArrow(answer, "block int, found binary, hot binary").filter(F.length("found") > 0)
-    return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(match, "key binary, hashes binary, hot binary")
+    return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(match, "key binary, first long, hashes binary, hot binary")
 
 
 def strings_of(group: list[bytes], known: np.ndarray, units: Units) -> Iterator[tuple[int, int, int, bytes]]:
@@ -249,7 +258,10 @@ def strings_of(group: list[bytes], known: np.ndarray, units: Units) -> Iterator[
 
 
 def strings(texts: DataFrame, units: Units, column: str) -> DataFrame:
-    """``mini, body, places``: the strings of each batch once, with all their places, of the minimisers in ``column``."""
+    """``mini, body, places, first, times``: the strings of each batch once, of the minimisers in ``column``.
+
+    With all their places, the smallest document, and the number of places.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,17 +282,19 @@ def strings(texts: DataFrame, units: Units, column: str) -> DataFrame:
             yield _string_rows(held)
 
     some = texts.filter(F.length(column) > 0)
-    return some.select("row", "first", "text", column).mapInArrow(run, "mini long, body binary, places binary")
+    return some.select("row", "first", "text", column).mapInArrow(run, "mini long, body binary, places binary, first long, times long")
 
 
 def _string_rows(held: dict[bytes, tuple[int, list]]) -> pa.RecordBatch:
     counts = np.array([len(v[1]) for v in held.values()], np.int64)
-    raw = np.array([p for v in held.values() for p in v[1]], PLACE).tobytes()
-    ends = np.cumsum(counts) * PLACE.itemsize
-    places = [raw[b - n : b] for b, n in zip(ends.tolist(), (counts * PLACE.itemsize).tolist())]
+    places = np.array([p for v in held.values() for p in v[1]], PLACE)
+    ends = np.cumsum(counts)
+    least = np.minimum.reduceat(places["first"], ends - counts) if len(places) else np.empty(0, np.int64)
+    raw, size = places.tobytes(), PLACE.itemsize
+    parts = [raw[a * size : b * size] for a, b in zip((ends - counts).tolist(), ends.tolist())]
     return pa.RecordBatch.from_arrays(
-        [pa.array([v[0] for v in held.values()], pa.int64()), pa.array(list(held), pa.binary()), pa.array(places, pa.binary())],
-        names=["mini", "body", "places"],
+        [pa.array([v[0] for v in held.values()], pa.int64()), pa.array(list(held), pa.binary()), pa.array(parts, pa.binary()), pa.array(least, pa.int64()), pa.array(counts)],
+        names=["mini", "body", "places", "first", "times"],
     )
 
 
@@ -352,27 +366,24 @@ def by_window(rows: DataFrame, units: Units) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for string, body, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                place = np.frombuffer(raw, PLACE)
+            for string, body, first, times in zip(*(c.to_pylist() for c in batch.columns)):
                 cut = units.cut([body])
                 n = len(cut.least)
                 a, b = cut.start[:n].tolist(), cut.end[units.span - 1 :].tolist()
                 w = np.frombuffer(b"".join(hashlib.blake2b(cut.blob[i:j], digest_size=16).digest() for i, j in zip(a, b)), "<i8").reshape(-1, 2)
-                fill = lambda v, k: pa.array(np.full(n, v), k)  # noqa: B023, E731
+                fill = lambda v: pa.array(np.full(n, v), pa.int64())  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([string] * n, pa.binary()), pa.array(np.arange(n), pa.int32()), pa.array(w[:, 0]), pa.array(w[:, 1]),
-                     fill(place["first"].min(), pa.int64()), fill(len(place), pa.int64())],
+                    [pa.array([string] * n, pa.binary()), pa.array(np.arange(n), pa.int32()), pa.array(w[:, 0]), pa.array(w[:, 1]), fill(first), fill(times)],
                     names=["string", "at", "w1", "w2", "first", "times"],
-                )
+                )
 
-    return rows.select("string", "body", "places").mapInArrow(run, "string binary, at int, w1 long, w2 long, first long, times long")
+    return rows.mapInArrow(run, "string binary, at int, w1 long, w2 long, first long, times long")
 
 
 def dealt(rows: DataFrame, units: Units, value, gone) -> DataFrame:
     """The same runs for strings dealt out window by window; ``value`` aggregates the windows of one fingerprint."""
-    # A string is known by its first place, which no other row has.
-    rows = rows.withColumn("string", F.substring("places", 1, 12))
-    single = write_table(by_window(rows, units), "repeats-windows")
+    different = rows.groupBy("string").agg(F.first("body").alias("body"), F.min("first").alias("first"), F.sum("times").alias("times"))
+    single = write_table(by_window(different, units), "repeats-windows")
     totals = single.groupBy("w1", "w2").agg(value.alias("value"))
     values = single.join(totals, ["w1", "w2"]).groupBy("string").agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("marks"))
 
@@ -390,8 +401,8 @@ def repeats(texts: DataFrame, units: Units, judge: Judge, value, gone, shard_byt
 
     ``gone(value, first)`` tells whether a window goes from a text, by the window's value and the text's smallest document.
     """
-    few = judged(strings(texts, units, "hashes"), judge, gone, shard_bytes)
-    many = write_table(strings(texts, units, "hot"), "repeats-strings")
+    few = judged(strings(texts, units, "hashes").select("mini", "body", "places"), judge, gone, shard_bytes)
+    many = write_table(strings(texts, units, "hot").withColumn("string", digest("body")), "repeats-strings")
     found = few.unionByName(dealt(many, units, value, gone))
     marks = found.groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("marks"))
     return marks.join(texts.select("row", "key", "text"), "row")
@@ -399,16 +410,15 @@ def repeats(texts: DataFrame, units: Units, judge: Judge, value, gone, shard_byt
 
 def candidates(docs: DataFrame, profile: DataFrame, with_ids_only: bool, hot: int) -> tuple[DataFrame, DataFrame]:
     """(``key, first, copies`` of every text; ``row, key, first, text, hashes, hot`` of texts that may hold a repeated window)."""
-    leaders = write_table(profile.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "repeats-keys")
-    some = repeated(profile, hot).dropDuplicates(["key"]).join(leaders, "key")
-    if with_ids_only:
-        some = some.filter(F.col("first").isNotNull())
+    each = profile.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("hashes").alias("hashes"))
+    leaders = write_table(each, "repeats-keys")
+    some = repeated(leaders.filter(F.col("first").isNotNull()) if with_ids_only else leaders, hot)
     # Joined on plain columns, so that repeated rows are dropped without another exchange of texts.
     number = lambda c: F.coalesce(c, F.lit(-1 << 63))
     rows = identified(docs).select("key", number("doc_id").alias("id"), "text")
     texts = rows.join(some.withColumn("id", number("first")), ["key", "id"]).dropDuplicates(["key", "id"])
     texts = texts.select(F.monotonically_increasing_id().alias("row"), "key", F.coalesce("first", F.lit(-1)).alias("first"), "text", "hashes", "hot")
-    return leaders, write_table(texts, "repeats-texts")
+    return leaders.drop("hashes"), write_table(texts, "repeats-texts")
 
 
 def covered(marks: list[dict], span: int, n: int) -> np.ndarray:
