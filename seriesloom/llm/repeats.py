@@ -13,9 +13,10 @@ minimisers, so windows of one minimiser can be judged apart from all others.
 2. Consecutive windows with the same repeated minimiser form one string, which
    travels with the places it was found at.  Equal strings of a batch are one row.
 3. A minimiser's strings travel to its bucket, where the caller judges every
-   window of the distinct ones.  Minimisers that the census counts more than
-   ``hot`` times never meet in a bucket: their different strings are dealt out
-   window by window, by 128-bit fingerprints, in a pass of their own.
+   window of the distinct ones.  Strings of minimisers that the census counts more
+   than ``hot`` times are written first.  Those of minimisers that do have more
+   than ``hot`` different strings, or very many places, never meet in a bucket: they
+   are dealt out window by window, by 128-bit fingerprints.
 4. Runs of repeated windows go back to the texts from the places themselves.
 
 Exact copies of a text take part once, as the row of the smallest id; a text is
@@ -43,6 +44,8 @@ DOCS_PER_BLOCK = 4096
 GROUP_BYTES = 1 << 18
 #: Bytes of distinct strings that a task holds before it writes them.
 HELD_BYTES = 16 << 20
+#: Places beyond which a minimiser's strings are dealt out, however few they are.
+PLACES_PER_BUCKET = 200_000
 #: Where a string occurs: row of the text, its first window there, smallest document of the text.
 PLACE = np.dtype([("row", "<i8"), ("start", "<i4"), ("first", "<i8")])
 
@@ -396,14 +399,17 @@ def dealt(rows: DataFrame, units: Units, value, gone) -> DataFrame:
     return rows.join(values, "string").select("places", F.col("marks")).mapInArrow(run, RUNS)
 
 
-def repeats(texts: DataFrame, units: Units, judge: Judge, value, gone, shard_bytes: int) -> DataFrame:
+def repeats(texts: DataFrame, units: Units, judge: Judge, value, gone, shard_bytes: int, hot: int) -> DataFrame:
     """``row, key, text, marks``: of every text with windows that go, the runs of them.
 
     ``gone(value, first)`` tells whether a window goes from a text, by the window's value and the text's smallest document.
     """
-    few = judged(strings(texts, units, "hashes").select("mini", "body", "places"), judge, gone, shard_bytes)
     many = write_table(strings(texts, units, "hot").withColumn("string", digest("body")), "repeats-strings")
-    found = few.unionByName(dealt(many, units, value, gone))
+    load = many.groupBy("mini", "string").agg(F.sum("times").alias("times")).groupBy("mini").agg(F.count("*").alias("strings"), F.sum("times").alias("times"))
+    crowded = write_table(load.filter((F.col("strings") > hot) | (F.col("times") > PLACES_PER_BUCKET)).select("mini"), "repeats-hot")
+    few = strings(texts, units, "hashes").select("mini", "body", "places")
+    few = judged(few.unionByName(many.join(crowded, "mini", "left_anti").select("mini", "body", "places")), judge, gone, shard_bytes)
+    found = few.unionByName(dealt(many.join(crowded, "mini", "left_semi"), units, value, gone))
     marks = found.groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("marks"))
     return marks.join(texts.select("row", "key", "text"), "row")
 
