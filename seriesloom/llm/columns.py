@@ -29,7 +29,3 @@ def without(text: Column, characters: str) -> Column:
     for c in characters:
         text = F.replace(text, F.lit(c), F.lit(""))
     return text
-
-
-def word_chars(text: Column) -> Column:
-    return F.length(without(text, _TRIMMED)).cast("long")

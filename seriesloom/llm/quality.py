@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import text_or_empty, trimmed, word_chars, words, without
+from .columns import text_or_empty, trimmed, words, without
 from .text import write_table
 
 SYMBOLS = "#*$%&|<>"
@@ -21,56 +21,52 @@ SYMBOLS = "#*$%&|<>"
 RATIOS = {"symbol_ratio": 0.02, "word_length": 0.5, "dup_line_ratio": 0.1, "repeat_ratio": 0.1}
 
 
-def repeated_words(w: Column) -> Column:
-    """Words inside 3-word windows that occur twice or more in the array ``w``."""
-    marks = F.transform(
-        F.sequence(F.lit(0), F.size(w) - 3),
-        lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")),
-    )
-    hashes = F.transform(marks, lambda m: m["h"])
-
-    def covered(marks: Column) -> Column:
-        ordered = F.sort_array(marks)
-        # One pass over the sorted windows: a window counts if the one before or after it has its hash.
-        twice = F.filter(
-            F.zip_with(
-                F.zip_with(ordered, F.slice(ordered, 2, F.size(ordered)), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-                F.concat(F.array(F.lit(None).cast("struct<h:bigint,i:int>")), F.slice(ordered, 1, F.size(ordered) - 1)),
-                lambda ab, c: F.when((ab["a"]["h"] == ab["b"]["h"]) | (ab["a"]["h"] == c["h"]), ab["a"]["i"]),
-            ),
-            lambda i: i.isNotNull(),
-        )
-        return F.aggregate(
-            F.sort_array(twice),
-            F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")),
-            lambda acc, i: F.struct(i.alias("last"), (acc["n"] + F.least(F.lit(3), i - acc["last"])).alias("n")),
-            lambda acc: acc["n"],
-        )
+def windows_of(w: Column) -> Column:
+    """One hash for each 3-word window of the array ``w``."""
+    starts = F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0)))
+    return F.transform(starts, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
 
-    # Sorting is for texts that do repeat a window.
-    return (
-        F.when(F.size(w) < 4, F.lit(0).cast("long"))
-        .when(F.size(F.array_distinct(hashes)) == F.size(w) - 2, F.lit(0).cast("long"))
-        .otherwise(covered(marks))
+
+def ordered(windows: Column) -> Column:
+    """Windows by hash with their places; null, and nothing sorted, for texts that repeat none."""
+    marks = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), F.sort_array(marks))
+
+
+def repeated_words(ordered: Column) -> Column:
+    """Words inside windows that occur twice or more: a window counts if the one before or after it has its hash."""
+    twice = F.filter(ordered, lambda m, i: (m["h"] == F.get(ordered, i + 1)["h"]) | (m["h"] == F.get(ordered, i - 1)["h"]))
+    covered = F.aggregate(
+        F.sort_array(F.transform(twice, lambda m: m["i"])),
+        F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")),
+        lambda acc, i: F.struct(i.alias("last"), (acc["n"] + F.least(F.lit(3), i - acc["last"])).alias("n")),
+        lambda acc: acc["n"],
     )
+    return F.when(ordered.isNull(), F.lit(0).cast("long")).otherwise(covered)
 
 
 def measure(docs: DataFrame, *keep: str) -> DataFrame:
-    """Counts per document: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words."""
+    """Counts per document: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words.
+
+    What a lambda reads again and again is a column of a step before: inside an
+    expression, Spark would compute it anew at every use.
+    """
     text = F.col("_text")
     lines = F.filter(F.split(text, "\n"), lambda x: trimmed(x) != "")
     return (
         docs.select("doc_id", *keep, text_or_empty().alias("_text"))
         .withColumns({"_words": words(text), "_lines": lines})
+        .withColumn("_windows", windows_of(F.col("_words")))
+        .withColumn("_ordered", ordered(F.col("_windows")))
         .select(
             "doc_id",
             *keep,
             F.size("_words").cast("long").alias("n_words"),
-            word_chars(text).alias("word_chars"),
+            F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
             (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
             F.size("_lines").cast("long").alias("n_lines"),
             (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-            repeated_words(F.col("_words")).alias("n_repeat_words"),
+            repeated_words(F.col("_ordered")).alias("n_repeat_words"),
         )
     )
 

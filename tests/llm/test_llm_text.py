@@ -79,6 +79,16 @@ def test_quality_counts(some_docs, odd_docs, no_docs):
     assert quality.quality_rules(no_docs).count() == 0
 
 
+def test_quality_repeats_by_hashing_every_window_once(spark):
+    """Overlapping, touching and far repeats, at either end; no step of the plan hashes the windows anew."""
+    texts = ["a b c a b c", "a b c x a b c", "a a a", "a a a a", "q a b c d r a b c d", "a b c d b c d e", "a b a b a b x y z a b a", "k " * 40 + "l", "a b c a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stats = quality.measure(docs)
+    assert {i: r["n_repeat_words"] for i, r in by_id(stats).items()} == {i: plain_quality(t)[4] for i, t in enumerate(texts)}
+    plan = stats._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(") == 1 and plan.count("sort_array(transform(") <= 2
+
+
 def test_quality_thresholds_follow_the_source(spark):
     """The same share of symbols is usual in one source and junk in the other."""
     rows = []
