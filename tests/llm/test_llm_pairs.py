@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from seriesloom.llm import bpe, graph, induced, minhash, mixing, neighbours, suffixdedup, superkmers, toxicity
+from seriesloom.llm import bpe, graph, induced, minhash, mixing, neighbours, repeats, suffixdedup, superkmers, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -243,6 +243,25 @@ def test_suffix_dedup_equals_the_plain_version(some_docs, near_docs, odd_docs, o
         assert collections.Counter((r["doc_id"], (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])) for r in got) == expected
 
 
+@pytest.mark.parametrize("hot", [3, 60])
+def test_crowded_minimisers_are_judged_by_suffixes(spark, monkeypatch, hot):
+    """A passage in sixty contexts: of its strings only those at a crowded core are dealt out window by window."""
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choices("abcdefghij", k=6))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passage, pairs = text(40), [text(10) for _ in range(30)]
+    texts = [f"{text(60)} {pairs[i // 2]} {passage} {text(70)}" for i in range(60)] + ["ab" * 700, "ba" * 500]
+    dealt, judged = [], []
+    plain, kept = repeats.by_fingerprint, repeats.judged_pieces
+    monkeypatch.setattr(repeats, "by_fingerprint", lambda rows, *rest: (dealt.append(rows.count()), plain(rows, *rest))[1])
+    monkeypatch.setattr(repeats, "judged_pieces", lambda rows, *rest: (judged.append(rows.count()), kept(rows, *rest))[1])
+    got = suffixdedup.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), span=300, gram=40, hot=hot).collect()
+    expected = dict(enumerate(plain_suffixes([t.encode() for t in texts], 300)))
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == expected
+    assert sum(r["n_removed"] > 0 for r in got) == 62
+    assert hot > 3 or (sum(judged) > 0 and sum(dealt) < sum(judged))
+
+
 def test_suffix_dedup_empty(no_docs):
     assert suffixdedup.remove_repeats(no_docs).count() == 0
 
