@@ -5,6 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesloom.operators import grid as G
+from seriesloom.operators.blocks import over_blocks, spread
+from seriesloom.operators.windows import centered_mean, lag_features
+from seriesloom.plans import eda
 from seriesloom.sources.panel import as_output, build_panel, orders_daily, read_panel_csv, supplier_daily
 
 K = ["series"]
@@ -116,3 +119,55 @@ def test_daily_fill_reads_its_panel_once(spark, sf):
     filled.collect()
     plan = filled._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("size, reach", [(3, (0, 0)), (3, (2, 1)), (3, (20, 7)), (40, (365, 0)), (4096, (365, 30))])
+def test_reach_equals_copies_of_the_filled_days(spark, panel, size, reach):
+    """Gaps longer than blocks, null ends, a null series and a null key; every copy that an owned row can see."""
+    odd = panel(
+        {
+            "gaps": {"2020-01-01": 1.0, "2020-01-02": 4.0, "2020-01-20": None, "2020-02-25": 2.0, "2020-02-26": 8.0},
+            "ends": {"2020-01-03": None, "2020-01-15": 5.0, "2020-01-31": None},
+            "null": {"2020-01-03": None, "2020-01-15": None},
+            "one": {"2020-01-31": 3.0},
+            None: {"2020-01-01": 3.0, "2020-01-09": 11.0},
+        }
+    )
+    for method in ("time", "linear_edges"):
+        day = G.fill_grid(odd, K, method, size=size)
+        want = spread(day, *reach, size=size)
+        got = G.fill_grid(odd, K, method, size=size, reach=reach)
+        # A block with no day of the series keeps no row.
+        want = want.join(want.where("_own").select("series", "_blk").distinct().withColumnsRenamed({"series": "s", "_blk": "k"}), F.expr("series <=> s AND _blk = k"), "left_semi")
+        owned = got.where("_own").select("series", "_blk").distinct().withColumnsRenamed({"series": "s", "_blk": "k"})
+        got = got.join(owned, F.expr("series <=> s AND _blk = k"), "left_semi").select(*want.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_windows_over_a_spread_grid_equal_those_over_days(spark, sf):
+    p = supplier_daily(spark, sf).where("series < 4")
+    families = lag_features((1, 30, 365)), centered_mean(21)
+    for size in (100, 4096):
+        want = over_blocks(G.fill_grid(p, K, size=size), K, *families, size=size)
+        got = over_blocks(G.fill_grid(p, K, size=size, reach=(365, 10)), K, *families, size=size)
+        assert got.columns == want.columns and got.count() == G.date_spine(p, K).count()
+        assert got.exceptAll(want).count() == 0
+    with pytest.raises(ValueError):
+        over_blocks(G.fill_grid(p, K, reach=(364, 10)), K, *families)
+    with pytest.raises(ValueError):
+        over_blocks(G.fill_grid(p, K, size=100, reach=(365, 10)), K, *families)
+
+
+def test_supplier_features_shuffle_observations_not_days(spark, sf):
+    """e2_eda_features_suppliers: no exchange above the step that makes the days."""
+    from seriesloom.catalog import OPERATORS
+
+    found = OPERATORS["e2_eda_features_suppliers"](spark, sf)
+    days = G.fill_grid(supplier_daily(spark, sf), K).drop("real_value")
+    want = eda.eda_features(days, K)
+    assert found.columns == want.columns and found.count() == days.count()
+    assert found.exceptAll(want).count() == 0
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    before, _, after = plan.partition("Generate explode(sequence(start")
+    assert "Window" in before and "Exchange" not in before and "Exchange" in after
